@@ -1,0 +1,115 @@
+"""Equi-joins that look at sizes and hot keys first.
+
+The right side is broadcast only when the planner's size bound is below the
+session's broadcast threshold. Beyond it both sides are shuffled, and keys that
+hold a large share of the left rows are spread over all shuffle partitions.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from fareloom.session import materialise
+
+# A key is hot when it holds more than one in HOT_SHARE rows, so at most HOT_SHARE keys can be.
+HOT_SHARE = 256
+_SKETCH_ITEMS = 8192
+_SLICE = "_slice"
+
+
+def size_bound(df: DataFrame) -> int:
+    """The planner's estimate in bytes; exact file sizes for a plain scan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def fits_broadcast(*frames: DataFrame) -> bool:
+    return sum(size_bound(df) for df in frames) <= broadcast_limit(frames[0])
+
+
+def sized_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    bounded_by: Sequence[DataFrame] = (),
+    keys_from: DataFrame | None = None,
+    spread: str | None = None,
+) -> DataFrame:
+    """Join a large left side to a right side of unknown size.
+
+    ``bounded_by`` names the scans a derived right side is made of, when their sizes
+    bound it better than the planner does (it multiplies the sizes of joined inputs).
+    ``how`` may be inner, left, left_semi or left_anti. The rest is for ``skew_join``.
+    """
+    if fits_broadcast(*(bounded_by or (right,))):
+        return left.join(F.broadcast(right), list(on), how)
+    return skew_join(left, right, on, how, keys_from, spread)
+
+
+def hot_keys(df: DataFrame, on: Sequence[str]) -> list[int]:
+    """Hashes of the keys that hold more than 1/HOT_SHARE of the rows.
+
+    One pass over the key columns with a mergeable frequent-items sketch: nothing is
+    shuffled but the sketches, and at most HOT_SHARE numbers reach the driver. The
+    sketch only decides which keys are spread; results do not depend on it.
+    """
+    found = df.select(F.xxhash64(*on).alias("k")).agg(
+        F.expr(f"approx_top_k(k, {HOT_SHARE}, {_SKETCH_ITEMS})").alias("top"),
+        F.count(F.lit(1)).alias("n"),
+    ).select(
+        F.transform(F.filter("top", lambda t: t["count"] * HOT_SHARE > F.col("n")), lambda t: t["item"]).alias("hot")
+    )
+    return list(found.first()["hot"] or [])
+
+
+def _row_spread(df: DataFrame) -> tuple[DataFrame, Column]:
+    """A number per row that exact copies do not share: the position in the parquet file.
+
+    It must be the same when a lost task runs again, which rules out random numbers; a
+    frame that is no parquet scan is therefore written to the shared folder first.
+    """
+    position = F.col("_metadata.row_index")
+    try:
+        df.select(position)
+    except AnalysisException:
+        df = materialise(df, "spread")
+    return df, position
+
+
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    keys_from: DataFrame | None = None,
+    spread: str | None = None,
+) -> DataFrame:
+    """Shuffle join in which the left rows of a hot key go to every partition.
+
+    Only the right rows of hot keys are copied, once per slice; every left row meets
+    each right row of its key exactly once. A left side that is itself a join names the
+    scan to look for hot keys in (``keys_from``) and a row number kept from that scan
+    (``spread``), so that nothing runs twice.
+    """
+    hot = hot_keys(left if keys_from is None else keys_from, on)
+    if not hot:
+        return left.join(right, list(on), how)
+    if spread is None:
+        left, row = _row_spread(left)
+    else:
+        row = F.col(spread)
+    slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.xxhash64(*on).isin(hot)
+    sliced = left.withColumn(_SLICE, F.when(is_hot, F.pmod(row, F.lit(slices)).cast("int")).otherwise(0))
+    every = F.sequence(F.lit(0), F.lit(slices - 1))
+    copied = right.withColumn(_SLICE, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+    return sliced.join(copied, [*on, _SLICE], how).drop(_SLICE)
