@@ -18,37 +18,30 @@ def float_text(value: Column) -> Column:
     """A double as text: plain from 1e-4 up to 1e16, with a two-digit exponent outside.
 
     Spark itself switches to ``1.0E7`` at 1e7 and to ``1.0E-4`` below 1e-3, so only
-    those texts are laid out anew.
+    those rare texts are laid out anew.
     """
-    text = value.cast("double").cast("string")
-    sign = F.when(text.startswith("-"), "-").otherwise("")
-    mantissa = F.split_part(F.ltrim(text, F.lit("-")), F.lit("E"), F.lit(1))
-    digits = F.rtrim(F.replace(mantissa, F.lit("."), F.lit("")), F.lit("0"))
-    power = F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int")
-    whole = power + 1
-    plain_large = F.when(
-        F.length(digits) <= whole, F.concat(F.rpad(digits, whole, F.lit("0")), F.lit(".0"))
-    ).otherwise(F.concat(F.substring(digits, F.lit(1), whole), F.lit("."), F.substring(digits, whole + 1, F.length(digits))))
-    significand = F.when(F.length(digits) == 1, digits).otherwise(
-        F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, F.lit(2), F.length(digits)))
-    )
-    scientific = F.concat(
-        significand,
-        F.when(power < 0, "e-").otherwise("e+"),
-        F.when(F.abs(power) < 10, "0").otherwise(""),
-        F.abs(power).cast("string"),
-    )
+    value = value.cast("double")
+    size = F.abs(value)
+    text = value.cast("string")
     return (
-        F.when(text == "NaN", F.lit("nan"))
-        .when(text == "Infinity", F.lit("inf"))
-        .when(text == "-Infinity", F.lit("-inf"))
-        .when(~text.contains("E"), text)
-        .when(power == -4, F.concat(sign, F.lit("0.000"), digits))
-        .when((power > 0) & (power < 16), F.concat(sign, plain_large))
-        .otherwise(F.concat(sign, scientific))
+        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text)
+        .when((size >= 1e-4) & (size < 1e16), _without_exponent(value))
+        .otherwise(_with_exponent(text))
     )
 
 
+def _without_exponent(value: Column) -> Column:
+    """Through a decimal wide enough for all digits of a double between 1e-4 and 1e16."""
+    digits = F.rtrim(value.cast("decimal(38,20)").cast("string"), F.lit("0"))
+    return F.concat(digits, F.when(digits.endswith("."), "0").otherwise(""))
+
+
+def _with_exponent(text: Column) -> Column:
+    """``1.0E16`` as 1e+16, ``1.5E-7`` as 1.5e-07, ``NaN`` and ``Infinity`` as nan and inf."""
+    small = F.lower(F.replace(F.replace(text, F.lit("Infinity"), F.lit("inf")), F.lit(".0E"), F.lit("E")))
+    return F.regexp_replace(F.regexp_replace(small, "e([0-9])", "e+$1"), "e(.)([0-9])$", "e$10$2")
+
+
 def key_text(column: Column, kind: T.DataType) -> Column:
     """Text of one key part; a missing value gets a fixed token, so the key is never NULL."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
@@ -89,13 +82,13 @@ def strict_long(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.IntegralType):
         return column.cast("bigint")
     number = column.cast("double")
-    checked = F.when(F.isnan(number), F.lit(None).cast("bigint")).when(
-        number != F.floor(number),
-        F.raise_error(F.concat(F.lit("not an integer: "), column.cast("string"))).cast("bigint"),
-    ).otherwise(number.cast("bigint"))
+    checked = F.when(F.isnan(number), None).when(number == F.floor(number), number.cast("bigint"))
+    refused = F.raise_error(F.concat(F.lit("not an integer: "), column.cast("string"))).cast("bigint")
+    checked = F.when(number.isNotNull(), checked.otherwise(refused))
     if isinstance(kind, T.StringType):
-        # Long digit strings go straight to BIGINT, since a double would round them.
-        return F.coalesce(column.try_cast("bigint"), checked)
+        # Plain digits go straight to BIGINT: a double would round long ones. A failing
+        # try_cast would do as well, but it costs an exception per row.
+        return F.when(column.rlike("[.eE]"), checked).otherwise(column.cast("bigint"))
     return checked
 
 

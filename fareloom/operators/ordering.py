@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.operators.joins import sized_join
-from fareloom.session import materialise, scratch_root
+from fareloom.session import materialise
 
 _ID, _PIECE, _START = "_id", "_piece", "_start"
 # monotonically_increasing_id keeps the position inside a partition in its low bits.
@@ -35,31 +35,35 @@ def sort_by(df: DataFrame, first: str, *ties: str) -> DataFrame:
     return df.orderBy(*[F.col(name).asc_nulls_last() for name in (first, *ties, *rest)])
 
 
-def _numbered(df: DataFrame, piece: Column, order: Sequence[str], name: str) -> DataFrame:
-    """Running offsets per piece (one row for each file split or partition) plus the place inside it."""
-    placed = df.withColumn(_ID, F.monotonically_increasing_id()).withColumn(_PIECE, piece)
-    position = F.col(_ID).bitwiseAND(F.lit(_POSITION_BITS))
+def _add_offsets(placed: DataFrame, position: Column, order: Sequence[str], name: str) -> DataFrame:
+    """Place inside a piece plus the rows of all pieces before it.
+
+    The list of pieces has one row for each partition or file split; written down, its
+    size is known and it is normally broadcast.
+    """
     pieces = placed.groupBy(_PIECE).agg(F.count(F.lit(1)).alias("_rows"), F.min(position).alias("_from"))
     running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = pieces.select(
-        _PIECE, (F.sum("_rows").over(running) - F.col("_rows") - F.col("_from")).alias(_START)
-    )
-    # Written down, the list of pieces has a known size and is normally broadcast.
+    starts = pieces.select(_PIECE, (F.sum("_rows").over(running) - F.col("_rows") - F.col("_from")).alias(_START))
     joined = sized_join(placed, materialise(starts, "row-offsets"), [_PIECE])
-    return joined.select((F.col(_START) + position).alias(name), *df.columns)
+    return joined.withColumn(name, F.col(_START) + position)
 
 
 def number_file_rows(scan: DataFrame, name: str = "index") -> DataFrame:
     """A plain file scan with a 0-based gapless row number, by file path and place in the file."""
     piece = F.struct("_metadata.file_path", "_metadata.file_block_start")
-    return _numbered(scan, piece, [f"{_PIECE}.file_path", f"{_PIECE}.file_block_start"], name)
+    placed = scan.withColumn(_ID, F.monotonically_increasing_id()).withColumn(_PIECE, piece)
+    position = F.col(_ID).bitwiseAND(F.lit(_POSITION_BITS))
+    numbered = _add_offsets(placed, position, [f"{_PIECE}.file_path", f"{_PIECE}.file_block_start"], name)
+    return numbered.select(name, *scan.columns)
 
 
 def number_sorted_rows(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
     """Rows numbered from 0 in a total order.
 
-    The sorted rows are checkpointed, since a second sort may cut its ranges elsewhere.
+    The sorted rows are written down with their places, since a second sort may cut its
+    ranges elsewhere.
     """
-    scratch_root(df.sparkSession)
-    ordered = sort_by(df, *order).checkpoint()
-    return _numbered(ordered, F.spark_partition_id(), [_PIECE], name)
+    placed = materialise(sort_by(df, *order).withColumn(_ID, F.monotonically_increasing_id()), "sorted")
+    placed = placed.withColumn(_PIECE, F.shiftright(_ID, 33))
+    position = F.col(_ID).bitwiseAND(F.lit(_POSITION_BITS))
+    return _add_offsets(placed, position, [_PIECE], name).select(name, *df.columns)

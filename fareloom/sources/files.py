@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,8 @@ from fareloom.functions.values import cast_to, missing_to_null
 from fareloom.operators.conform import cast_columns
 from fareloom.schemas import RAW_GREEN_CASTS, RAW_YELLOW, ZONE_LOOKUP
 
+FOOTER_READERS = 16
+
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
@@ -99,17 +102,18 @@ def read_months(
     """Scans of all months that exist, one for each file layout, and the names of absent months.
 
     Months whose files have the same columns and types are read together. Layouts
-    differ over the years, so the caller aligns each scan before the union.
+    differ over the years, so the caller aligns each scan before the union. The footers
+    are looked at side by side, since each look is a small job of its own.
     """
+    months = list(months)
+    paths = [month_path(prefix, colour, year, month) for year, month in months]
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        found = list(pool.map(lambda path: read_if_present(spark, path), paths))
     by_layout: dict[str, list[str]] = defaultdict(list)
-    absent = []
-    for year, month in months:
-        path = month_path(prefix, colour, year, month)
-        scan = read_if_present(spark, path)
-        if scan is None:
-            absent.append(month_file_name(colour, year, month))
-        else:
+    for path, scan in zip(paths, found):
+        if scan is not None:
             by_layout[scan.schema.json()].append(path)
+    absent = [month_file_name(colour, *month) for month, scan in zip(months, found) if scan is None]
     scans = [
         spark.read.schema(T.StructType.fromJson(json.loads(layout))).parquet(*paths)
         for layout, paths in by_layout.items()
