@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +17,8 @@ from fareloom.session import materialise
 # A key is hot when it holds more than one in HOT_SHARE rows, so at most HOT_SHARE keys can be.
 HOT_SHARE = 256
 _SKETCH_ITEMS = 8192
+# Slices are hashed to partitions, so several per partition even out what each one gets.
+SLICES_PER_PARTITION = 8
 _SLICE = "_slice"
 
 
@@ -71,18 +72,22 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> list[int]:
     return list(found.first()["hot"] or [])
 
 
+def _has_row_position(df: DataFrame) -> bool:
+    """Whether the frame is read from one parquet scan, whose hidden columns it still offers."""
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
+    kinds = [hidden.apply(i).dataType().catalogString() for i in range(hidden.size())]
+    return len(kinds) == 1 and "row_index" in kinds[0]
+
+
 def _row_spread(df: DataFrame) -> tuple[DataFrame, Column]:
     """A number per row that exact copies do not share: the position in the parquet file.
 
     It must be the same when a lost task runs again, which rules out random numbers; a
     frame that is no parquet scan is therefore written to the shared folder first.
     """
-    position = F.col("_metadata.row_index")
-    try:
-        df.select(position)
-    except AnalysisException:
+    if not _has_row_position(df):
         df = materialise(df, "spread")
-    return df, position
+    return df, F.col("_metadata.row_index")
 
 
 def skew_join(
@@ -107,7 +112,7 @@ def skew_join(
         left, row = _row_spread(left)
     else:
         row = F.col(spread)
-    slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = SLICES_PER_PARTITION * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.xxhash64(*on).isin(hot)
     sliced = left.withColumn(_SLICE, F.when(is_hot, F.pmod(row, F.lit(slices)).cast("int")).otherwise(0))
     every = F.sequence(F.lit(0), F.lit(slices - 1))

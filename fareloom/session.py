@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # SQL text may quote mixed-case columns as it does elsewhere: t."PULocationID".
+    "spark.sql.ansi.doubleQuotedIdentifiers": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",

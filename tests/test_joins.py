@@ -1,0 +1,87 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from fareloom.operators import joins
+from fareloom.session import materialise
+
+HOW = ["inner", "left", "left_semi", "left_anti"]
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of the rows on key 7, another lot without a key, and exact copies among both."""
+    keys = (
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 1, F.lit(None)).otherwise(F.col("id") % 1000)
+    ).cast("bigint")
+    return spark.range(6000).select(keys.alias("k"), (F.col("id") % 5).alias("v"))
+
+
+@pytest.fixture
+def dimension(spark):
+    """Keys 0..499, key 7 twice."""
+    ones = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("d"))
+    return ones.unionByName(spark.createDataFrame([(7, 71)], "k bigint, d bigint"))
+
+
+@pytest.mark.parametrize("how", HOW)
+def test_skew_join_equals_plain_join(skewed, dimension, how, no_broadcast):
+    assert rows(joins.skew_join(skewed, dimension, ["k"], how)) == rows(skewed.join(dimension, ["k"], how))
+
+
+@pytest.mark.parametrize("how", HOW)
+def test_sized_join_equals_plain_join(skewed, dimension, how):
+    assert rows(joins.sized_join(skewed, dimension, ["k"], how)) == rows(skewed.join(dimension, ["k"], how))
+
+
+def test_position_in_the_file_survives_projections(spark, skewed):
+    assert not joins._has_row_position(skewed)
+    stored = materialise(skewed, "skewed")
+    assert joins._has_row_position(stored.select("k").withColumn("x", F.lit(1)).where("k > 1"))
+    assert not joins._has_row_position(stored.join(stored.alias("other"), "k"))
+    assert not joins._has_row_position(stored.groupBy("k").count())
+
+
+def test_two_column_keys(spark, no_broadcast):
+    left = spark.range(3000).select((F.col("id") % 2).alias("a"), (F.col("id") % 600 * (F.col("id") % 2)).alias("b"))
+    right = spark.createDataFrame([(0, 0, "x"), (1, 5, "y")], "a bigint, b bigint, d string")
+    assert rows(joins.skew_join(left, right, ["a", "b"], "left")) == rows(left.join(right, ["a", "b"], "left"))
+
+
+def test_hot_keys_are_found(spark, skewed):
+    hot = joins.hot_keys(skewed, ["k"])
+    assert len(hot) == 2
+    expected = spark.createDataFrame([(7,), (None,)], "k bigint").select(F.xxhash64("k")).collect()
+    assert set(hot) == {row[0] for row in expected}
+    assert joins.hot_keys(spark.range(10000), ["id"]) == []
+    assert joins.hot_keys(spark.range(0), ["id"]) == []
+
+
+def test_hot_rows_reach_all_partitions(spark, skewed, dimension, setting, no_broadcast):
+    setting("spark.sql.adaptive.enabled", "false")
+    left = materialise(skewed, "skewed")
+    right = dimension.dropDuplicates(["k"])
+
+    def sizes(joined):
+        per_task = joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max("d"))
+        return [row.n for row in per_task.collect()]
+
+    spread = sizes(joins.skew_join(left, right, ["k"], "left"))
+    assert len(spread) == 4 and sum(spread) == 6000
+    assert max(spread) < 0.35 * 6000 < max(sizes(left.join(right, ["k"], "left")))
+
+
+def test_without_hot_keys_the_join_is_plain(spark, no_broadcast):
+    plan = joins.skew_join(spark.range(1000), spark.range(500), ["id"])
+    assert "_slice" not in plan._jdf.queryExecution().toString()
+
+
+def test_broadcast_depends_on_size(spark, skewed, dimension, setting):
+    stored = materialise(dimension, "dimension")
+
+    def strategy():
+        return joins.sized_join(skewed, stored, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in strategy()
+    setting("spark.sql.autoBroadcastJoinThreshold", "100")
+    assert "strategy=broadcast" not in strategy()

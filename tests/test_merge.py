@@ -1,0 +1,76 @@
+from collections import defaultdict
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from fareloom.operators.merge import first_month_wins, shared_keys, unmatched
+
+
+@pytest.fixture(params=["broadcast", "shuffle"])
+def road(request, setting):
+    if request.param == "shuffle":
+        setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+SCHEMA = "k string, v int"
+
+
+def test_insert_only(spark, road):
+    target = spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], SCHEMA)
+    source = spark.createDataFrame([("a", 2), ("c", 2), ("c", 2), ("c", 3), (None, 2), (None, 2)], SCHEMA)
+    added = [("c", 2), ("c", 2), ("c", 3), (None, 2), (None, 2)]
+    assert rows(unmatched(source, target, ["k"])) == sorted(added, key=repr)
+    assert rows(shared_keys(source, target, ["k"])) == [("a",)]
+
+
+def test_empty_sides(spark, road):
+    some = spark.createDataFrame([("a", 1)], SCHEMA)
+    none = spark.createDataFrame([], SCHEMA)
+    assert rows(unmatched(some, none, ["k"])) == [("a", 1)]
+    assert rows(unmatched(none, some, ["k"])) == []
+    assert rows(unmatched(some, some, ["k"])) == []
+
+
+def test_hot_key_in_the_batch(spark, road):
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    source = spark.range(3000).select(key.alias("k"), F.lit(1).alias("v"))
+    target = source.where("k <> 'hot'").limit(500)
+    assert unmatched(source, target, ["k"]).count() == 2500
+    everything = unmatched(source, source, ["k"])
+    assert everything.count() == 0
+    assert unmatched(source, source.where("k = 'hot'"), ["k"]).count() == 2000
+
+
+def test_column_order_survives(spark, road):
+    source = spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string")
+    assert unmatched(source, source.where("v = 1"), ["k"]).columns == ["v", "k"]
+
+
+def by_hand(data):
+    """Month after month: rows whose key an earlier month already brought are left out."""
+    months = defaultdict(list)
+    for key, month, value in data:
+        months[month].append((key, month, value))
+    loaded, result = set(), []
+    for month in sorted(months):
+        fresh = [row for row in months[month] if row[0] is None or row[0] not in loaded]
+        result += fresh
+        loaded |= {row[0] for row in fresh}
+    return sorted(result, key=repr)
+
+
+def test_first_month_wins(spark, road):
+    data = [
+        ("a", "2020-01", 1), ("a", "2020-01", 1), ("a", "2020-02", 2),
+        ("b", "2020-02", 3), ("b", "2020-02", 4), ("b", "2020-03", 5),
+        ("c", "2020-03", 6), (None, "2020-01", 7), (None, "2020-02", 8),
+    ]
+    data += [("hot", f"2020-{1 + i % 12:02d}", i) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, m string, v int")
+    assert rows(first_month_wins(df, ["k"], "m")) == by_hand(data)
+
+
+def test_first_month_wins_without_overlap(spark):
+    df = spark.createDataFrame([("a", "1", 1), ("b", "2", 2)], "k string, m string, v int")
+    assert first_month_wins(df, ["k"], "m") is df

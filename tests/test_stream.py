@@ -1,0 +1,47 @@
+import uuid
+
+import pytest
+from conftest import rows, yellow_rows
+
+from fareloom.sources.files import month_path
+from fareloom.streaming.ingest import ingest_stream
+
+
+@pytest.fixture
+def run(spark, tmp_path):
+    name = f"stream_{uuid.uuid4().hex}"
+    folder = tmp_path / "arrivals"
+    folder.mkdir()
+
+    def arrive(month, *trips):
+        raw = yellow_rows(spark, *trips)
+        raw.coalesce(1).write.parquet(month_path(f"{folder}/", "yellow", 2020, month))
+        return raw.schema
+
+    def ingest(schema, files_per_batch=1):
+        ingest_stream(
+            spark, str(folder), schema, "yellow", name, str(tmp_path / "checkpoint"), files_per_batch
+        ).awaitTermination()
+        return rows(spark.table(name).groupBy("file_name", "vendor_id").count())
+
+    yield arrive, ingest
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@pytest.mark.parametrize("files_per_batch", [1, None])
+def test_files_are_merged_once_as_they_arrive(run, files_per_batch):
+    arrive, ingest = run
+    schema = arrive(1, (1, "2020-01-01 10:00:00", 5.0), (1, "2020-01-01 10:00:00", 5.0))
+    first = [("yellow_tripdata_2020-01.parquet", 1, 2)]
+    assert ingest(schema, files_per_batch) == first
+    assert ingest(schema, files_per_batch) == first
+    arrive(2, (1, "2020-01-01 10:00:00", 5.0), (2, "2020-02-01 10:00:00", 5.0))
+    assert ingest(schema, files_per_batch) == [*first, ("yellow_tripdata_2020-02.parquet", 2, 1)]
+
+
+def test_several_files_in_one_batch_follow_month_order(run):
+    arrive, ingest = run
+    arrive(2, (1, "2020-01-01 10:00:00", 5.0), (2, "2020-02-01 10:00:00", 5.0))
+    schema = arrive(1, (1, "2020-01-01 10:00:00", 5.0))
+    expected = [("yellow_tripdata_2020-01.parquet", 1, 1), ("yellow_tripdata_2020-02.parquet", 2, 1)]
+    assert ingest(schema, None) == expected
