@@ -79,7 +79,7 @@ def _has_row_position(df: DataFrame) -> bool:
     return len(kinds) == 1 and "row_index" in kinds[0]
 
 
-def _row_spread(df: DataFrame) -> tuple[DataFrame, Column]:
+def row_position(df: DataFrame) -> tuple[DataFrame, Column]:
     """A number per row that exact copies do not share: the position in the parquet file.
 
     It must be the same when a lost task runs again, which rules out random numbers; a
@@ -109,7 +109,7 @@ def skew_join(
     if not hot:
         return left.join(right, list(on), how)
     if spread is None:
-        left, row = _row_spread(left)
+        left, row = row_position(left)
     else:
         row = F.col(spread)
     slices = SLICES_PER_PARTITION * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))

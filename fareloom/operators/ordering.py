@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.operators.joins import sized_join
+from fareloom.operators.joins import row_position, sized_join
 from fareloom.session import materialise
 
-_ID, _PIECE, _START = "_id", "_piece", "_start"
+_ID, _PIECE, _START, _ROW = "_id", "_piece", "_start", "_row"
 # monotonically_increasing_id keeps the position inside a partition in its low bits.
 _POSITION_BITS = (1 << 33) - 1
 
@@ -25,14 +25,16 @@ def preview(df: DataFrame, n: int = 5, by: Sequence[str] = ()) -> DataFrame:
     return (df.orderBy(*[F.col(name).asc_nulls_last() for name in by]) if by else df).limit(n)
 
 
-def sort_by(df: DataFrame, first: str, *ties: str) -> DataFrame:
+def sort_by(df: DataFrame, *order: str) -> DataFrame:
     """Full ascending sort, missing values last.
 
-    All other columns follow as tie-breakers, so that a time shared by very many rows
-    is still cut into several ranges.
+    The place in the file comes last, so that a time shared by very many rows, or very
+    many copies of one row, is still cut into several ranges.
     """
-    rest = [name for name in df.columns if name != first and name not in ties]
-    return df.orderBy(*[F.col(name).asc_nulls_last() for name in (first, *ties, *rest)])
+    columns = df.columns
+    df, row = row_position(df)
+    placed = df.withColumn(_ROW, row)
+    return placed.orderBy(*[F.col(name).asc_nulls_last() for name in order], _ROW).select(*columns)
 
 
 def _add_offsets(placed: DataFrame, position: Column, order: Sequence[str], name: str) -> DataFrame:

@@ -152,6 +152,9 @@ SELECT CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetim
 FROM trips GROUP BY 1, 2""",
     "rows_per_file_name": _PER_FILE,
     "rows_per_month_file": _PER_FILE,
+    "rows_per_csv_file": f"""WITH {TRIPS}
+SELECT 'green_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.csv.gz' AS file_name, count(*) AS n
+FROM trips GROUP BY 1""",
     "loaded_tables_sql": _TOP_ZONE,
     "trip_unique_id": f"WITH {TRIPS} SELECT {UNIQUE_ID} AS unique_id FROM trips",
     "money_decimal": """SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(10,2)) AS amount

@@ -5,13 +5,15 @@ Column names default to the conformed ones; raw tables pass their own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.functions.names import month_file_column
+from fareloom.functions.names import month_file_column, months_between
 from fareloom.functions.values import to_money
 from fareloom.operators.joins import sized_join
 from fareloom.operators.ordering import top_n
+from fareloom.operators.profile import rows_per_file
+from fareloom.sources.files import present_months, read_csv_text
 
 
 def _between(moment: str, start: str, end: str) -> Column:
@@ -107,3 +109,11 @@ def rows_per_file_name(trips: DataFrame, colour: str, pickup: str = "pickup_date
     return trips.groupBy(month_file_column(colour, F.col(pickup)).alias("file_name")).agg(
         F.count(F.lit(1)).alias("n")
     )
+
+
+def rows_per_csv_file(
+    spark: SparkSession, prefix: str, colour: str, first: tuple[int, int], last: tuple[int, int], extension: str = "csv.gz"
+) -> DataFrame:
+    """Row count of every CSV month file in a span, in one scan; absent months have no row."""
+    paths = present_months(spark, prefix, colour, months_between(first, last), extension)
+    return rows_per_file(read_csv_text(spark, *paths))

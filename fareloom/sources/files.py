@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,43 +19,43 @@ from fareloom.schemas import RAW_GREEN_CASTS, RAW_YELLOW, ZONE_LOOKUP
 
 FOOTER_READERS = 16
 
+# A quote inside a quoted text is doubled; a backslash is a letter like any other.
+_CSV = {"header": "true", "escape": '"'}
+
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_csv_text(spark: SparkSession, *paths: str) -> DataFrame:
+def read_csv_text(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
     """A headed CSV (or .csv.gz) as text columns, found by name; missing-value tokens are NULL.
 
     A gzip file cannot be split, so one file is one task; spread the rows afterwards
-    (``spread_rows``) when few files feed heavy work.
+    (``spread_rows``) when few files feed heavy work. ``multi_line`` admits line breaks
+    inside quotes and makes every file one task.
     """
-    scan = spark.read.option("header", True).csv(list(paths))
+    scan = spark.read.options(**_CSV).option("multiLine", multi_line).csv(list(paths))
     return scan.select(*[missing_to_null(F.col(f"`{name}`")).alias(name) for name in scan.columns])
 
 
-def read_csv(spark: SparkSession, schema: T.StructType, *paths: str) -> DataFrame:
+def read_csv(spark: SparkSession, schema: T.StructType, *paths: str, multi_line: bool = False) -> DataFrame:
     """A headed CSV under explicit types, columns matched by name and in file order.
 
     Integer columns accept ``1.0`` and refuse ``1.5``. Columns outside the schema stay text.
     """
-    text = read_csv_text(spark, *paths)
+    text = read_csv_text(spark, *paths, multi_line=multi_line)
     kinds = {field.name: field.dataType for field in schema.fields}
     return text.select(
         *[
-            (_parse(F.col(f"`{name}`"), kinds[name]) if name in kinds else F.col(f"`{name}`")).alias(name)
+            cast_to(F.col(f"`{name}`"), T.StringType(), kinds.get(name, T.StringType())).alias(name)
             for name in text.columns
         ]
     )
 
 
-def _parse(column: Column, kind: T.DataType) -> Column:
-    return cast_to(column, T.StringType(), kind)
-
-
 def read_inferred_csv(spark: SparkSession, *paths: str) -> DataFrame:
     """A headed CSV with types found by a pass over the data."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(list(paths))
+    return spark.read.options(**_CSV).option("inferSchema", True).csv(list(paths))
 
 
 def read_yellow_csv(spark: SparkSession, *paths: str) -> DataFrame:
@@ -96,6 +96,14 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
+def present_months(
+    spark: SparkSession, prefix: str, colour: str, months: Iterable[tuple[int, int]], extension: str = "csv.gz"
+) -> list[str]:
+    """Paths of the month files that exist."""
+    paths = [month_path(prefix, colour, year, month, extension) for year, month in months]
+    return [path for path in paths if path_exists(spark, path)]
+
+
 def read_months(
     spark: SparkSession, prefix: str, colour: str, months: Iterable[tuple[int, int]]
 ) -> tuple[list[DataFrame], list[str]]:

@@ -13,10 +13,7 @@ def expanded_sizes(spark: SparkSession, paths: str | list[str], group: Column |
     ends in a line break. Files are read line by line in parallel; none is held whole.
     """
     lines = spark.read.option("lineSep", "\n").text(paths)
-    by = F.col("_metadata.file_name") if group is None else group
+    by = [F.col("_metadata.file_path"), F.col("_metadata.file_name")] if group is None else [group.alias("file_name")]
     total = F.sum(F.octet_length("value") + F.lit(1).cast("bigint"))
-    return (
-        lines.groupBy(by.alias("file_name"))
-        .agg(total.alias("bytes"))
-        .withColumn("mib", F.round(F.col("bytes") / F.lit(1024 * 1024), 1))
-    )
+    sizes = lines.groupBy(*by).agg(total.alias("bytes"))
+    return sizes.select("file_name", "bytes", F.round(F.col("bytes") / F.lit(1024 * 1024), 1).alias("mib"))

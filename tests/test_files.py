@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from fareloom.plans import reports
 from fareloom.schemas import RAW_YELLOW
 from fareloom.sinks.files import read_tsv, write_csv_gz, write_parquet, write_tsv
 from fareloom.sources import files
@@ -65,6 +66,16 @@ def test_inferred_csv_and_literal_table(spark, tmp_path):
     assert rows(table.withColumn("month", F.lit(5).cast("bigint"))) == [(1, 3, 5), (2, 4, 5)]
 
 
+def test_csv_texts_with_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text('a,b\n1,"say ""hi"", now"\n2,back\\slash\n3,"two\nlines"\n')
+    found = rows(files.read_csv_text(spark, str(path), multi_line=True))
+    assert found == [("1", 'say "hi", now'), ("2", "back\\slash"), ("3", "two\nlines")]
+    df = spark.createDataFrame([("1", 'say "hi", now'), ("2", " back\\slash ")], "a string, b string")
+    write_csv_gz(df, str(tmp_path / "out"))
+    assert rows(files.read_csv_text(spark, str(tmp_path / "out"))) == rows(df)
+
+
 TEXTS = ["plain", "", None, " padded ", 'quote " inside', "tab\tinside", "back\\slash", "NULL", "ünïcode"]
 
 
@@ -119,3 +130,10 @@ def test_partitioned_write_keeps_files_few(spark, tmp_path):
     assert len(list((tmp_path / "p").rglob("*.parquet"))) < 16
     write_csv_gz(df, str(tmp_path / "c"), partition_by=["m"])
     assert files.read_csv_text(spark, str(tmp_path / "c")).count() == 4000
+
+
+def test_year_of_csv_files(spark, tmp_path):
+    for month, count in ((1, 3), (2, 5), (12, 0)):
+        gz(tmp_path / f"yellow_tripdata_2020-{month:02d}.csv.gz", "v\n" + "1\n" * count)
+    found = rows(reports.rows_per_csv_file(spark, f"{tmp_path}/", "yellow", (2020, 1), (2020, 12)))
+    assert found == [("yellow_tripdata_2020-01.csv.gz", 3), ("yellow_tripdata_2020-02.csv.gz", 5)]

@@ -40,7 +40,10 @@ def test_numbers_of_sorted_rows(spark):
     assert found == sorted(((i, a, b) for i, (b, a) in enumerate(ordered)), key=repr)
 
 
-def test_many_equal_times_and_copies(spark):
-    df = spark.range(3000).select(F.lit(1).alias("t"), (F.col("id") % 2).alias("x"))
+def test_copies_are_cut_into_several_ranges(spark, setting):
+    setting("spark.sql.adaptive.enabled", "false")
+    df = spark.range(4000).select(F.lit(1).alias("t"), (F.col("id") % 2).alias("x"))
     found = ordering.number_sorted_rows(df, ["t"])
-    assert sorted(r["index"] for r in found.collect()) == list(range(3000))
+    assert sorted(r["index"] for r in found.collect()) == list(range(4000))
+    per_task = ordering.sort_by(df, "t", "x").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_task) < 2000
