@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fareloom.functions.names import month_file_of
 from fareloom.operators.conform import conform
 from fareloom.operators.merge import first_month_wins
-from fareloom.plans.loads import create_target, merge_into
+from fareloom.plans.loads import ROW, create_target, merge_into, numbered
 from fareloom.schemas import COLOURS, FILE_NAME, KEY
 
 
@@ -37,10 +37,10 @@ def ingest_stream(
     arrivals = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if files_per_batch:
         arrivals = arrivals.option("maxFilesPerTrigger", files_per_batch)
-    rows = conform(arrivals.parquet(folder), fleet, month_file_of(F.col("_metadata.file_path")))
+    rows = numbered(conform(arrivals.parquet(folder), fleet, month_file_of(F.col("_metadata.file_path"))))
 
     def merge_batch(batch: DataFrame, _: int) -> None:
-        kept = batch if files_per_batch == 1 else first_month_wins(batch, [KEY], FILE_NAME)
+        kept = batch if files_per_batch == 1 else first_month_wins(batch, [KEY], FILE_NAME, ROW)
         merge_into(batch.sparkSession, kept, target, fleet, several_months=files_per_batch != 1)
 
     return (

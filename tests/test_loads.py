@@ -94,7 +94,7 @@ def test_merge_reads_only_the_months_of_the_batch(spark, prefix, target):
     name = target()
     loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 4), name)
     batch = spark.table(name).where(F.col(PICKUP_MONTH) == "2020-02")
-    pruned = loads._same_months(spark.table(name), batch)
+    pruned = loads._same_months(spark.table(name), loads._rows_by_month(batch))
     assert {row[0] for row in pruned.select(PICKUP_MONTH).distinct().collect()} == {"2020-02", None}
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [((pickup_month" in plan and "DataFilters: []" in plan
