@@ -20,6 +20,7 @@ _SKETCH_ITEMS = 8192
 # Slices are hashed to partitions, so several per partition even out what each one gets.
 SLICES_PER_PARTITION = 8
 _SLICE = "_slice"
+JOIN_TYPES = ("inner", "left", "left_semi", "left_anti")
 
 
 def size_bound(df: DataFrame) -> int:
@@ -51,7 +52,7 @@ def sized_join(
     bound it better than the planner does (it multiplies the sizes of joined inputs).
     ``how`` may be inner, left, left_semi or left_anti. The rest is for ``skew_join``.
     """
-    if fits_broadcast(*(bounded_by or (right,))):
+    if how in JOIN_TYPES and fits_broadcast(*(bounded_by or (right,))):
         return left.join(F.broadcast(right), list(on), how)
     return skew_join(left, right, on, how, keys_from, spread)
 
@@ -105,6 +106,8 @@ def skew_join(
     scan to look for hot keys in (``keys_from``) and a row number kept from that scan
     (``spread``), so that nothing runs twice.
     """
+    if how not in JOIN_TYPES:
+        raise ValueError(f"a {how} join would repeat the copied rows")
     hot = hot_keys(left if keys_from is None else keys_from, on)
     if not hot:
         return left.join(right, list(on), how)

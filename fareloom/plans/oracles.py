@@ -247,6 +247,6 @@ SELECT months.* FROM months JOIN firsts
         "\nWHERE pickup_datetime >= TIMESTAMP '1995-01-01' AND pickup_datetime < TIMESTAMP '1996-01-01'",
     ),
     "backfill_all_months": _conformed("yellow"),
-    "load_metrics": f"WITH {TRIPS} SELECT count(*) AS first_run, CAST(0 AS BIGINT) AS second_run FROM trips",
+    "load_metrics": f"WITH {TRIPS} SELECT count(*) AS offered, count(*) AS first_run, CAST(0 AS BIGINT) AS second_run FROM trips",
     "stream_ingest": _conformed("yellow"),
 }

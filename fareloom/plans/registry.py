@@ -392,7 +392,7 @@ def backfill_all_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that a backfill inserted, and that its repetition inserted."""
+    """Rows that a backfill was offered and inserted, and that its repetition inserted."""
     target = _Table(spark, "yellow_metrics")
     prefix = _month_files(spark, sf_dir)
     runs = [
@@ -400,7 +400,8 @@ def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         for _ in range(2)
     ]
     target.rows()
-    return spark.createDataFrame([tuple(run.inserted for run in runs)], "first_run bigint, second_run bigint")
+    counts = (runs[0].offered, runs[0].inserted, runs[1].inserted)
+    return spark.createDataFrame([counts], "offered bigint, first_run bigint, second_run bigint")
 
 
 @query

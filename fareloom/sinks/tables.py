@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from fareloom.session import path_exists
+
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def create_table(
     spark: SparkSession,
@@ -15,11 +19,19 @@ def create_table(
     partition_by: Sequence[str] = (),
     location: str | None = None,
 ) -> None:
-    """A typed parquet table, unless it is there already."""
+    """A typed parquet table, unless it is there already.
+
+    A location that holds partitions, written when another catalog knew the table, is
+    taken over with its rows.
+    """
+    if spark.catalog.tableExists(name):
+        return
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
     layout = f" PARTITIONED BY ({', '.join(f'`{column}`' for column in partition_by)})" if partition_by else ""
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{layout}{place}")
+    if partition_by and location and path_exists(spark, location):
+        spark.catalog.recoverPartitions(name)
 
 
 def replace_table(df: DataFrame, name: str, location: str | None = None) -> None:
@@ -42,8 +54,13 @@ def append_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
 
 def truncate_table(spark: SparkSession, name: str) -> None:
     """Remove all rows, of managed tables and of tables with a location of their own."""
-    empty = spark.createDataFrame([], spark.table(name).schema)
-    empty.write.insertInto(name, overwrite=True)
+    mode = spark.conf.get(_OVERWRITE_MODE)
+    # An overwrite that replaces only the partitions it writes would leave all of them.
+    spark.conf.set(_OVERWRITE_MODE, "static")
+    try:
+        spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, mode)
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = 5000, **options: str) -> None:

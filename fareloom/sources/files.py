@@ -16,6 +16,7 @@ from fareloom.functions.names import month_file_name
 from fareloom.functions.values import cast_to, missing_to_null
 from fareloom.operators.conform import cast_columns
 from fareloom.schemas import RAW_GREEN_CASTS, RAW_YELLOW, ZONE_LOOKUP
+from fareloom.session import path_exists
 
 FOOTER_READERS = 16
 
@@ -85,12 +86,6 @@ def month_path(prefix: str, colour: str, year: int, month: int, extension: str =
     return prefix + month_file_name(colour, year, month, extension)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asked of the path's own file system; a failure to reach it is raised."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The parquet scan, or None for an absent path; every other failure is raised."""
     return spark.read.parquet(path) if path_exists(spark, path) else None

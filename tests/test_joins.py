@@ -85,3 +85,8 @@ def test_broadcast_depends_on_size(spark, skewed, dimension, setting):
     assert "strategy=broadcast" in strategy()
     setting("spark.sql.autoBroadcastJoinThreshold", "100")
     assert "strategy=broadcast" not in strategy()
+
+
+def test_joins_that_keep_right_rows_are_refused(skewed, dimension, no_broadcast):
+    with pytest.raises(ValueError, match="full"):
+        joins.sized_join(skewed, dimension, ["k"], "full")

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows, yellow_rows
 from pyspark.sql import functions as F
 
+from fareloom.operators.conform import conform
 from fareloom.plans import loads
 from fareloom.schemas import COLOURS, PICKUP_MONTH
 from fareloom.sinks.tables import truncate_table
@@ -51,7 +52,7 @@ def test_month_load_is_insert_only_and_repeatable(spark, prefix, target):
     assert loads.load_month(spark, prefix, "yellow", 2020, 1, name).inserted == 4
     assert loads.load_month(spark, prefix, "yellow", 2020, 1, name).inserted == 0
     report = loads.load_month(spark, prefix, "yellow", 2020, 2, name)
-    assert report.inserted == 2 and report.rows_per_second > 0
+    assert (report.offered, report.inserted) == (4, 2) and report.rows_per_second > 0
     skipped = loads.load_month(spark, prefix, "yellow", 2020, 3, name)
     assert skipped.inserted == 0 and skipped.absent == ["yellow_tripdata_2020-03.parquet"]
     loaded = loads.target_rows(spark, name, YELLOW)
@@ -85,6 +86,37 @@ def test_backfill_after_some_months(spark, prefix, target):
     assert loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 4), name).inserted == 8
 
 
+def test_target_outlives_its_catalog_entry(spark, prefix, target, tmp_path):
+    """A new catalog finds the rows at the location, so a repeated load still adds nothing."""
+    first, second = target(), target()
+    location = str(tmp_path / "target")
+    loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 4), first, location)
+    spark.sql(f"DROP TABLE {first}")
+    assert loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 4), second, location).inserted == 0
+    assert spark.table(second).count() == 8
+
+
+def test_stray_dates_only_cost_the_pruning(spark, prefix, target, monkeypatch):
+    name = target()
+    monkeypatch.setattr(loads, "MONTH_LIST_LIMIT", 1)
+    for inserted in (8, 0):
+        report = loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 4), name)
+        assert (report.offered, report.inserted) == (8, inserted)
+
+
+def test_long_months_are_written_in_parts(spark, tmp_path, target, setting):
+    """A month with nine tenths of the rows does not end in one task."""
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    setting("spark.sql.shuffle.partitions", "16")
+    trips = [(i, f"2020-0{1 + (i % 10 == 0)}-05 10:00:00", float(i % 3)) for i in range(2000)]
+    yellow_rows(spark, *trips).coalesce(1).write.parquet(f"{tmp_path}/raw")
+    batch = loads.numbered(conform(spark.read.parquet(f"{tmp_path}/raw"), YELLOW, F.lit("f")))
+    batch = batch.withColumn(PICKUP_MONTH, loads.pickup_month(YELLOW))
+    gathered = loads._gathered_by_month(batch, loads._rows_by_month(batch))
+    sizes = [row["count"] for row in gathered.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 900
+
+
 def test_nothing_to_load(spark, prefix, target):
     report = loads.backfill(spark, prefix, "yellow", (2021, 1), (2021, 2), target())
     assert report.inserted == 0 and len(report.absent) == 2

@@ -46,7 +46,9 @@ def test_typed_table_is_created_once(spark, name, location, target):
     assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in target]
 
 
-def test_truncate(spark, name, location):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_truncate(spark, name, location, setting, mode):
+    setting("spark.sql.sources.partitionOverwriteMode", mode)
     schema = T.StructType([T.StructField("v", T.IntegerType()), T.StructField(PICKUP_MONTH, T.StringType())])
     tables.create_table(spark, name, schema, [PICKUP_MONTH], location)
     data = spark.createDataFrame([(1, "2020-01"), (2, "2020-02"), (3, None)], schema)
