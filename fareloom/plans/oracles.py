@@ -174,7 +174,7 @@ SELECT fare_amount, CAST(vendor_id AS BIGINT) AS "VendorID",
 FROM trips""",
     "conform_trips": _conformed("yellow"),
     "conform_green_trips": _conformed("green"),
-    "null_profile_lines": _union(
+    "null_profile": _union(
         [f"SELECT '{name}' AS column_name, count(*) - count({name}) AS null_count FROM lineitem" for name in LINE_COLUMNS]
     ),
     "null_profile_trips": f"WITH {TRIPS}\n"
@@ -230,7 +230,7 @@ SELECT CAST(vendor_id AS BIGINT) AS "VendorID", pickup_datetime AS tpep_pickup_d
 FROM trips""",
     "merge_insert_only": f"WITH {_MERGE} SELECT * FROM target UNION ALL SELECT * FROM added",
     "merge_inserted_count": f"WITH {_MERGE} SELECT count(*) AS n FROM added",
-    "first_month_rows": """WITH months AS (
+    "first_month_wins": """WITH months AS (
   SELECT *, strftime(l_shipdate, '%Y-%m') AS ship_month FROM lineitem
 ), firsts AS (
   SELECT l_orderkey, l_linenumber, min(ship_month) AS first_month FROM months GROUP BY 1, 2

@@ -15,10 +15,9 @@ from pyspark.sql import types as T
 
 from fareloom.functions.names import month_file_column
 from fareloom.functions.values import coerce_int, to_money
+from fareloom.operators import merge, profile
 from fareloom.operators.conform import cast_columns, conform, trip_key
-from fareloom.operators.merge import first_month_wins, unmatched
 from fareloom.operators.ordering import number_file_rows, number_sorted_rows, preview
-from fareloom.operators.profile import null_profile, row_count, rows_per_file, table_profile
 from fareloom.plans import loads, reports
 from fareloom.plans.views import raw_trips, table, trips, zones
 from fareloom.schemas import COLOURS, FILE_NAME, RAW_GREEN_CASTS
@@ -67,7 +66,7 @@ def _month_files(spark: SparkSession, sf_dir: str, colour: str = "yellow") -> st
 
 @query
 def count_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_count(trips(spark, sf_dir))
+    return profile.row_count(trips(spark, sf_dir))
 
 
 @query
@@ -116,7 +115,7 @@ def rows_per_file_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rows_per_month_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts attributed to the file each row was read from."""
     prefix = _month_files(spark, sf_dir)
-    return rows_per_file(spark.read.parquet(prefix + "*"))
+    return profile.rows_per_file(spark.read.parquet(prefix + "*"))
 
 
 @query
@@ -199,18 +198,18 @@ def conform_green_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def null_profile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return null_profile(table(spark, sf_dir, "lineitem"))
+def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.null_profile(table(spark, sf_dir, "lineitem"))
 
 
 @query
 def null_profile_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return null_profile(raw_trips(spark, sf_dir, "yellow"))
+    return profile.null_profile(raw_trips(spark, sf_dir, "yellow"))
 
 
 @query
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_profile(table(spark, sf_dir, "lineitem"))
+    return profile.table_profile(table(spark, sf_dir, "lineitem"))
 
 
 # Order
@@ -347,19 +346,19 @@ def _merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 @query
 def merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _merge_sides(spark, sf_dir)
-    return target.unionByName(unmatched(source, target, LINE_KEY))
+    return target.unionByName(merge.unmatched(source, target, LINE_KEY))
 
 
 @query
 def merge_inserted_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = _merge_sides(spark, sf_dir)
-    return row_count(unmatched(source, target, LINE_KEY))
+    return profile.row_count(merge.unmatched(source, target, LINE_KEY))
 
 
 @query
-def first_month_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def first_month_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumn("ship_month", F.date_format("l_shipdate", "yyyy-MM"))
-    return first_month_wins(lines, LINE_KEY, "ship_month")
+    return merge.first_month_wins(lines, LINE_KEY, "ship_month")
 
 
 @query
