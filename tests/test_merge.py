@@ -4,7 +4,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from fareloom.operators.joins import size_bound
 from fareloom.operators.merge import first_month_wins, shared_keys, unmatched
+from fareloom.session import materialise
 
 
 @pytest.fixture(params=["broadcast", "shuffle"])
@@ -42,6 +44,19 @@ def test_hot_key_in_the_batch(spark, road):
     assert unmatched(source, source.where("k = 'hot'"), ["k"]).count() == 2000
 
 
+def test_mostly_known_batch(spark, setting):
+    """The keys in common are too many to broadcast, the new ones are not."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "20000")
+    known = spark.range(20000).select(F.md5(F.col("id").cast("string")).alias("k"), F.lit(1).alias("v"))
+    more = spark.createDataFrame([("x", 2), ("x", 2), ("y", 3), (None, 4)], SCHEMA)
+    source = known.unionByName(more)
+    assert size_bound(materialise(known.select("k"), "known")) > 20000
+    added = unmatched(source, known, ["k"])
+    assert "BroadcastExchange" in added._jdf.queryExecution().executedPlan().toString()
+    assert rows(added) == sorted([("x", 2), ("x", 2), ("y", 3), (None, 4)], key=repr)
+    assert rows(unmatched(known, known, ["k"])) == []
+
+
 def test_column_order_survives(spark, road):
     source = spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string")
     assert unmatched(source, source.where("v = 1"), ["k"]).columns == ["v", "k"]
