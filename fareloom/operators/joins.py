@@ -7,6 +7,8 @@ hold a large share of the left rows are spread over all shuffle partitions.
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,11 +17,12 @@ from pyspark.sql import functions as F
 from fareloom.session import materialise
 
 # A key is hot when it holds more than one in HOT_SHARE rows, so at most HOT_SHARE keys can be.
-HOT_SHARE = 256
-_SKETCH_ITEMS = 8192
+HOT_SHARE = 1024
+_SKETCH_ITEMS = 16384
 # Slices are hashed to partitions, so several per partition even out what each one gets.
 SLICES_PER_PARTITION = 8
 _SLICE = "_slice"
+# Joins that keep right rows would repeat the copies made of them.
 JOIN_TYPES = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -52,25 +55,39 @@ def sized_join(
     bound it better than the planner does (it multiplies the sizes of joined inputs).
     ``how`` may be inner, left, left_semi or left_anti. The rest is for ``skew_join``.
     """
-    if how in JOIN_TYPES and fits_broadcast(*(bounded_by or (right,))):
+    _check(how)
+    if fits_broadcast(*(bounded_by or (right,))):
         return left.join(F.broadcast(right), list(on), how)
     return skew_join(left, right, on, how, keys_from, spread)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str]) -> list[int]:
-    """Hashes of the keys that hold more than 1/HOT_SHARE of the rows.
+def _check(how: str) -> None:
+    if how not in JOIN_TYPES:
+        raise ValueError(f"no {how} join here, only {', '.join(JOIN_TYPES)}")
+
+
+def hot_keys(df: DataFrame, on: Sequence[str]) -> dict[int, float]:
+    """Hashes of the keys that hold more than 1/HOT_SHARE of the rows, with their shares.
 
     One pass over the key columns with a mergeable frequent-items sketch: nothing is
     shuffled but the sketches, and at most HOT_SHARE numbers reach the driver. The
-    sketch only decides which keys are spread; results do not depend on it.
+    sketch only decides how keys are spread; results do not depend on it.
     """
-    found = df.select(F.xxhash64(*on).alias("k")).agg(
-        F.expr(f"approx_top_k(k, {HOT_SHARE}, {_SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    ).select(
-        F.transform(F.filter("top", lambda t: t["count"] * HOT_SHARE > F.col("n")), lambda t: t["item"]).alias("hot")
+    sketched = df.select(F.xxhash64(*on).alias("k")).agg(
+        F.expr(f"approx_top_k(k, {HOT_SHARE}, {_SKETCH_ITEMS})").alias("top"), F.count(F.lit(1)).alias("n")
     )
-    return list(found.first()["hot"] or [])
+    hot = F.filter("top", lambda found: found["count"] * HOT_SHARE > F.col("n"))
+    top, rows = sketched.select(hot, "n").first()
+    return {found["item"]: found["count"] / rows for found in top or []}
+
+
+def _slices(key: Column, shares: dict[int, float], partitions: int) -> Column:
+    """Into how many slices a key is cut: by its share of the rows, rounded up to a power of two."""
+    by_count: dict[int, list[int]] = defaultdict(list)
+    for found, share in shares.items():
+        by_count[1 << math.ceil(math.log2(max(2.0, share * partitions * SLICES_PER_PARTITION)))].append(found)
+    cut = F.coalesce(*[F.when(key.isin(found), count) for count, found in by_count.items()])
+    return F.when(key.isin(list(shares)), cut).otherwise(1)
 
 
 def _has_row_position(df: DataFrame) -> bool:
@@ -99,25 +116,24 @@ def skew_join(
     keys_from: DataFrame | None = None,
     spread: str | None = None,
 ) -> DataFrame:
-    """Shuffle join in which the left rows of a hot key go to every partition.
+    """Shuffle join in which the left rows of a hot key go to many partitions.
 
-    Only the right rows of hot keys are copied, once per slice; every left row meets
-    each right row of its key exactly once. A left side that is itself a join names the
-    scan to look for hot keys in (``keys_from``) and a row number kept from that scan
-    (``spread``), so that nothing runs twice.
+    Only the right rows of hot keys are copied, once per slice, and the slices of all hot
+    keys together are a small multiple of the partitions; every left row meets each right
+    row of its key exactly once. A left side that is itself a join names the scan to look
+    for hot keys in (``keys_from``) and a row number kept from that scan (``spread``), so
+    that nothing runs twice.
     """
-    if how not in JOIN_TYPES:
-        raise ValueError(f"a {how} join would repeat the copied rows")
-    hot = hot_keys(left if keys_from is None else keys_from, on)
-    if not hot:
+    _check(how)
+    shares = hot_keys(left if keys_from is None else keys_from, on)
+    if not shares:
         return left.join(right, list(on), how)
     if spread is None:
         left, row = row_position(left)
     else:
         row = F.col(spread)
-    slices = SLICES_PER_PARTITION * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.xxhash64(*on).isin(hot)
-    sliced = left.withColumn(_SLICE, F.when(is_hot, F.pmod(row, F.lit(slices)).cast("int")).otherwise(0))
-    every = F.sequence(F.lit(0), F.lit(slices - 1))
-    copied = right.withColumn(_SLICE, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = _slices(F.xxhash64(*on), shares, partitions)
+    sliced = left.withColumn(_SLICE, F.pmod(row, slices).cast("int"))
+    copied = right.withColumn(_SLICE, F.explode(F.sequence(F.lit(0), slices - 1)))
     return sliced.join(copied, [*on, _SLICE], how).drop(_SLICE)

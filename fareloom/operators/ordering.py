@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.operators.joins import row_position, sized_join
 from fareloom.session import materialise
 
-_ID, _PIECE, _START, _ROW = "_id", "_piece", "_start", "_row"
-# monotonically_increasing_id keeps the position inside a partition in its low bits.
-_POSITION_BITS = (1 << 33) - 1
+_ID, _PART, _START, _ROW = "_id", "_part", "_start", "_row"
+# monotonically_increasing_id keeps the place inside a partition in its low bits.
+_POSITION_BITS = 33
 
 
 def top_n(df: DataFrame, by: str, n: int, *ties: str) -> DataFrame:
@@ -37,26 +37,27 @@ def sort_by(df: DataFrame, *order: str) -> DataFrame:
     return placed.orderBy(*[F.col(name).asc_nulls_last() for name in order], _ROW).select(*columns)
 
 
-def _add_offsets(placed: DataFrame, position: Column, order: Sequence[str], name: str) -> DataFrame:
-    """Place inside a piece plus the rows of all pieces before it.
+def _number(placed: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+    """Place inside a partition plus the rows of all partitions before it.
 
-    The list of pieces has one row for each partition or file split; written down, its
-    size is known and it is normally broadcast.
+    The list of partitions is short; written down, its size is known and it is broadcast.
     """
-    pieces = placed.groupBy(_PIECE).agg(F.count(F.lit(1)).alias("_rows"), F.min(position).alias("_from"))
-    running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = pieces.select(_PIECE, (F.sum("_rows").over(running) - F.col("_rows") - F.col("_from")).alias(_START))
-    joined = sized_join(placed, materialise(starts, "row-offsets"), [_PIECE])
-    return joined.withColumn(name, F.col(_START) + position)
+    parted = placed.withColumn(_PART, F.shiftright(_ID, _POSITION_BITS))
+    sizes = parted.groupBy(_PART).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(_PART, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(_START))
+    joined = sized_join(parted, materialise(starts, "row-offsets"), [_PART])
+    place = F.col(_ID).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    return joined.select((F.col(_START) + place).alias(name), *columns)
 
 
 def number_file_rows(scan: DataFrame, name: str = "index") -> DataFrame:
-    """A plain file scan with a 0-based gapless row number, by file path and place in the file."""
-    piece = F.struct("_metadata.file_path", "_metadata.file_block_start")
-    placed = scan.withColumn(_ID, F.monotonically_increasing_id()).withColumn(_PIECE, piece)
-    position = F.col(_ID).bitwiseAND(F.lit(_POSITION_BITS))
-    numbered = _add_offsets(placed, position, [f"{_PIECE}.file_path", f"{_PIECE}.file_block_start"], name)
-    return numbered.select(name, *scan.columns)
+    """A plain file scan with a 0-based gapless row number that follows the lines of a file.
+
+    The scan runs twice, the first time for its counts only; both times it is cut into
+    the same partitions.
+    """
+    return _number(scan.withColumn(_ID, F.monotonically_increasing_id()), name, scan.columns)
 
 
 def number_sorted_rows(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
@@ -66,6 +67,4 @@ def number_sorted_rows(df: DataFrame, order: Sequence[str], name: str = "index")
     ranges elsewhere.
     """
     placed = materialise(sort_by(df, *order).withColumn(_ID, F.monotonically_increasing_id()), "sorted")
-    placed = placed.withColumn(_PIECE, F.shiftright(_ID, 33))
-    position = F.col(_ID).bitwiseAND(F.lit(_POSITION_BITS))
-    return _add_offsets(placed, position, [_PIECE], name).select(name, *df.columns)
+    return _number(placed, name, df.columns)

@@ -49,12 +49,17 @@ def test_two_column_keys(spark, no_broadcast):
 
 
 def test_hot_keys_are_found(spark, skewed):
-    hot = joins.hot_keys(skewed, ["k"])
-    assert len(hot) == 2
-    expected = spark.createDataFrame([(7,), (None,)], "k bigint").select(F.xxhash64("k")).collect()
-    assert set(hot) == {row[0] for row in expected}
-    assert joins.hot_keys(spark.range(10000), ["id"]) == []
-    assert joins.hot_keys(spark.range(0), ["id"]) == []
+    hashes = spark.createDataFrame([(7,), (None,)], "k bigint").select(F.xxhash64("k")).collect()
+    shares = joins.hot_keys(skewed, ["k"])
+    assert set(shares) == {row[0] for row in hashes}
+    assert round(shares[hashes[0][0]], 2) == 0.33
+    assert joins.hot_keys(spark.range(10000), ["id"]) == {}
+    assert joins.hot_keys(spark.range(0), ["id"]) == {}
+
+
+def test_slices_follow_the_share(spark):
+    df = spark.range(4).select(F.col("id"), joins._slices(F.col("id"), {0: 0.5, 1: 0.01, 2: 0.001}, 100).alias("n"))
+    assert dict(rows(df)) == {0: 512, 1: 8, 2: 2, 3: 1}
 
 
 def test_hot_rows_reach_all_partitions(spark, skewed, dimension, setting, no_broadcast):
@@ -72,7 +77,7 @@ def test_hot_rows_reach_all_partitions(spark, skewed, dimension, setting, no_bro
 
 
 def test_without_hot_keys_the_join_is_plain(spark, no_broadcast):
-    plan = joins.skew_join(spark.range(1000), spark.range(500), ["id"])
+    plan = joins.skew_join(spark.range(10000), spark.range(500), ["id"])
     assert "_slice" not in plan._jdf.queryExecution().toString()
 
 

@@ -128,6 +128,8 @@ def test_merge_reads_only_the_months_of_the_batch(spark, prefix, target):
     batch = spark.table(name).where(F.col(PICKUP_MONTH) == "2020-02")
     pruned = loads._same_months(spark.table(name), loads._rows_by_month(batch))
     assert {row[0] for row in pruned.select(PICKUP_MONTH).distinct().collect()} == {"2020-02", None}
+    assert loads._same_months(spark.table(name), {None: 3}).select(PICKUP_MONTH).distinct().collect() == [(None,)]
+    assert loads._same_months(spark.table(name), None).count() == 8
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [((pickup_month" in plan and "DataFilters: []" in plan
 

