@@ -34,6 +34,11 @@ def month_file_of(path: Column) -> Column:
     return F.regexp_extract(path, MONTH_FILE, 1)
 
 
+def month_of_file(name: Column) -> Column:
+    """The year and month in a month file's name, as yyyy-MM."""
+    return F.regexp_extract(name, r"_([0-9]{4}-[0-9]{2})\.", 1)
+
+
 def months_between(first: tuple[int, int], last: tuple[int, int]) -> Iterator[tuple[int, int]]:
     """Every (year, month) from ``first`` to ``last``, both included."""
     for ordinal in range(first[0] * 12 + first[1] - 1, last[0] * 12 + last[1]):

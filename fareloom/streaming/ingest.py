@@ -9,9 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fareloom.functions.names import month_file_of
 from fareloom.operators.conform import conform
-from fareloom.operators.merge import first_month_wins
-from fareloom.plans.loads import ROW, create_target, merge_into, numbered
-from fareloom.schemas import COLOURS, FILE_NAME, KEY
+from fareloom.plans.loads import create_target, first_month_trips, merge_into, numbered
+from fareloom.schemas import COLOURS
 
 
 def ingest_stream(
@@ -40,7 +39,7 @@ def ingest_stream(
     rows = numbered(conform(arrivals.parquet(folder), fleet, month_file_of(F.col("_metadata.file_path"))))
 
     def merge_batch(batch: DataFrame, _: int) -> None:
-        kept = batch if files_per_batch == 1 else first_month_wins(batch, [KEY], FILE_NAME, ROW)
+        kept = batch if files_per_batch == 1 else first_month_trips(batch, fleet)
         merge_into(batch.sparkSession, kept, target, fleet, several_months=files_per_batch != 1)
 
     return (

@@ -1,3 +1,4 @@
+import random
 import uuid
 from datetime import datetime
 
@@ -78,6 +79,25 @@ def test_backfill_equals_month_by_month(spark, prefix, target, setting, broadcas
     assert {(float(fee), n) for fee, n in by_fee.collect()} == {(0.0, 6), (1.25, 2)}
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_random_months(spark, tmp_path, target, setting, broadcast):
+    """Many copies within and across files, in the wrong month and without a pickup time."""
+    setting("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    dice = random.Random(20)
+    pickups = [None, *(f"2020-0{month}-0{day} 08:00:00" for month in (1, 2, 3) for day in (1, 2))]
+    for month in (1, 2, 3):
+        trips = [
+            (dice.choice([None, 1, 2]), dice.choice(pickups), dice.choice([None, 1.5, 2.5])) for _ in range(60)
+        ]
+        yellow_rows(spark, *trips).write.parquet(month_path(f"{tmp_path}/", "yellow", 2020, month))
+    at_once, stepwise = target(), target()
+    span = ("yellow", (2020, 1), (2020, 3))
+    report = loads.backfill(spark, f"{tmp_path}/", *span, at_once)
+    steps = loads.backfill_stepwise(spark, f"{tmp_path}/", *span, stepwise)
+    assert report.inserted == sum(step.inserted for step in steps) < 180
+    assert rows(spark.table(at_once)) == rows(spark.table(stepwise))
+
+
 def test_backfill_after_some_months(spark, prefix, target):
     name = target()
     loads.load_month(spark, prefix, "yellow", 2020, 2, name)

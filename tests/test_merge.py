@@ -89,3 +89,11 @@ def test_first_month_wins(spark, road):
 def test_first_month_wins_without_overlap(spark):
     df = spark.createDataFrame([("a", "1", 1), ("b", "2", 2)], "k string, m string, v int")
     assert first_month_wins(df, ["k"], "m") is df
+
+
+def test_first_month_with_suspects(spark, road):
+    data = [("a", "1", 1), ("a", "2", 2), ("b", "1", 3), ("b", "1", 4), (None, "2", 5), ("c", "2", 6), ("c", "3", 7)]
+    df = spark.createDataFrame(data, "k string, m string, v int")
+    suspects = df.where("k IN ('a', 'c') AND m > '1' OR k IS NULL")
+    assert rows(first_month_wins(df, ["k"], "m", suspects=suspects)) == by_hand(data)
+    assert first_month_wins(df, ["k"], "m", suspects=df.where("k IS NULL")) is df

@@ -39,6 +39,11 @@ def test_month_file_of_a_path(spark, path, name):
     assert spark.range(1).select(names.month_file_of(F.lit(path))).first()[0] == name
 
 
+def test_month_of_file(spark):
+    names_ = spark.createDataFrame([("green_tripdata_2020-04.csv.gz",), ("zones.csv",)], "n string")
+    assert [r[0] for r in names_.select(names.month_of_file(F.col("n"))).collect()] == ["2020-04", ""]
+
+
 def test_months_between():
     assert list(names.months_between((2020, 11), (2021, 2))) == [(2020, 11), (2020, 12), (2021, 1), (2021, 2)]
     assert list(names.months_between((2021, 1), (2020, 12))) == []
