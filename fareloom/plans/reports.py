@@ -13,7 +13,7 @@ from fareloom.functions.values import to_money
 from fareloom.operators.joins import sized_join
 from fareloom.operators.ordering import top_n
 from fareloom.operators.profile import rows_per_file
-from fareloom.sources.files import present_months, read_csv_text
+from fareloom.sources.files import present_months, scan_csv
 
 
 def _between(moment: str, start: str, end: str) -> Column:
@@ -116,4 +116,4 @@ def rows_per_csv_file(
 ) -> DataFrame:
     """Row count of every CSV month file in a span, in one scan; absent months have no row."""
     paths = present_months(spark, prefix, colour, months_between(first, last), extension)
-    return rows_per_file(read_csv_text(spark, *paths))
+    return rows_per_file(scan_csv(spark, *paths, same_header=False))

@@ -28,15 +28,34 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def scan_csv(spark: SparkSession, *paths: str, multi_line: bool = False, same_header: bool = True) -> DataFrame:
+    """Headed CSV files as they are; files whose header differs from the first one's are an error.
+
+    ``same_header=False`` admits them where columns do not matter, as in a row count.
+    """
+    reader = spark.read.options(**_CSV).option("multiLine", multi_line).option("enforceSchema", not same_header)
+    return reader.csv(list(paths))
+
+
 def read_csv_text(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
-    """A headed CSV (or .csv.gz) as text columns, found by name; missing-value tokens are NULL.
+    """Headed CSV (or .csv.gz) as text columns, found by name; missing-value tokens are NULL.
 
+    Paths with the same header are read together, others are put together by column name.
     A gzip file cannot be split, so one file is one task; spread the rows afterwards
     (``spread_rows``) when few files feed heavy work. ``multi_line`` admits line breaks
     inside quotes and makes every file one task.
     """
-    scan = spark.read.options(**_CSV).option("multiLine", multi_line).csv(list(paths))
-    return scan.select(*[missing_to_null(F.col(f"`{name}`")).alias(name) for name in scan.columns])
+    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for path in paths:
+        by_header[tuple(scan_csv(spark, path, multi_line=multi_line).columns)].append(path)
+    return union_all(
+        [
+            scan_csv(spark, *group, multi_line=multi_line).select(
+                *[missing_to_null(F.col(f"`{name}`")).alias(name) for name in header]
+            )
+            for header, group in by_header.items()
+        ]
+    )
 
 
 def read_csv(spark: SparkSession, schema: T.StructType, *paths: str, multi_line: bool = False) -> DataFrame:

@@ -76,6 +76,16 @@ def test_csv_texts_with_quotes_and_line_breaks(spark, tmp_path):
     assert rows(files.read_csv_text(spark, str(tmp_path / "out"))) == rows(df)
 
 
+def test_csv_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x,z\n4,3,5\n")
+    (tmp_path / "c.csv").write_text("x,y\n6,7\n")
+    paths = [str(tmp_path / name) for name in ("a.csv", "b.csv", "c.csv")]
+    assert rows(files.read_csv_text(spark, *paths)) == [("1", "2", None), ("3", "4", "5"), ("6", "7", None)]
+    with pytest.raises(Exception, match="header"):
+        files.read_csv_text(spark, str(tmp_path)).collect()
+
+
 TEXTS = ["plain", "", None, " padded ", 'quote " inside', "tab\tinside", "back\\slash", "NULL", "ünïcode"]
 
 
@@ -134,6 +144,7 @@ def test_partitioned_write_keeps_files_few(spark, tmp_path):
 
 def test_year_of_csv_files(spark, tmp_path):
     for month, count in ((1, 3), (2, 5), (12, 0)):
-        gz(tmp_path / f"yellow_tripdata_2020-{month:02d}.csv.gz", "v\n" + "1\n" * count)
+        header, line = ("v", "1") if month < 2 else ("w,v", "1,2")
+        gz(tmp_path / f"yellow_tripdata_2020-{month:02d}.csv.gz", f"{header}\n" + f"{line}\n" * count)
     found = rows(reports.rows_per_csv_file(spark, f"{tmp_path}/", "yellow", (2020, 1), (2020, 12)))
     assert found == [("yellow_tripdata_2020-01.csv.gz", 3), ("yellow_tripdata_2020-02.csv.gz", 5)]
