@@ -7,6 +7,8 @@ import pytest
 from conftest import rows
 
 from __spark_entry__ import entry, oracle_sql, queries
+from fareloom.plans.oracles import ORACLES
+from fareloom.plans.registry import QUERIES
 from fareloom.plans.views import trips
 
 SMALL = Path("/root/testdata/sf0.001")
@@ -23,13 +25,14 @@ def duck():
 
 
 def test_names_match():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    ours = queries()[name](spark, str(SMALL))
-    theirs = duck.sql(oracle_sql()[name])
+    ours = QUERIES[name](spark, str(SMALL))
+    theirs = duck.sql(ORACLES[name])
     columns = sorted(ours.columns)
     assert columns == sorted(theirs.columns)
     quoted = ", ".join(f'"{column}"' for column in columns)
