@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe
+from fareloom.llm import bpe, repetition
 from fareloom.llm.frames import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,7 +25,15 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    found = repetition.with_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    fields = [name for name in repetition.QUALITY.names if not name.startswith("repeat_")]
+    return found.select("doc_id", *[f"quality.{name}" for name in fields])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_quality_rules": op2_quality_rules,
 }
 ORACLES: dict[str, str] = {}

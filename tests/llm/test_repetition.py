@@ -1,0 +1,98 @@
+"""Repeats against all pairs of suffixes, the rules against their wording."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from fareloom.llm.queries import op2_quality_rules
+from fareloom.llm.repetition import RepetitionLimits, deepest_repeats, measure, with_quality
+
+
+def brute_repeats(words):
+    n, found = len(words), [0] * len(words)
+    for i in range(n):
+        for j in range(n):
+            length = 0
+            while i != j and i + length < n and j + length < n and words[i + length] == words[j + length]:
+                length += 1
+            found[i] = max(found[i], length)
+    return found
+
+
+def brute(text, limits=RepetitionLimits()):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    repeated = {j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    dups = sum(line in lines[:i] for i, line in enumerate(lines))
+    failed = len(words) < 10 or 100 * len(repeated) > 20 * len(words)
+    deepest = brute_repeats(words)
+    span = {j for i, d in enumerate(deepest) if d >= limits.least_words for j in range(i, i + d)}
+    longest = max([d for d in deepest if d >= limits.least_words], default=0)
+    good = 100 * len(span) <= limits.most_covered_percent * len(words) and longest <= limits.most_longest_words
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": dups,
+        "n_repeat_words": len(repeated),
+        "n_covered_words": len(span),
+        "longest_repeat": longest,
+        "base_failed": failed,
+        "kept": not failed and good,
+    }
+
+
+def checked(texts, limits=RepetitionLimits()):
+    got = measure(texts, limits)
+    for i, text in enumerate(texts):
+        want = brute(text, limits)
+        assert {name: got[name][i] for name in want} == want, text
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 3), max_size=25), max_size=5))
+def test_repeats_equal_all_pairs_of_suffixes(texts):
+    got = deepest_repeats(np.array([w for t in texts for w in t], np.int64), np.array([len(t) for t in texts], np.int64))
+    want = [length for text in texts for length in brute_repeats(text)]
+    assert [x if x > 1 else 0 for x in got] == [x if x > 1 else 0 for x in want]
+
+
+def test_rules_equal_their_wording():
+    rng = random.Random(2)
+    pieces = ["a", "b", "cc", "é", "#", "|x", "<>", " ", "\n", "\t", "\x0b", "\xa0", "\x1c", "the same line again\n"]
+    texts = ["".join(rng.choice(pieces) + rng.choice([" ", "", "\n"]) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    checked([*texts, None, "", "\n\n", "a" * 70000])
+    checked(texts, RepetitionLimits(least_words=3, most_covered_percent=40, most_longest_words=6))
+
+
+def test_spans_and_wide_numbers():
+    passage = " ".join(f"p{i}" for i in range(12))
+    text = f"{passage} x y {passage} z {passage}"
+    got = measure(["q " * 3, text, passage], RepetitionLimits())
+    assert [list(x) for x in got["repeat_starts"]] == [[], [0, 14, 27], []]
+    assert [list(x) for x in got["repeat_lengths"]] == [[], [12, 12, 12], []]
+    many = np.tile(np.arange(1, 40, dtype=np.int64) << 40, 2)
+    assert deepest_repeats(many, np.array([78]))[0] == 39
+
+
+def test_nulls_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, None, 5), (1, None, 5), (2, "w " * 20, None)], "doc_id long, text string, quality long")
+    got = with_quality(df).select("doc_id", "quality.n_words", "quality.kept").collect()
+    assert sorted(map(tuple, got)) == [(1, 0, False), (1, 0, False), (2, 20, False)]
+    assert with_quality(df.limit(0)).count() == 0
+
+
+def test_query_over_the_whole_table(spark, sf_dir):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = op2_quality_rules(spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    for row in rows:
+        if len(docs[row.doc_id]) < 3000:
+            want = brute(docs[row.doc_id])
+            assert {name: row[name] for name in want} == want
