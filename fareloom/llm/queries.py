@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, repetition
+from fareloom.llm import bpe, exact, repetition
 from fareloom.llm.frames import table
+from fareloom.llm.tables import PLACE
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -32,8 +33,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"quality.{name}" for name in fields])
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of its group that stays."""
+    return exact.exact_duplicates(table(spark, sf_dir, "documents")).drop(*PLACE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_quality_rules": op2_quality_rules,
+    "op5_exact_dedup": op5_exact_dedup,
+}
+# Lower-cases A-Z only, as translate() has it.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op5_exact_dedup": f"""
+        SELECT doc_id,
+               max(doc_id) OVER w AS keep_id,
+               count(*) OVER w AS group_size,
+               doc_id = max(doc_id) OVER w AS kept,
+               sha256({_LOWER}) AS text_sha256
+        FROM documents
+        WINDOW w AS (PARTITION BY {_LOWER})""",
 }
-ORACLES: dict[str, str] = {}
