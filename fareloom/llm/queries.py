@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, exact, repetition
+from fareloom.llm import bpe, exact, repetition, simhash
 from fareloom.llm.frames import table
 from fareloom.llm.tables import PLACE
 
@@ -38,10 +38,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents")).drop(*PLACE)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the component it belongs to."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_quality_rules": op2_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_simhash": op6_simhash,
 }
 # Lower-cases A-Z only, as translate() has it.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
