@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, exact, repetition, simhash
+from fareloom.llm import bpe, exact, packing, repetition, simhash
 from fareloom.llm.frames import table
 from fareloom.llm.tables import PLACE
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 1
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,11 +45,26 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Documents encoded and packed, with a checksum of each piece's ids in place of the ids."""
+    pieces = packing.pack(bpe.encode(docs.select("doc_id", "text"), VOCABULARY), END_ID)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+        "sequence_tokens", "step_group",
+    )
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and the sequences they lie in."""
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_quality_rules": op2_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
+    "op8_packing": op8_packing,
 }
 # Lower-cases A-Z only, as translate() has it.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

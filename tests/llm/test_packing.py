@@ -1,0 +1,83 @@
+"""Pieces put together again, sequences without gaps or padding."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from fareloom.llm.packing import Tiers, balanced_groups, pack
+from fareloom.llm.queries import END_ID, op8_packing
+
+
+def checked(pieces, docs, tiers):
+    """``docs``: ids by doc_id with the end id."""
+    sequences, parts = defaultdict(list), defaultdict(list)
+    for piece in pieces:
+        sequences[piece.sequence_id].append(piece)
+        parts[piece.doc_id].append(piece)
+    assert set(parts) == set(docs)
+    for key, ids in docs.items():
+        at = 0
+        for piece in sorted(parts[key], key=lambda p: p.start):
+            assert piece.start == at and piece.length > 0 and piece.doc_tokens == len(ids)
+            at += piece.length
+        assert at == len(ids)
+    lengths = []
+    for sequence in sequences.values():
+        at = 0
+        for piece in sorted(sequence, key=lambda p: p.offset):
+            assert piece.offset == at
+            at += piece.length
+        assert at == sequence[0].sequence_tokens <= tiers.sizes[-1] and at & at - 1 == 0
+        lengths.append(at)
+    return lengths
+
+
+@pytest.mark.parametrize("tiers", [Tiers(), Tiers((8, 32), 64, 100), Tiers((2048,), 4096, 5000), Tiers((1,), 3, 10)])
+def test_every_id_lies_in_one_place(spark, tiers):
+    rng = random.Random(len(tiers.sizes))
+    docs = {i: [rng.randint(2, 50000) for _ in range(int(rng.paretovariate(0.6)) % 9000)] for i in range(120 if tiers.sizes[-1] > 1 else 20)}
+    docs[1000], docs[1001] = [], list(range(2, 20001))
+    rows = [(key, np.array(ids, "<u4").tobytes() if key != 1000 else None) for key, ids in docs.items()]
+    df = spark.createDataFrame(rows, "doc_id long, ids binary").repartition(3)
+    got = pack(df, END_ID, tiers=tiers).collect()
+    checked(got, {key: [*ids, END_ID] for key, ids in docs.items()}, tiers)
+    for piece in got:
+        ids = [*docs[piece.doc_id], END_ID][piece.start : piece.start + piece.length]
+        assert np.frombuffer(piece.ids, "<u4").tolist() == ids
+
+
+def test_repeated_rows_nulls_and_no_rows(spark):
+    rows = [(None, b""), (7, b"\x05\0\0\0"), (7, b"\x05\0\0\0")]
+    df = spark.createDataFrame(rows, "doc_id long, ids binary").coalesce(1)
+    got = pack(df, END_ID).collect()
+    assert sorted((p.doc_id or 0, p.length) for p in got if p.length) and sum(p.length for p in got) == 5
+    assert pack(df.limit(0), END_ID).count() == 0
+
+
+def test_groups_are_balanced():
+    rng = random.Random(0)
+    lengths = [rng.choice([128, 256, 512, 1024, 2048]) for _ in range(500)]
+    groups = balanced_groups(lengths, 20000)
+    loads = [sum(n for n, g in zip(lengths, groups, strict=True) if g == group) for group in set(groups)]
+    assert max(loads) - min(loads) <= 2048 and balanced_groups([], 10) == []
+
+
+def test_query_over_the_whole_table(spark, sf_dir):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = {
+        r.doc_id: [*library.encode(r.text or "", add_special_tokens=False).ids, END_ID]
+        for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    }
+    got = op8_packing(spark, sf_dir).collect()
+    lengths = checked(got, docs, Tiers())
+    for piece in got:
+        raw = np.array(docs[piece.doc_id][piece.start : piece.start + piece.length], "<u4").tobytes()
+        assert piece.ids_crc32 == zlib.crc32(raw)
+    assert sum(length for length in lengths if length >= 128) > 0.99 * sum(lengths)
+    whole = sum(p.length == p.doc_tokens for p in got if p.doc_tokens <= 2048)
+    assert whole > 0.6 * sum(len(ids) <= 2048 for ids in docs.values())
