@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import bpe, exact, packing, repetition, simhash
+from fareloom.llm import archives, bpe, exact, packing, repetition, simhash
 from fareloom.llm.frames import table
-from fareloom.llm.tables import PLACE
+from fareloom.llm.tables import PLACE, Scratch
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 1
@@ -59,12 +59,22 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written into archives and read back by range."""
+    scratch = Scratch(spark, "archives")
+    records = archives.read_archives(archives.write_archives(table(spark, sf_dir, "pages"), scratch), scratch)
+    return records.select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_quality_rules": op2_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
+    "op10_warc": op10_warc,
 }
 # Lower-cases A-Z only, as translate() has it.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -78,4 +88,14 @@ ORACLES: dict[str, str] = {
                sha256({_LOWER}) AS text_sha256
         FROM documents
         WINDOW w AS (PARTITION BY {_LOWER})""",
+    "op10_warc": """
+        SELECT page_id,
+               strlen(html) AS payload_bytes,
+               sha256(html) AS payload_digest,
+               CASE WHEN later THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN later THEN first_id END AS refers_to
+        FROM (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id,
+                     strlen(coalesce(html, '')) >= 100
+                     AND page_id > min(page_id) OVER (PARTITION BY coalesce(html, '')) AS later
+              FROM pages)""",
 }

@@ -1,0 +1,100 @@
+"""Archives written, read back by range, and read by another ZIP reader."""
+
+import gzip
+import hashlib
+import io
+import random
+import zipfile
+
+import duckdb
+import pyarrow as pa
+import pytest
+from pyarrow import fs
+
+from fareloom.llm import archives
+from fareloom.llm.queries import ORACLES, op10_warc
+from fareloom.llm.tables import Scratch
+
+SCHEMA = "page_id long, url string, html string, key string"
+
+
+def round_trip(spark, rows, **sizes):
+    scratch = Scratch(spark, "test")
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    written = archives.write_archives(df, scratch, **sizes)
+    return written, archives.read_archives(written, scratch, slice_bytes=500)
+
+
+def brute(rows):
+    found = []
+    for key, _, html, _ in rows:
+        raw = (html or "").encode()
+        ids = [k for k, _, h, _ in rows if (h or "") == (html or "") and k is not None]
+        later = len(raw) >= 100 and ids and key != min(ids)
+        found.append((key, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if later else "response", min(ids) if later else None))
+    return sorted(found, key=repr)
+
+
+def test_records_come_back(spark):
+    rng = random.Random(3)
+    pages = ["x" * 99, "x" * 100, "é" * 50, "é" * 49, "a\r\n\r\nb" * 40, None, "", "<html>" * 5000]
+    rows = [(i, f"http://h/{i} {{\n", rng.choice(pages), "k") for i in range(80)]
+    rows += [(80, None, "y" * 200, None), (80, "u", "y" * 200, None), (80, "u", "z" * 200, None), (81, "u", "z" * 200, None)]
+    rows += [(None, "u", "z" * 200, None), (None, "u", "q" * 300, None), (None, "u", "q" * 300, None), (-5, "u", "x" * 100, None)]
+    written, records = round_trip(spark, rows, archive_bytes=2000)
+    got = [(r.record_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in records.collect()]
+    assert sorted(got, key=repr) == brute(rows)
+    assert all(hashlib.sha256(r.payload).hexdigest() == r.payload_digest for r in records.collect() if r.record_type == "response")
+    paths = [r.path for r in written.collect()]
+    assert len(paths) > 3
+    names = set()
+    for path in paths:
+        with zipfile.ZipFile(archives.opened_fs(path)[1]) as file:
+            assert file.testzip() is None and {i.compress_type for i in file.infolist()} == {zipfile.ZIP_STORED}
+            names |= set(file.namelist())
+            assert gzip.decompress(file.read(archives.RECORDS)).startswith(b"WARC/1.1\r\n")
+    assert names == {archives.RECORDS, archives.INDEX}
+
+
+def test_no_rows(spark):
+    written, records = round_trip(spark, [])
+    assert written.count() == records.count() == 0
+
+
+def members(raw):
+    return archives.central_directory(pa.PythonFile(io.BytesIO(raw), "r"))
+
+
+def test_zip64_directories_and_comments(tmp_path, monkeypatch):
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 50)
+    monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 2)
+    path = tmp_path / "wide.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as file:
+        for i in range(5):
+            file.writestr(f"member{i}", f"{i}" * (40 * i + 1))
+        file.comment = b"PK\x05\x06 is no end"[:8]
+    monkeypatch.undo()
+    raw = path.read_bytes()
+    assert archives._LOCATOR64 in raw
+    with fs.LocalFileSystem().open_input_file(str(path)) as file:
+        found = archives.central_directory(file)
+        assert [m.name for m in found] == [f"member{i}" for i in range(5)]
+        for i, member in enumerate(found):
+            start = archives.member_start(file, member)
+            assert file.read_at(member.size, start) == (f"{i}" * (40 * i + 1)).encode()
+
+
+def test_damage_is_an_error():
+    with pytest.raises(ValueError, match="not a ZIP"):
+        members(b"nothing here")
+    record = archives.warc_record(1, "u", b"payload", "0" * 64, None)
+    with pytest.raises(ValueError, match="digest"):
+        archives.parse_record(record)
+
+
+def test_query_equals_sql(spark, sf_dir):
+    ours = op10_warc(spark, sf_dir)
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{sf_dir}/pages.parquet')")
+    theirs = duck.sql(ORACLES["op10_warc"]).project(", ".join(ours.columns)).fetchall()
+    assert sorted(map(tuple, ours.collect()), key=repr) == sorted(theirs, key=repr)
