@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import archives, bpe, exact, packing, repetition, simhash
+from fareloom.llm import archives, bpe, exact, lines, packing, repetition, simhash
 from fareloom.llm.frames import table
 from fareloom.llm.tables import PLACE, Scratch
 
@@ -34,6 +34,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"quality.{name}" for name in fields])
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of windows that occur before."""
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one of its group that stays."""
     return exact.exact_duplicates(table(spark, sf_dir, "documents")).drop(*PLACE)
@@ -71,6 +76,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_quality_rules": op2_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
@@ -80,6 +86,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op4_line_dedup": """
+        WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+             lines AS (SELECT doc_id, len(l) AS n, unnest(l) AS line, unnest(range(len(l))) AS pos FROM split),
+             windows AS (SELECT doc_id, pos, n, line || chr(10) || lead(line, 1) OVER d || chr(10) || lead(line, 2) OVER d AS w
+                         FROM lines WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+             later AS (SELECT doc_id, pos FROM windows
+                       WHERE pos + 2 < n AND w <> chr(10) || chr(10)
+                       QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, pos) > 1),
+             gone AS (SELECT DISTINCT doc_id, pos + i AS pos FROM later, range(3) AS r(i)),
+             put AS (SELECT lines.doc_id,
+                            string_agg(line, chr(10) ORDER BY lines.pos) FILTER (WHERE gone.pos IS NULL) AS text,
+                            count(gone.pos) AS n_removed_lines, count(*) AS n_lines
+                     FROM lines LEFT JOIN gone ON gone.doc_id = lines.doc_id AND gone.pos = lines.pos GROUP BY lines.doc_id)
+        SELECT documents.doc_id,
+               CASE WHEN documents.text IS NOT NULL THEN coalesce(put.text, '') END AS text,
+               coalesce(n_lines, 0) AS n_lines,
+               coalesce(n_removed_lines, 0) AS n_removed_lines
+        FROM documents LEFT JOIN put ON put.doc_id = documents.doc_id""",
     "op5_exact_dedup": f"""
         SELECT doc_id,
                max(doc_id) OVER w AS keep_id,
