@@ -41,7 +41,7 @@ _ID, _SHA = "_id", "_sha"
 
 _BLOCKS = T.StructType(
     [
-        T.StructField(FILE, T.StringType()),
+        T.StructField(FILE, T.LongType()),
         T.StructField(ROW, T.LongType()),
         T.StructField(_ID, T.LongType()),
         T.StructField(_SHA, T.BinaryType()),

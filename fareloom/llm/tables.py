@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from fareloom.session import scratch_path
 
-# A row's place in the files it was read from: the same however often it is read.
+# A row's place in the files it was read from: the same however often it is read. The file is
+# known by the 64-bit hash of its path, which two of a million files share with a chance of
+# less than one in ten million.
 FILE, ROW = "_placed_file", "_placed_row"
 PLACE = (FILE, ROW)
 
@@ -55,6 +57,6 @@ class Scratch:
         if FILE in df.columns:
             return df
         try:
-            return df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+            return df.select("*", F.xxhash64("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
         except AnalysisException:
             return self.placed(self.write(df, "rows"))
