@@ -42,11 +42,11 @@ GEAR_BITS = 16
 class Chunking:
     """Sizes in bytes: of chunks, and of the shortest stretch of repeated ones that is cut."""
 
-    least: int = 20
+    least: int = 24
     most: int = 256
     #: A chunk ends at one place in 2 ** this, once it has its least size.
     zero_bits: int = 4
-    least_run: int = 128
+    least_run: int = 96
 
     def __post_init__(self):
         if not GEAR_BITS <= self.least < self.most or not 0 < self.zero_bits <= GEAR_BITS:
@@ -142,8 +142,7 @@ def _chunker(chunking: Chunking):
                     digest(text[a:b]) for text, cuts in zip(texts, ends, strict=True) for a, b in zip([0, *cuts], cuts, strict=False)
                 )
                 halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
-                own = {name: np.repeat(np.arange(part.num_rows), counts) for name in ("i",)}["i"]
-                take = pa.array(own)
+                take = pa.array(np.repeat(np.arange(part.num_rows), counts))
                 yield batch_of(
                     {name: part.column(name).take(take) for name in (FILE, ROW, "_id")}
                     | {"start": starts, "length": stops - starts, "d1": halves[:, 0].copy(), "d2": halves[:, 1].copy()},
@@ -158,16 +157,20 @@ def repeated_spans(
 ) -> DataFrame:
     """A row per stretch to cut: place, ``doc_id``, ``start`` and ``length`` in bytes, ``source_ids``.
 
-    ``source_ids`` lists the rows' ids that hold the first occurrences of its chunks.
+    ``source_ids`` lists the ids of the rows that hold the first occurrences of its chunks.
     """
     scratch = scratch or Scratch(df.sparkSession, "chunks")
     narrow = scratch.placed(df).select(*PLACE, F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
     chunks = scratch.write(narrow.mapInArrow(_chunker(chunking), CHUNKS), "chunks")
+    # Most chunks occur once. Half a digest and a count tell which, before anything else moves.
+    common = scratch.write(chunks.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1"), "common")
+    shared = scratch.write(chunks.join(common, "d1", "left_semi"), "shared")
+    scratch.drop(chunks, common)
     at = F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), *PLACE, F.col("start"))
-    firsts = chunks.groupBy("d1", "d2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = shared.groupBy("d1", "d2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     firsts = scratch.write(firsts.select("d1", "d2", "first"), "firsts")
     here = [F.col(f"first.{name}") == F.col(name) for name in (FILE, ROW, "start")]
-    later = chunks.join(firsts, ["d1", "d2"]).where(~(here[0] & here[1] & here[2]))
+    later = shared.join(firsts, ["d1", "d2"]).where(~(here[0] & here[1] & here[2]))
     repeats = later.select(*PLACE, "_id", "start", "length", F.col("first._id").alias("source"))
     # A document's repeats in order; a stretch ends where the next one does not follow at once.
     ordered = Window.partitionBy(*PLACE).orderBy("start")

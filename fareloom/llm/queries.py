@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import archives, bpe, exact, lines, packing, repetition, simhash
+from fareloom.llm import archives, bpe, chunks, exact, lines, packing, repetition, simhash
 from fareloom.llm.frames import table
 from fareloom.llm.tables import PLACE, Scratch
 
@@ -50,6 +50,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of a document that occurs before, and the documents that hold it."""
+    return chunks.repeated_spans(table(spark, sf_dir, "documents")).drop(*PLACE)
+
+
 def packed_pieces(docs: DataFrame) -> DataFrame:
     """Documents encoded and packed, with a checksum of each piece's ids in place of the ids."""
     pieces = packing.pack(bpe.encode(docs.select("doc_id", "text"), VOCABULARY), END_ID)
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_packing": op8_packing,
     "op10_warc": op10_warc,
 }

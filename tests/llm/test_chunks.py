@@ -1,0 +1,108 @@
+"""Chunks against a byte-by-byte hash, spans against plain sets, cuts that lose no content."""
+
+import random
+
+import numpy as np
+import pytest
+
+from fareloom.llm import chunks
+from fareloom.llm.chunks import Chunking, chunk_ends, gear_numbers, repeated_spans, rolling_gear, without_repeats
+from fareloom.llm.queries import op7_substring_dedup
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwé") for _ in range(rng.randint(1, 9))) for _ in range(n))
+
+
+def cut_up(raw, chunking):
+    """One byte after the other."""
+    gear, value, start, found = gear_numbers().tolist(), 0, 0, []
+    for i, byte in enumerate(raw):
+        value = (2 * value + gear[byte]) % 2**16
+        if i + 1 - start > chunking.most:  # no end within the most size
+            start += chunking.most
+            while raw[start] & 0xC0 == 0x80:
+                start -= 1
+            found.append(start)
+        goes_on = i + 1 < len(raw) and raw[i + 1] & 0xC0 == 0x80
+        if i + 1 - start >= chunking.least and value >> 16 - chunking.zero_bits == 0 and not goes_on:
+            start = i + 1
+            found.append(start)
+    return [*found, len(raw)] if start < len(raw) else found
+
+
+def brute(rows, chunking=Chunking()):
+    """Spans by (id, start): length and sources; ids are in order and not repeated."""
+    first, repeats = {}, []
+    for key, text in rows:
+        raw, at, run = (text or "").encode(), 0, None
+        for end in chunk_ends([raw], chunking)[0]:
+            source = first.setdefault(raw[at:end], (key, at))
+            if source != (key, at):
+                run = run or [key, at, 0, set()]
+                run[2] += end - at
+                run[3].add(source[0])
+            elif run:
+                repeats.append(run)
+                run = None
+            at = end
+        if run:
+            repeats.append(run)
+    return sorted((k, a, n, sorted(s)) for k, a, n, s in repeats if n >= chunking.least_run)
+
+
+def spans(df):
+    return sorted((r.doc_id, r.start, r.length, r.source_ids) for r in repeated_spans(df).collect())
+
+
+@pytest.mark.parametrize("chunking", [Chunking(), Chunking(16, 40, 2), Chunking(20, 21, 5)])
+def test_chunks_equal_a_walk_over_the_bytes(chunking):
+    rng = random.Random(3)
+    texts = [words(rng, rng.randint(0, 300)).encode() for _ in range(40)] + [b"", b"a" * 2000, "é".encode() * 999, "\U0001f600".encode() * 400]
+    assert chunk_ends(texts, chunking) == [cut_up(raw, chunking) for raw in texts]
+    assert len(rolling_gear(np.zeros(0, np.uint8))) == 0
+
+
+def test_spans_equal_plain_sets(spark, no_broadcast):
+    rng = random.Random(8)
+    passages = [words(rng, n) for n in (55, 60, 90, 12, 200)]
+    rows = [(i, " ".join([words(rng, rng.randint(5, 60)), rng.choice(passages), words(rng, rng.randint(0, 50))])) for i in range(120)]
+    rows += [(200 + i, rows[3][1]) for i in range(40)] + [(300, None), (301, ""), (302, "short"), (303, "x" * 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert spans(df) == brute(rows)
+    found = {key for key, *_ in spans(df)}
+    long = [p for p in passages if len(p.split()) > 50]
+    planted = {key for p in long for key, text in [r for r in rows if r[1] and p in r[1]][1:]}
+    assert len(planted - found) <= 0.02 * len(planted)
+    assert not found & {300, 301, 302}
+
+
+def test_cut_texts_keep_every_first_occurrence(spark):
+    rng = random.Random(5)
+    shared = words(rng, 80)
+    rows = [(2, f"{words(rng, 30)} {shared} {words(rng, 30)}", "b"), (1, f"{words(rng, 9)} {shared}", "a"), (3, None, None), (None, shared, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, start string")
+    got = {r.doc_id: r for r in without_repeats(df).collect()}
+    assert without_repeats(df).columns == df.columns and len(got) == 4
+    assert got[1].text == rows[1][1] and got[3].text is None and got[1].start == "a"
+    assert len(got[2].text) < len(rows[0][1]) - 200 and len(got[None].text) < 200
+    whole = rows[0][1]
+    kept = got[2].text
+    cut = next(i for i in range(len(kept) + 1) if kept[:i] + whole[i : i + len(whole) - len(kept)] + kept[i:] == whole)
+    assert whole[cut : cut + len(whole) - len(kept)].strip() in rows[1][1]
+    assert without_repeats(df.limit(0)).count() == 0
+
+
+def test_repeated_rows_and_ids(spark):
+    text = words(random.Random(1), 100)
+    df = spark.createDataFrame([(1, text), (1, text), (1, text)], "doc_id long, text string")
+    got = repeated_spans(df).collect()
+    assert len(got) == 2 and {(r.doc_id, r.start, r.length) for r in got} == {(1, 0, len(text.encode()))}
+    assert sorted(len(r.text) for r in without_repeats(df).collect()) == [0, 0, len(text)]
+
+
+def test_query_against_plain_sets(spark, sf_dir):
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
+    got = sorted((r.doc_id, r.start, r.length, r.source_ids) for r in op7_substring_dedup(spark, sf_dir).collect())
+    assert got == brute(rows) and got
+    assert chunks.GEAR_BITS == 16
