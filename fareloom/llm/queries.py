@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import archives, bpe, chunks, exact, lines, packing, repetition, simhash
+from fareloom.llm import archives, bpe, chunks, exact, lines, packing, repetition, simhash, suffixes
 from fareloom.llm.frames import table
 from fareloom.llm.tables import PLACE, Scratch
 
@@ -34,6 +34,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"quality.{name}" for name in fields])
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of a document that occurs before, and the documents that hold it."""
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents")).drop(*PLACE)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of windows that occur before."""
     return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -81,6 +86,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_quality_rules": op2_quality_rules,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
