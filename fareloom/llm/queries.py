@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import archives, bpe, chunks, exact, lines, packing, repetition, simhash, suffixes
+from fareloom.llm import archives, bpe, chunks, exact, lines, packing, repetition, simhash, suffixes, toxicity
 from fareloom.llm.frames import table
 from fareloom.llm.tables import PLACE, Scratch
 
@@ -74,6 +74,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, by a model that has not seen the labels of the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.with_score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written into archives and read back by range."""
     scratch = Scratch(spark, "archives")
@@ -92,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
 }
 # Lower-cases A-Z only, as translate() has it.
