@@ -207,7 +207,8 @@ def without_repeats(
     placed = scratch.placed(df)
     spans = repeated_spans(placed, key, text, chunking, scratch)
     cuts = spans.groupBy(*PLACE).agg(F.collect_list("start").alias("_starts"), F.collect_list("length").alias("_lengths"))
-    joined = placed.join(scratch.write(cuts, "cuts"), list(PLACE), "left").drop(*PLACE)
+    # The cuts grow with the corpus, so they are shuffled like the rows, whatever their size here.
+    joined = placed.join(scratch.write(cuts, "cuts").hint("merge"), list(PLACE), "left").drop(*PLACE)
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in df.schema if f.name not in PLACE])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

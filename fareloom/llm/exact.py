@@ -186,4 +186,6 @@ def without_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -
     scratch = Scratch(df.sparkSession, "exact")
     placed = scratch.placed(df)
     dropped = exact_duplicates(placed, key, text, scratch).where(~F.col("kept"))
-    return placed.join(scratch.write(dropped.select(*PLACE), "dropped"), list(PLACE), "left_anti").drop(*PLACE)
+    # The list grows with the corpus, so it is shuffled like the rows, whatever its size here.
+    dropped = scratch.write(dropped.select(*PLACE), "dropped").hint("merge")
+    return placed.join(dropped, list(PLACE), "left_anti").drop(*PLACE)

@@ -238,4 +238,6 @@ def without_near_duplicates(
     scratch = Scratch(df.sparkSession, "simhash")
     placed = scratch.placed(df)
     dropped = near_duplicates(placed, key, text, shingle_words, most_bits, scratch).where(~F.col("kept"))
-    return placed.join(scratch.write(dropped.select(*PLACE), "dropped"), list(PLACE), "left_anti").drop(*PLACE)
+    # The list grows with the corpus, so it is shuffled like the rows, whatever its size here.
+    dropped = scratch.write(dropped.select(*PLACE), "dropped").hint("merge")
+    return placed.join(dropped, list(PLACE), "left_anti").drop(*PLACE)
