@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Word starts: a capitalised word after anything, or a capital after a small letter or digit (fixed values).
-WORD_STARTS = (r"(.)([A-Z][a-z]+)", r"([a-z0-9])([A-Z])")
-
 MONTH_FILE = r"([a-z]+_tripdata_[0-9]{4}-[0-9]{2}\.[a-z.]*[a-z])"
 
 
 def snake_case(name: str) -> str:
-    for pattern in WORD_STARTS:
-        name = re.sub(pattern, r"\1_\2", name)
-    return name.lower()
+    """Words in small letters with an underscore between them.
+
+    A word starts at a capital that ends a run of small letters or digits before it, or that
+    is the last capital of a run (``PULocationID``: PU, Location, ID).
+    """
+    spelled = ""
+    for before, letter, after in zip(" " + name, name, name[1:] + " "):
+        if letter.isupper() and (before.islower() or before.isdigit() or (before.isupper() and after.islower())):
+            spelled += "_"
+        spelled += letter.lower()
+    return spelled
 
 
 def month_file_name(colour: str, year: int, month: int, extension: str = "parquet") -> str:

@@ -19,20 +19,28 @@ _LONG, _DOUBLE, _TEXT, _TIME, _INT = (
 )
 
 
-def _struct(*groups: tuple[T.DataType, str]) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for kind, names in groups for name in names.split()])
-
-
-RAW_YELLOW = _struct(
-    (_LONG, "VendorID"),
-    (_TIME, "tpep_pickup_datetime tpep_dropoff_datetime"),
-    (_LONG, "passenger_count"),
-    (_DOUBLE, "trip_distance"),
-    (_LONG, "RatecodeID"),
-    (_TEXT, "store_and_fwd_flag"),
-    (_LONG, "PULocationID DOLocationID payment_type"),
-    (_DOUBLE, "fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge"),
-    (_DOUBLE, "total_amount congestion_surcharge"),
+# Column names and their order (fixed values).
+RAW_YELLOW = T.StructType(
+    [
+        T.StructField("VendorID", _LONG),
+        T.StructField("tpep_pickup_datetime", _TIME),
+        T.StructField("tpep_dropoff_datetime", _TIME),
+        T.StructField("passenger_count", _LONG),
+        T.StructField("trip_distance", _DOUBLE),
+        T.StructField("RatecodeID", _LONG),
+        T.StructField("store_and_fwd_flag", _TEXT),
+        T.StructField("PULocationID", _LONG),
+        T.StructField("DOLocationID", _LONG),
+        T.StructField("payment_type", _LONG),
+        T.StructField("fare_amount", _DOUBLE),
+        T.StructField("extra", _DOUBLE),
+        T.StructField("mta_tax", _DOUBLE),
+        T.StructField("tip_amount", _DOUBLE),
+        T.StructField("tolls_amount", _DOUBLE),
+        T.StructField("improvement_surcharge", _DOUBLE),
+        T.StructField("total_amount", _DOUBLE),
+        T.StructField("congestion_surcharge", _DOUBLE),
+    ]
 )
 
 # Green files carry their own types; these columns are cast after the scan.
@@ -45,31 +53,71 @@ RAW_GREEN_CASTS = {
     "store_and_fwd_flag": _TEXT,
 }
 
-ZONE_LOOKUP = _struct((_LONG, "LocationID"), (_TEXT, "Borough Zone service_zone"))
-
-YELLOW_TARGET = _struct(
-    (_TEXT, "unique_id file_name"),
-    (_INT, "vendor_id"),
-    (_TIME, "tpep_pickup_datetime tpep_dropoff_datetime"),
-    (_INT, "passenger_count"),
-    (MONEY, "trip_distance"),
-    (_INT, "ratecode_id"),
-    (_TEXT, "store_and_fwd_flag"),
-    (_INT, "pu_location_id do_location_id payment_type"),
-    (MONEY, "fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge"),
-    (MONEY, "total_amount congestion_surcharge airport_fee cbd_congestion_fee"),
+# Column names and their order (fixed values).
+ZONE_LOOKUP = T.StructType(
+    [
+        T.StructField("LocationID", _LONG),
+        T.StructField("Borough", _TEXT),
+        T.StructField("Zone", _TEXT),
+        T.StructField("service_zone", _TEXT),
+    ]
 )
 
-GREEN_TARGET = _struct(
-    (_TEXT, "unique_id file_name"),
-    (_INT, "vendor_id"),
-    (_TIME, "lpep_pickup_datetime lpep_dropoff_datetime"),
-    (_TEXT, "store_and_fwd_flag"),
-    (_INT, "ratecode_id pu_location_id do_location_id passenger_count"),
-    (MONEY, "trip_distance fare_amount extra mta_tax tip_amount tolls_amount ehail_fee"),
-    (MONEY, "improvement_surcharge total_amount"),
-    (_INT, "payment_type trip_type"),
-    (MONEY, "congestion_surcharge cbd_congestion_fee"),
+# Column names and their order (fixed values).
+YELLOW_TARGET = T.StructType(
+    [
+        T.StructField("unique_id", _TEXT),
+        T.StructField("file_name", _TEXT),
+        T.StructField("vendor_id", _INT),
+        T.StructField("tpep_pickup_datetime", _TIME),
+        T.StructField("tpep_dropoff_datetime", _TIME),
+        T.StructField("passenger_count", _INT),
+        T.StructField("trip_distance", MONEY),
+        T.StructField("ratecode_id", _INT),
+        T.StructField("store_and_fwd_flag", _TEXT),
+        T.StructField("pu_location_id", _INT),
+        T.StructField("do_location_id", _INT),
+        T.StructField("payment_type", _INT),
+        T.StructField("fare_amount", MONEY),
+        T.StructField("extra", MONEY),
+        T.StructField("mta_tax", MONEY),
+        T.StructField("tip_amount", MONEY),
+        T.StructField("tolls_amount", MONEY),
+        T.StructField("improvement_surcharge", MONEY),
+        T.StructField("total_amount", MONEY),
+        T.StructField("congestion_surcharge", MONEY),
+        T.StructField("airport_fee", MONEY),
+        T.StructField("cbd_congestion_fee", MONEY),
+    ]
+)
+
+# Column names and their order (fixed values).
+GREEN_TARGET = T.StructType(
+    [
+        T.StructField("unique_id", _TEXT),
+        T.StructField("file_name", _TEXT),
+        T.StructField("vendor_id", _INT),
+        T.StructField("lpep_pickup_datetime", _TIME),
+        T.StructField("lpep_dropoff_datetime", _TIME),
+        T.StructField("store_and_fwd_flag", _TEXT),
+        T.StructField("ratecode_id", _INT),
+        T.StructField("pu_location_id", _INT),
+        T.StructField("do_location_id", _INT),
+        T.StructField("passenger_count", _INT),
+        T.StructField("trip_distance", MONEY),
+        T.StructField("fare_amount", MONEY),
+        T.StructField("extra", MONEY),
+        T.StructField("mta_tax", MONEY),
+        T.StructField("tip_amount", MONEY),
+        T.StructField("tolls_amount", MONEY),
+        T.StructField("ehail_fee", MONEY),
+        T.StructField("improvement_surcharge", MONEY),
+        T.StructField("total_amount", MONEY),
+        T.StructField("payment_type", _INT),
+        T.StructField("trip_type", _INT),
+        T.StructField("congestion_surcharge", MONEY),
+        T.StructField("cbd_congestion_fee", MONEY),
+    ]
 )
 
 KEY = "unique_id"
