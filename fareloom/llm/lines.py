@@ -60,7 +60,8 @@ def dedup_lines(
     scratch = scratch or Scratch(df.sparkSession, "lines")
     placed = scratch.placed(df)
     windows = scratch.write(line_windows(placed, key, text), "windows")
-    gone = scratch.write(repeated_lines(windows, scratch), "gone")
+    # The list grows with the corpus, so it is shuffled like the rows, whatever its size here.
+    gone = scratch.write(repeated_lines(windows, scratch), "gone").hint("merge")
     joined = placed.join(gone, list(PLACE), "left").withColumn(_LINES, _split(text))
     left = F.array_except(F.sequence(F.lit(0), F.size(_LINES) - 1), F.col(_GONE))
     put_together = F.concat_ws(_BREAK, F.transform(left, lambda line: F.get(_LINES, line)))
