@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.operators.joins import row_position, sized_join
 from fareloom.session import materialise
 
-_ID, _PART, _START, _ROW = "_id", "_part", "_start", "_row"
+_ID, _PART, _START, _FIRST = "_id", "_part", "_start", "_first_id"
+FILE, BLOCK = "_file", "_block"
 # monotonically_increasing_id keeps the place inside a partition in its low bits.
 _POSITION_BITS = 33
 
@@ -28,43 +29,71 @@ def preview(df: DataFrame, n: int = 5, by: Sequence[str] = ()) -> DataFrame:
 def sort_by(df: DataFrame, *order: str) -> DataFrame:
     """Full ascending sort, missing values last.
 
-    The place in the file comes last, so that a time shared by very many rows, or very
-    many copies of one row, is still cut into several ranges.
+    A value that very many rows share is cut into several ranges only if a further column of
+    the order tells those rows apart; a row number kept from the scan does.
     """
-    columns = df.columns
-    df, row = row_position(df)
-    placed = df.withColumn(_ROW, row)
-    return placed.orderBy(*[F.col(name).asc_nulls_last() for name in order], _ROW).select(*columns)
+    return df.orderBy(*[F.col(name).asc_nulls_last() for name in order])
 
 
-def _number(placed: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
-    """Place inside a partition plus the rows of all partitions before it.
+def placed(scan: DataFrame) -> DataFrame:
+    """A plain file scan with each row's file, block and a number that grows within the block."""
+    return scan.select(
+        "*",
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+        F.monotonically_increasing_id().alias(_ID),
+    )
+
+
+def _plain_path(path: str) -> str:
+    """A path without its scheme and host, as the files below it are compared."""
+    return "/" + urlsplit(path).path.strip("/")
 
-    The list of partitions is short; written down, its size is known and it is broadcast.
-    """
-    parted = placed.withColumn(_PART, F.shiftright(_ID, _POSITION_BITS))
-    sizes = parted.groupBy(_PART).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(_PART, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(_START))
-    joined = sized_join(parted, materialise(starts, "row-offsets"), [_PART])
-    place = F.col(_ID).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return joined.select((F.col(_START) + place).alias(name), *columns)
 
+def number_file_rows(scan: DataFrame, name: str = "index", paths: Sequence[str] = ()) -> DataFrame:
+    """File rows with a 0-based gapless number that runs on in the order of the given paths.
 
-def number_file_rows(scan: DataFrame, name: str = "index") -> DataFrame:
-    """A plain file scan with a 0-based gapless row number that follows the lines of a file.
+    ``scan`` is a plain file scan, or scans made ``placed`` and put together. Files below one
+    path, or all files if no paths are given, follow by name. The scan runs once: the rows are written
+    down with their places, and only what was written is counted. How the files were cut, and
+    whether they would be cut like that again, does not matter.
 
-    The scan runs twice, the first time for its counts only; both times it is cut into
-    the same partitions.
+    Running sums go over the blocks of a file, and over one row per file in a single task.
     """
-    return _number(scan.withColumn(_ID, F.monotonically_increasing_id()), name, scan.columns)
+    rows = materialise(scan if FILE in scan.columns else placed(scan), "placed")
+    blocks = rows.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("_rows"), F.min(_ID).alias(_FIRST))
+    before = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_in_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    files = blocks.groupBy(FILE).agg(F.sum("_rows").alias("_rows")).withColumn("_rank", F.lit(0))
+    if paths:
+        ranks = rows.sparkSession.createDataFrame(
+            [(_plain_path(path), rank) for rank, path in reversed(list(enumerate(paths)))], "_path string, _r int"
+        ).groupBy("_path").agg(F.min("_r").alias("_r"))
+        own = F.url_decode(F.regexp_replace(FILE, "^[a-zA-Z0-9+.-]+:(//[^/]*)?/*", "/"))
+        above = F.regexp_replace("_own", "/[^/]*$", "")
+        files = (
+            files.drop("_rank").withColumn("_own", own).withColumn("_above", above)
+            .join(ranks.select(F.col("_path").alias("_own"), F.col("_r").alias("_file_rank")), "_own", "left")
+            .join(ranks.select(F.col("_path").alias("_above"), F.col("_r").alias("_folder_rank")), "_above", "left")
+            .withColumn("_rank", F.coalesce("_file_rank", "_folder_rank", F.lit(len(paths))))
+        )
+    earlier = Window.orderBy("_rank", FILE).rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(FILE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    offsets = starts.join(files, FILE).select(FILE, BLOCK, (F.col("_before") + F.col("_in_file") - F.col(_FIRST)).alias(_START))
+    columns = [column for column in rows.columns if column not in (FILE, BLOCK, _ID)]
+    joined = rows.join(materialise(offsets, "row-offsets"), [FILE, BLOCK])
+    return joined.select((F.col(_START) + F.col(_ID)).alias(name), *[F.col(f"`{column}`") for column in columns])
 
 
 def number_sorted_rows(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
-    """Rows numbered from 0 in a total order.
-
-    The sorted rows are written down with their places, since a second sort may cut its
-    ranges elsewhere.
-    """
-    placed = materialise(sort_by(df, *order).withColumn(_ID, F.monotonically_increasing_id()), "sorted")
-    return _number(placed, name, df.columns)
+    """Rows numbered from 0 in a total order: one sort, written once with the places it gave."""
+    columns = df.columns
+    rows = materialise(sort_by(df, *order).withColumn(_ID, F.monotonically_increasing_id()), "sorted")
+    parted = rows.withColumn(_PART, F.shiftright(_ID, _POSITION_BITS))
+    sizes = parted.groupBy(_PART).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per sorted range in a single task.
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(_PART, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(_START))
+    place = F.col(_ID).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    joined = parted.join(materialise(starts, "row-offsets"), _PART)
+    return joined.select((F.col(_START) + place).alias(name), *[F.col(f"`{column}`") for column in columns])

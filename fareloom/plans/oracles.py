@@ -41,10 +41,12 @@ def _money(expression: str, name: str) -> str:
     return f"CAST({expression} AS DECIMAL(10,2)) AS {name}"
 
 
-def _conformed(colour: str, where: str = "") -> str:
+def _conformed(colour: str, where: str = "", file_name: str | None = None, change: str = "") -> str:
+    """``change`` is a further step that puts another ``trips`` in place of the plain ones."""
+    file_name = file_name or f"'{colour}_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet'"
     mark = {"yellow": "tpep", "green": "lpep"}[colour]
     head = f"""{UNIQUE_ID} AS unique_id,
-       '{colour}_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS file_name,
+       {file_name} AS file_name,
        vendor_id,
        pickup_datetime AS {mark}_pickup_datetime,
        dropoff_datetime AS {mark}_dropoff_datetime"""
@@ -66,7 +68,9 @@ def _conformed(colour: str, where: str = "") -> str:
        {_money('0', 'improvement_surcharge')}, {_money('total_amount', 'total_amount')}, 0 AS payment_type,
        CASE store_and_fwd_flag WHEN 'A' THEN 2 WHEN 'N' THEN 1 ELSE 0 END AS trip_type,
        {_money('0', 'congestion_surcharge')}, {_money('0', 'cbd_congestion_fee')}"""
-    return f"WITH {TRIPS}\nSELECT {head},\n       {body}\nFROM trips{where}"
+    source = "changed" if change else "trips"
+    steps = f"{TRIPS}, changed AS ({change})" if change else TRIPS
+    return f"WITH {steps}\nSELECT {head},\n       {body}\nFROM {source}{where}"
 
 
 LINE_COLUMNS = {
@@ -119,33 +123,43 @@ FROM trips JOIN zones ON pu_location_id = location_id
 WHERE CAST(pickup_datetime AS DATE) = DATE '1995-11-18'
 GROUP BY zone ORDER BY total_sum DESC NULLS FIRST, zone LIMIT 1"""
 
+_SHORT_TRIPS = f"""WITH {TRIPS}
+SELECT count(1) AS n FROM trips
+WHERE pickup_datetime >= TIMESTAMP '1995-11-01' AND pickup_datetime < TIMESTAMP '1995-12-01'
+  AND trip_distance <= 10"""
+
+_DAILY_MAX = f"""WITH {TRIPS}
+SELECT CAST(pickup_datetime AS DATE) AS pickup_day, max(trip_distance) AS max_distance
+FROM trips WHERE trip_distance < 50 GROUP BY 1
+ORDER BY max_distance DESC NULLS FIRST, pickup_day LIMIT 1000"""
+
+_LARGEST_TIP = f"""WITH {TRIPS}, {ZONES}
+SELECT zdo.zone AS dropoff_zone, tip_amount
+FROM trips
+JOIN zones zpu ON pu_location_id = zpu.location_id
+JOIN zones zdo ON do_location_id = zdo.location_id
+WHERE zpu.zone = 'NATION_0'
+  AND pickup_datetime >= TIMESTAMP '1995-11-01' AND pickup_datetime < TIMESTAMP '1995-12-01'
+ORDER BY tip_amount DESC NULLS FIRST, dropoff_zone LIMIT 1"""
+
 _PER_FILE = f"""WITH {TRIPS}
 SELECT 'yellow_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS file_name, count(*) AS n
 FROM trips GROUP BY 1"""
 
+_WRONG_FILES = """SELECT *, 'yellow_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS in_file FROM trips
+UNION ALL SELECT trips.*, 'yellow_tripdata_1995-02.parquet' FROM trips, range(2) WHERE pu_location_id < 5
+UNION ALL SELECT *, 'yellow_tripdata_2001-01.parquet' FROM trips WHERE pu_location_id BETWEEN 5 AND 9"""
+
 ORACLES: dict[str, str] = {
     "count_trips": f"WITH {TRIPS} SELECT count(*) AS n FROM trips",
     "scan_zones": f"WITH {ZONES} SELECT * FROM zones",
-    "short_trip_count": f"""WITH {TRIPS}
-SELECT count(1) AS n FROM trips
-WHERE pickup_datetime >= TIMESTAMP '1995-11-01' AND pickup_datetime < TIMESTAMP '1995-12-01'
-  AND trip_distance <= 10""",
-    "daily_max_distance": f"""WITH {TRIPS}
-SELECT CAST(pickup_datetime AS DATE) AS pickup_day, max(trip_distance) AS max_distance
-FROM trips WHERE trip_distance < 50 GROUP BY 1
-ORDER BY max_distance DESC NULLS FIRST, pickup_day LIMIT 1000""",
+    "short_trip_count": _SHORT_TRIPS,
+    "daily_max_distance": _DAILY_MAX,
     "top_pickup_zone": _TOP_ZONE,
     "revenue_by_zone": f"""WITH {TRIPS}, {ZONES}
 SELECT zone, CAST(sum(CAST(total_amount AS DECIMAL(10,2))) AS DOUBLE) AS total_sum
 FROM trips JOIN zones ON pu_location_id = location_id GROUP BY zone""",
-    "largest_tip_zone": f"""WITH {TRIPS}, {ZONES}
-SELECT zdo.zone AS dropoff_zone, tip_amount
-FROM trips
-JOIN zones zpu ON pu_location_id = zpu.location_id
-JOIN zones zdo ON do_location_id = zdo.location_id
-WHERE zpu.zone = 'NATION_0'
-  AND pickup_datetime >= TIMESTAMP '1995-11-01' AND pickup_datetime < TIMESTAMP '1995-12-01'
-ORDER BY tip_amount DESC NULLS FIRST, dropoff_zone LIMIT 1""",
+    "largest_tip_zone": _LARGEST_TIP,
     "rows_per_month": f"""WITH {TRIPS}
 SELECT CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month,
        count(*) AS n
@@ -155,7 +169,11 @@ FROM trips GROUP BY 1, 2""",
     "rows_per_csv_file": f"""WITH {TRIPS}
 SELECT 'green_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.csv.gz' AS file_name, count(*) AS n
 FROM trips GROUP BY 1""",
+    "rows_in_year": f"WITH {TRIPS} SELECT count(*) AS n FROM trips WHERE year(pickup_datetime) = 1996",
     "loaded_tables_sql": _TOP_ZONE,
+    "loaded_short_trips_sql": _SHORT_TRIPS,
+    "loaded_daily_max_sql": _DAILY_MAX,
+    "loaded_largest_tip_sql": _LARGEST_TIP,
     "trip_unique_id": f"WITH {TRIPS} SELECT {UNIQUE_ID} AS unique_id FROM trips",
     "money_decimal": """SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(10,2)) AS amount
 FROM lineitem""",
@@ -191,20 +209,30 @@ FROM trips""",
             for place, (name, kind) in enumerate(LINE_COLUMNS.items())
         ]
     ),
-    "sorted_by_dropoff": f"""WITH {TRIPS}, keyed AS (
-  SELECT {UNIQUE_ID} AS unique_id, dropoff_datetime, total_amount FROM trips
+    "sorted_by_dropoff": f"""WITH {TRIPS}, raw AS (
+  SELECT {UNIQUE_ID} AS unique_id, vendor_id AS "VendorID", pickup_datetime AS tpep_pickup_datetime,
+         dropoff_datetime AS tpep_dropoff_datetime, CAST(floor(trip_distance / 8) AS DOUBLE) AS passenger_count,
+         trip_distance,
+         CASE WHEN store_and_fwd_flag <> 'R' THEN CAST(floor(trip_distance / 10) AS DOUBLE) END AS "RatecodeID",
+         store_and_fwd_flag, pu_location_id AS "PULocationID", do_location_id AS "DOLocationID", fare_amount,
+         tip_amount, total_amount, CASE WHEN store_and_fwd_flag <> 'N' THEN CAST(1.25 AS DOUBLE) END AS "Airport_fee",
+         'yellow_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS file_name
+  FROM trips
 )
-SELECT row_number() OVER (ORDER BY dropoff_datetime NULLS LAST, unique_id, total_amount) - 1 AS place,
-       unique_id, dropoff_datetime AS tpep_dropoff_datetime, total_amount
-FROM keyed""",
+SELECT row_number() OVER (ORDER BY tpep_dropoff_datetime NULLS LAST, unique_id, tip_amount, total_amount,
+                                   store_and_fwd_flag) - 1 AS place, raw.*
+FROM raw""",
     "preview_trips": f"""WITH {TRIPS}
 SELECT * FROM trips
 ORDER BY dropoff_datetime NULLS LAST, fare_amount NULLS LAST, total_amount NULLS LAST, vendor_id NULLS LAST
 LIMIT 100""",
     "row_index": 'SELECT row_number() OVER () - 1 AS "index", * FROM lineitem',
+    "csv_row_index": """SELECT row_number() OVER (ORDER BY CASE WHEN o_orderkey % 10 < 3 THEN 0 WHEN o_orderkey % 10 = 3 THEN 1
+                                 ELSE 2 END, o_orderkey) - 1 AS "index", *
+FROM orders""",
     "csv_gz_round_trip": "SELECT * FROM lineitem",
-    "inferred_csv_scan": """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
-       o_orderstatus, o_totalprice, o_orderpriority
+    "inferred_csv_scan": """SELECT * REPLACE (CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice,
+                  CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS o_orderpriority)
 FROM orders""",
     "tsv_round_trip": "SELECT * FROM lineitem",
     "tsv_staged_trips": _conformed("green"),
@@ -216,7 +244,8 @@ FROM lineitem""",
     "uncompressed_bytes": """WITH sizes AS (
   SELECT 'yellow_tripdata_' || strftime(o_orderdate, '%Y-%m') || '.csv' AS file_name,
          CAST(sum(strlen(CAST(o_orderkey AS VARCHAR)) + strlen(CAST(o_custkey AS VARCHAR))
-             + strlen(o_orderstatus) + strlen(o_orderpriority) + 4) AS BIGINT) AS bytes
+             + strlen(o_orderstatus) + strlen(CAST(o_totalprice AS VARCHAR)) + strlen(o_orderpriority)
+             + length('1995-01-01 00:00:00.000000') + 6) AS BIGINT) AS bytes
   FROM orders GROUP BY 1
 )
 SELECT file_name, bytes, round(bytes / 1048576.0, 1) AS mib FROM sizes""",
@@ -226,7 +255,8 @@ SELECT CAST(vendor_id AS BIGINT) AS "VendorID", pickup_datetime AS tpep_pickup_d
        trip_distance,
        CASE WHEN store_and_fwd_flag <> 'R' THEN CAST(floor(trip_distance / 10) AS BIGINT) END AS "RatecodeID",
        store_and_fwd_flag, CAST(pu_location_id AS BIGINT) AS "PULocationID",
-       CAST(do_location_id AS BIGINT) AS "DOLocationID", fare_amount, tip_amount, total_amount
+       CAST(do_location_id AS BIGINT) AS "DOLocationID", fare_amount, tip_amount, total_amount,
+       CASE WHEN store_and_fwd_flag <> 'N' THEN '1.25' END AS "Airport_fee"
 FROM trips""",
     "merge_insert_only": f"WITH {_MERGE} SELECT * FROM target UNION ALL SELECT * FROM added",
     "merge_inserted_count": f"WITH {_MERGE} SELECT count(*) AS n FROM added",
@@ -248,5 +278,19 @@ SELECT months.* FROM months JOIN firsts
     ),
     "backfill_all_months": _conformed("yellow"),
     "load_metrics": f"WITH {TRIPS} SELECT count(*) AS offered, count(*) AS first_run, CAST(0 AS BIGINT) AS second_run FROM trips",
+    "backfill_stray_dates": _conformed(
+        "yellow",
+        file_name="'yellow_tripdata_1995-01.parquet'",
+        change="""SELECT * REPLACE (pickup_datetime + to_years(CAST(pu_location_id * 25 + do_location_id AS INTEGER))
+                          AS pickup_datetime) FROM trips""",
+    ),
+    # Month by month: a key that an earlier file has brought is not taken again.
+    "backfill_wrong_files": f"""SELECT * FROM (
+  {_conformed("yellow", file_name="in_file", change=_WRONG_FILES)}
+) QUALIFY file_name = min(file_name) OVER (PARTITION BY unique_id)""",
     "stream_ingest": _conformed("yellow"),
+    "stream_ingest_csv": _conformed(
+        "yellow",
+        file_name="'yellow_tripdata_1995-' || lpad(CAST(3 * quarter(pickup_datetime) AS VARCHAR), 2, '0') || '.csv.gz'",
+    ),
 }

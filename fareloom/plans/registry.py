@@ -129,7 +129,15 @@ def rows_per_csv_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def loaded_tables_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rows_in_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One total over the gzip CSV files of a year."""
+    root = scratch_path(spark, "months")
+    name = F.replace(FILE_NAME, F.lit(".parquet"), F.lit(".csv.gz"))
+    write_csv_gz(raw_trips(spark, sf_dir, "yellow").withColumn(FILE_NAME, name), root, partition_by=[FILE_NAME])
+    return reports.rows_in_year(spark, f"{root}/{FILE_NAME}=", "yellow", 1996)
+
+
+def _asked_of_tables(spark: SparkSession, sf_dir: str, question: str) -> DataFrame:
     """Raw green files and a zone CSV loaded as tables, then asked in SQL text."""
     root = scratch_path(spark, "reports")
     write_parquet(raw_trips(spark, sf_dir, "green").drop(FILE_NAME), f"{root}/raw")
@@ -139,20 +147,74 @@ def loaded_tables_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv_gz(lookup, f"{root}/zones")
     trips_table, zones_table = (f"{label}_{uuid.uuid4().hex}" for label in ("green_trips", "zone_lookup"))
     loads.load_for_reports(spark, [f"{root}/raw"], [f"{root}/zones"], trips_table, zones_table, f"{root}/tables")
-    found = spark.sql(
-        f"""
+    found = spark.sql(question.format(trips=trips_table, zones=zones_table))
+    for name in (trips_table, zones_table):
+        spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+@query
+def loaded_tables_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asked_of_tables(
+        spark,
+        sf_dir,
+        """
         SELECT z.Zone AS zone, CAST(SUM(CAST(t.total_amount AS DECIMAL(10, 2))) AS DOUBLE) AS total_sum
-        FROM {trips_table} t
-        JOIN {zones_table} z ON t.PULocationID = z.LocationID
+        FROM {trips} t
+        JOIN {zones} z ON t.PULocationID = z.LocationID
         WHERE CAST(t.lpep_pickup_datetime AS DATE) = '1995-11-18'
         GROUP BY z.Zone
         ORDER BY total_sum DESC NULLS FIRST, zone
         LIMIT 1
+        """,
+    )
+
+
+@query
+def loaded_short_trips_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asked_of_tables(
+        spark,
+        sf_dir,
         """
+        SELECT COUNT(1) AS n
+        FROM {trips}
+        WHERE lpep_pickup_datetime >= '1995-11-01' AND lpep_pickup_datetime < '1995-12-01' AND trip_distance <= 10
+        """,
+    )
+
+
+@query
+def loaded_daily_max_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asked_of_tables(
+        spark,
+        sf_dir,
+        """
+        SELECT CAST(lpep_pickup_datetime AS DATE) AS pickup_day, MAX(trip_distance) AS max_distance
+        FROM {trips}
+        WHERE trip_distance < 50
+        GROUP BY pickup_day
+        ORDER BY max_distance DESC NULLS FIRST, pickup_day
+        LIMIT 1000
+        """,
+    )
+
+
+@query
+def loaded_largest_tip_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _asked_of_tables(
+        spark,
+        sf_dir,
+        """
+        SELECT zone_to.Zone AS dropoff_zone, t.tip_amount
+        FROM {trips} t
+        JOIN {zones} zone_from ON t.PULocationID = zone_from.LocationID
+        JOIN {zones} zone_to ON t.DOLocationID = zone_to.LocationID
+        WHERE zone_from.Zone = 'NATION_0'
+          AND t.lpep_pickup_datetime >= '1995-11-01' AND t.lpep_pickup_datetime < '1995-12-01'
+        ORDER BY t.tip_amount DESC NULLS FIRST, dropoff_zone
+        LIMIT 1
+        """,
     )
-    for name in (trips_table, zones_table):
-        spark.sql(f"DROP TABLE {name}")
-    return found
 
 
 # Columns
@@ -217,10 +279,11 @@ def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sorted_by_dropoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All trips in order of their end, each with its place."""
-    raw = raw_trips(spark, sf_dir, "yellow")
-    keyed = raw.select(trip_key(raw, COLOURS["yellow"]).alias("unique_id"), "tpep_dropoff_datetime", "total_amount")
-    return number_sorted_rows(keyed, ["tpep_dropoff_datetime", "unique_id", "total_amount"], "place")
+    """All trips, whole, in order of their end, each with its place."""
+    raw = raw_trips(spark, sf_dir, "yellow", row="_row")
+    keyed = raw.select(trip_key(raw, COLOURS["yellow"]).alias("unique_id"), *raw.columns)
+    order = ["tpep_dropoff_datetime", "unique_id", "tip_amount", "total_amount", "store_and_fwd_flag", "_row"]
+    return number_sorted_rows(keyed, order, "place").drop("_row")
 
 
 @query
@@ -233,6 +296,19 @@ def row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_file_rows(table(spark, sf_dir, "lineitem"))
 
 
+@query
+def csv_row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three gzip CSV loads of different size, numbered in the order they are named."""
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "csv")
+    third = F.col("o_orderkey") % 10
+    parts = {"b": third < 3, "c": third == 3, "a": third > 3}
+    for name, rows in parts.items():
+        write_csv_gz(orders.where(rows).orderBy("o_orderkey"), f"{root}/{name}")
+    paths = [f"{root}/{name}" for name in parts]
+    return number_file_rows(read_csv(spark, orders.schema, *paths, with_places=True), paths=paths)
+
+
 # Files and tables
 
 
@@ -246,8 +322,12 @@ def csv_gz_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def inferred_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders through CSV without a schema; some prices and priorities are spelled as missing."""
+    orders = table(spark, sf_dir, "orders")
+    price = F.when(F.col("o_orderkey") % 7 == 0, "N/A").otherwise(F.col("o_totalprice").cast("string"))
+    priority = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).otherwise("NULL")
     path = scratch_path(spark, "csv")
-    write_csv_gz(table(spark, sf_dir, "orders").drop("o_orderdate"), path)
+    write_csv_gz(orders.withColumns({"o_totalprice": price, "o_orderpriority": priority}), path)
     return read_inferred_csv(spark, path)
 
 
@@ -310,13 +390,8 @@ def union_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def uncompressed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expanded size of gzip text, month by month."""
     path = scratch_path(spark, "sizes")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        "o_custkey",
-        "o_orderstatus",
-        "o_orderpriority",
-        month_file_column("yellow", F.col("o_orderdate"), "csv").alias(FILE_NAME),
-    )
+    orders = table(spark, sf_dir, "orders")
+    orders = orders.withColumn(FILE_NAME, month_file_column("yellow", F.col("o_orderdate"), "csv"))
     write_csv_gz(orders, path, header=False, partition_by=[FILE_NAME])
     month = F.regexp_extract("_metadata.file_path", f"{FILE_NAME}=([^/]+)/", 1)
     return expanded_sizes(spark, path, month)
@@ -326,7 +401,7 @@ def uncompressed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_month_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw yellow CSV files as a table of their own, loaded twice."""
     path = scratch_path(spark, "csv")
-    write_csv_gz(raw_trips(spark, sf_dir, "yellow").drop(FILE_NAME, "Airport_fee"), path)
+    write_csv_gz(raw_trips(spark, sf_dir, "yellow").drop(FILE_NAME), path)
     copy = _Table(spark, "yellow_csv")
     for _ in range(2):
         loads.replace_load_csv(spark, [path], copy.name, copy.location)
@@ -389,6 +464,32 @@ def backfill_all_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.rows(COLOURS["yellow"].target.names)
 
 
+@query
+def backfill_stray_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file whose trips lie in thousands of months."""
+    raw = raw_trips(spark, sf_dir, "yellow")
+    years = F.make_ym_interval(F.col("PULocationID") * 25 + F.col("DOLocationID"), F.lit(0))
+    root = scratch_path(spark, "months")
+    strays = raw.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime") + years)
+    write_parquet(strays.drop(FILE_NAME), f"{root}/yellow_tripdata_1995-01.parquet")
+    target = _Table(spark, "yellow_strays")
+    loads.backfill(spark, f"{root}/", "yellow", (1995, 1), (1995, 2), target.name, target.location)
+    return target.rows(COLOURS["yellow"].target.names)
+
+
+@query
+def backfill_wrong_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips that also lie in files of other months, earlier ones (there twice) and later ones."""
+    raw = raw_trips(spark, sf_dir, "yellow")
+    early = raw.where("PULocationID < 5").withColumn(FILE_NAME, F.lit("yellow_tripdata_1995-02.parquet"))
+    late = raw.where("PULocationID BETWEEN 5 AND 9").withColumn(FILE_NAME, F.lit("yellow_tripdata_2001-01.parquet"))
+    root = scratch_path(spark, "months")
+    write_parquet(union_all([raw, early, early, late]), root, [FILE_NAME])
+    target = _Table(spark, "yellow_wrong")
+    loads.backfill(spark, f"{root}/{FILE_NAME}=", "yellow", (1995, 1), (2001, 12), target.name, target.location)
+    return target.rows(COLOURS["yellow"].target.names)
+
+
 @query
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a backfill was offered and inserted, and that its repetition inserted."""
@@ -420,3 +521,20 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, arrivals, schema, "yellow", target.name, checkpoint, None, target.location
         ).awaitTermination()
     return target.rows(COLOURS["yellow"].target.names)
+
+
+@query
+def stream_ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzip CSV files, one per micro-batch: all trips in the file of their quarter."""
+    raw = raw_trips(spark, sf_dir, "yellow")
+    schema = T.StructType([field for field in raw.schema.fields if field.name != FILE_NAME])
+    quarter = F.lpad((F.quarter("tpep_pickup_datetime") * 3).cast("string"), 2, "0")
+    name = F.concat(F.lit("yellow_tripdata_1995-"), quarter, F.lit(".csv.gz"))
+    arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
+    target = _Table(spark, "yellow_stream")
+    write_csv_gz(raw.withColumn(FILE_NAME, name), arrivals, partition_by=[FILE_NAME])
+    for _ in range(2):
+        ingest_stream(
+            spark, arrivals, schema, "yellow", target.name, checkpoint, 1, target.location, "csv"
+        ).awaitTermination()
+    return target.rows(COLOURS["yellow"].target.names)

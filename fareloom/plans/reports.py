@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.names import month_file_column, months_between
 from fareloom.functions.values import to_money
-from fareloom.operators.joins import sized_join
 from fareloom.operators.ordering import top_n
 from fareloom.operators.profile import rows_per_file
 from fareloom.sources.files import present_months, scan_csv
@@ -93,7 +92,7 @@ def largest_tip_zone(
     )
     origin = zones.where(F.col(zone) == from_zone).select(F.col(zone_id).alias("_from_id"))
     target = zones.select(F.col(zone_id).alias("_to_id"), F.col(zone).alias("dropoff_zone"))
-    pairs = sized_join(sized_join(kept, origin, ["_from_id"]), target, ["_to_id"])
+    pairs = kept.join(origin, "_from_id").join(target, "_to_id")
     return top_n(pairs.select("dropoff_zone", "tip_amount"), "tip_amount", 1, "dropoff_zone")
 
 
@@ -117,3 +116,8 @@ def rows_per_csv_file(
     """Row count of every CSV month file in a span, in one scan; absent months have no row."""
     paths = present_months(spark, prefix, colour, months_between(first, last), extension)
     return rows_per_file(scan_csv(spark, *paths, same_header=False))
+
+
+def rows_in_year(spark: SparkSession, prefix: str, colour: str, year: int, extension: str = "csv.gz") -> DataFrame:
+    """Row total over the month files of a year."""
+    return rows_per_csv_file(spark, prefix, colour, (year, 1), (year, 12), extension).agg(F.sum("n").alias("n"))

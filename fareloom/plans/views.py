@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.functions.names import month_file_column
-from fareloom.operators.joins import fits_broadcast, sized_join
-
-_ROW = "_row"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,15 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     regions = region.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("borough"))
-    return sized_join(nation, regions, ["n_regionkey"]).select(
+    return nation.join(regions, "n_regionkey").select(
         F.col("n_nationkey").alias("location_id"), "borough", F.col("n_name").alias("zone")
     )
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips(spark: SparkSession, sf_dir: str, row: str | None = None) -> DataFrame:
     """One trip per order line; amounts are whole cents, as in trip files.
 
-    Orders meet customers before they meet the much longer lines.
+    Orders meet customers before they meet the much longer lines. ``row`` names a further column
+    with the line's place in its file.
     """
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
@@ -38,14 +36,9 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").cast("decimal(4,2)"),
     )
     one = F.lit(1).cast("decimal(4,2)")
-    spread = None
-    if not (fits_broadcast(orders, customers) and fits_broadcast(suppliers)):
-        lines, spread = lines.withColumn(_ROW, F.col("_metadata.row_index")), _ROW
-    placed = sized_join(orders, customers, ["o_custkey"])
-    rows = sized_join(
-        lines, placed, ["l_orderkey"], bounded_by=(orders, customers), keys_from=lines, spread=spread
-    )
-    rows = sized_join(rows, suppliers, ["l_suppkey"], keys_from=lines, spread=spread)
+    if row:
+        lines = lines.withColumn(row, F.col("_metadata.row_index"))
+    rows = lines.join(orders.join(customers, "o_custkey"), "l_orderkey").join(suppliers, "l_suppkey")
     return rows.select(
         F.col("l_linenumber").alias("vendor_id"),
         F.col("o_orderdate").alias("pickup_datetime"),
@@ -57,10 +50,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (price * discount).cast("decimal(12,2)").cast("double").alias("tip_amount"),
         (price * (one - discount) * (one + tax)).cast("decimal(12,2)").cast("double").alias("total_amount"),
         F.col("l_returnflag").alias("store_and_fwd_flag"),
+        *([row] if row else []),
     )
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, colour: str) -> DataFrame:
+def raw_trips(spark: SparkSession, sf_dir: str, colour: str, row: str | None = None) -> DataFrame:
     """The trips as a raw file shows them: mixed-case names, counts as doubles, columns missing.
 
     The last column is the month file that the trip lies in.
@@ -74,7 +68,7 @@ def raw_trips(spark: SparkSession, sf_dir: str, colour: str) -> DataFrame:
             F.when(flag == "A", F.lit(2.0)).when(flag == "N", F.lit(1.0)).alias("trip_type"),
         ],
     }[colour]
-    return trips(spark, sf_dir).select(
+    return trips(spark, sf_dir, row).select(
         F.col("vendor_id").alias("VendorID"),
         F.col("pickup_datetime").alias(f"{mark}_pickup_datetime"),
         F.col("dropoff_datetime").alias(f"{mark}_dropoff_datetime"),
@@ -89,4 +83,5 @@ def raw_trips(spark: SparkSession, sf_dir: str, colour: str) -> DataFrame:
         "total_amount",
         *own,
         month_file_column(colour, F.col("pickup_datetime")).alias("file_name"),
+        *([row] if row else []),
     )

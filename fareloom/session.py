@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +16,9 @@ SESSION_SETTINGS = {
     # SQL text may quote mixed-case columns as it does elsewhere: t."PULocationID".
     "spark.sql.ansi.doubleQuotedIdentifiers": "true",
     "spark.sql.adaptive.enabled": "true",
+    # Keys that hold a large share of the rows are split at run time, at the price of a further shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -32,11 +37,16 @@ def build_session(app_name: str = "fareloom", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
+# Paths handed out below the shared folder: by the innermost temporary() of this thread, or for sweep().
+_HANDED_OUT: list[str] = []
+_SCOPE: ContextVar[list[str]] = ContextVar("scratch", default=_HANDED_OUT)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back on a folder of its own: on a cluster a
-    machine-local folder is out of reach for the other executors.
+    A session on one machine that does not name it, as in a trial, gets a folder of its own; on
+    a cluster that is an error, since other executors could not reach it.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -51,13 +61,45 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has used before."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _SCOPE.get().append(path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """The path's Hadoop file system, and the path as it takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    system, place = file_system(spark, path)
+    system.delete(place, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What is written to the shared folder inside goes when the block ends."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in paths:
+            remove_path(spark, path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Remove all else written to the shared folder so far; frames that still read it end."""
+    while _HANDED_OUT:
+        remove_path(spark, _HANDED_OUT.pop())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Asked of the path's own file system; a failure to reach it is raised."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    system, place = file_system(spark, path)
+    return system.exists(place)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -69,3 +111,4 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from fareloom.session import path_exists
-
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+from fareloom.session import file_system, path_exists
 
 
 def create_table(
@@ -52,15 +50,24 @@ def append_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("append").format("parquet").partitionBy(*partition_by).saveAsTable(name)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Where the files of a table lie."""
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return told.first()["data_type"].rstrip("/")
+
+
 def truncate_table(spark: SparkSession, name: str) -> None:
-    """Remove all rows, of managed tables and of tables with a location of their own."""
-    mode = spark.conf.get(_OVERWRITE_MODE)
-    # An overwrite that replaces only the partitions it writes would leave all of them.
-    spark.conf.set(_OVERWRITE_MODE, "static")
-    try:
-        spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, mode)
+    """Remove all rows, of managed tables and of tables with a location of their own.
+
+    Files and partitions go; no session setting is touched, so other loads are not disturbed.
+    """
+    system, place = file_system(spark, table_location(spark, name))
+    for found in system.listStatus(place) if system.exists(place) else []:
+        if not found.getPath().getName().startswith(("_", ".")):
+            system.delete(found.getPath(), True)
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = 5000, **options: str) -> None:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,17 @@ from pyspark.sql import types as T
 from fareloom.functions.names import month_file_name
 from fareloom.functions.values import cast_to, missing_to_null
 from fareloom.operators.conform import cast_columns
+from fareloom.operators.ordering import placed
 from fareloom.schemas import RAW_GREEN_CASTS, RAW_YELLOW, ZONE_LOOKUP
 from fareloom.session import path_exists
 
-FOOTER_READERS = 16
+T_ = TypeVar("T_")
+
+# Looks at single files, each a small job of its own, that run side by side.
+FILE_LOOKS = 16
 
 # A quote inside a quoted text is doubled; a backslash is a letter like any other.
-_CSV = {"header": "true", "escape": '"'}
+CSV_OPTIONS = {"header": "true", "escape": '"'}
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -33,53 +38,91 @@ def scan_csv(spark: SparkSession, *paths: str, multi_line: bool = False, same_he
 
     ``same_header=False`` admits them where columns do not matter, as in a row count.
     """
-    reader = spark.read.options(**_CSV).option("multiLine", multi_line).option("enforceSchema", not same_header)
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).option("enforceSchema", not same_header)
     return reader.csv(list(paths))
 
 
-def read_csv_text(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
+def side_by_side(look: Callable[[str], T_], paths: Iterable[str]) -> list[T_]:
+    """One look at each path, many at a time, in the order of the paths."""
+    with ThreadPoolExecutor(FILE_LOOKS) as pool:
+        return list(pool.map(look, paths))
+
+
+def read_csv_text(
+    spark: SparkSession, *paths: str, multi_line: bool = False, with_places: bool = False
+) -> DataFrame:
     """Headed CSV (or .csv.gz) as text columns, found by name; missing-value tokens are NULL.
 
     Paths with the same header are read together, others are put together by column name.
     A gzip file cannot be split, so one file is one task; spread the rows afterwards
     (``spread_rows``) when few files feed heavy work. ``multi_line`` admits line breaks
-    inside quotes and makes every file one task.
+    inside quotes and makes every file one task. ``with_places`` adds what numbers the rows.
     """
+    headers = side_by_side(lambda path: tuple(scan_csv(spark, path, multi_line=multi_line).columns), paths)
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in paths:
-        by_header[tuple(scan_csv(spark, path, multi_line=multi_line).columns)].append(path)
-    return union_all(
-        [
-            scan_csv(spark, *group, multi_line=multi_line).select(
-                *[missing_to_null(F.col(f"`{name}`")).alias(name) for name in header]
-            )
-            for header, group in by_header.items()
-        ]
-    )
+    for header, path in zip(headers, paths):
+        by_header[header].append(path)
+    frames = []
+    for header, group in by_header.items():
+        scan = scan_csv(spark, *group, multi_line=multi_line)
+        scan = placed(scan) if with_places else scan
+        frames.append(scan.withColumns({name: missing_to_null(F.col(f"`{name}`")) for name in header}))
+    return union_all(frames)
 
 
-def read_csv(spark: SparkSession, schema: T.StructType, *paths: str, multi_line: bool = False) -> DataFrame:
-    """A headed CSV under explicit types, columns matched by name and in file order.
+def typed_text(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns under explicit types, found by name, in their own order.
 
-    Integer columns accept ``1.0`` and refuse ``1.5``. Columns outside the schema stay text.
+    Integer columns accept ``1.0`` and refuse ``1.5``. Columns outside the schema stay as they are.
     """
-    text = read_csv_text(spark, *paths, multi_line=multi_line)
     kinds = {field.name: field.dataType for field in schema.fields}
     return text.select(
         *[
-            cast_to(F.col(f"`{name}`"), T.StringType(), kinds.get(name, T.StringType())).alias(name)
+            cast_to(F.col(f"`{name}`"), T.StringType(), kinds[name]).alias(name) if name in kinds else F.col(f"`{name}`")
             for name in text.columns
         ]
     )
 
 
+def read_csv(
+    spark: SparkSession, schema: T.StructType, *paths: str, multi_line: bool = False, with_places: bool = False
+) -> DataFrame:
+    """A headed CSV under explicit types, columns matched by name and in file order."""
+    return typed_text(read_csv_text(spark, *paths, multi_line=multi_line, with_places=with_places), schema)
+
+
+# The types a CSV column may turn out to have, narrowest first, and the texts that fit each.
+_INFERRED = {
+    "bigint": r"^\s*[+-]?[0-9]{1,18}\s*$",
+    "double": r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$",
+    "boolean": r"^(?i:true|false)$",
+    "timestamp_ntz": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$",
+}
+
+
 def read_inferred_csv(spark: SparkSession, *paths: str) -> DataFrame:
-    """A headed CSV with types found by a pass over the data."""
-    return spark.read.options(**_CSV).option("inferSchema", True).csv(list(paths))
+    """A headed CSV with types found by one pass over the data.
+
+    A column has the narrowest type that all its values fit; missing-value tokens are NULL and
+    fit any. What fits none, or holds no value at all, stays text.
+    """
+    text = read_csv_text(spark, *paths)
+    fits = [
+        F.bool_and(F.col(f"`{name}`").rlike(pattern)).alias(f"{i} {kind}")
+        for i, name in enumerate(text.columns)
+        for kind, pattern in _INFERRED.items()
+    ]
+    found = text.agg(*fits).first().asDict()
+    columns = []
+    for i, name in enumerate(text.columns):
+        kind = next((kind for kind in _INFERRED if found[f"{i} {kind}"]), "string")
+        value = F.col(f"`{name}`")
+        columns.append((F.trim(value) if kind in ("bigint", "double") else value).cast(kind).alias(name))
+    return text.select(*columns)
 
 
-def read_yellow_csv(spark: SparkSession, *paths: str) -> DataFrame:
-    return read_csv(spark, RAW_YELLOW, *paths)
+def read_yellow_csv(spark: SparkSession, *paths: str, with_places: bool = False) -> DataFrame:
+    return read_csv(spark, RAW_YELLOW, *paths, with_places=with_places)
 
 
 def read_green_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -115,7 +158,8 @@ def present_months(
 ) -> list[str]:
     """Paths of the month files that exist."""
     paths = [month_path(prefix, colour, year, month, extension) for year, month in months]
-    return [path for path in paths if path_exists(spark, path)]
+    there = side_by_side(lambda path: path_exists(spark, path), paths)
+    return [path for path, found in zip(paths, there) if found]
 
 
 def read_months(
@@ -129,8 +173,7 @@ def read_months(
     """
     months = list(months)
     paths = [month_path(prefix, colour, year, month) for year, month in months]
-    with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        found = list(pool.map(lambda path: read_if_present(spark, path), paths))
+    found = side_by_side(lambda path: read_if_present(spark, path), paths)
     by_layout: dict[str, list[str]] = defaultdict(list)
     for path, scan in zip(paths, found):
         if scan is not None:

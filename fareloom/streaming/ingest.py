@@ -8,9 +8,25 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fareloom.functions.names import month_file_of
+from fareloom.functions.values import missing_to_null
 from fareloom.operators.conform import conform
-from fareloom.plans.loads import create_target, first_month_trips, merge_into, numbered
+from fareloom.plans.loads import create_target, merge_into
 from fareloom.schemas import COLOURS
+from fareloom.sources.files import CSV_OPTIONS, typed_text
+
+
+def _arrivals(spark: SparkSession, folder: str, schema: T.StructType, file_format: str, limit: int | None) -> DataFrame:
+    reader = spark.readStream.option("recursiveFileLookup", True)
+    if limit:
+        reader = reader.option("maxFilesPerTrigger", limit)
+    if file_format == "parquet":
+        return reader.schema(schema).parquet(folder)
+    if file_format != "csv":
+        raise ValueError(f"no stream of {file_format} files here, only parquet and csv")
+    # Columns go by place in a CSV stream; a file whose header says otherwise is an error.
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
+    rows = reader.schema(texts).options(**CSV_OPTIONS).option("enforceSchema", False).csv(folder)
+    return typed_text(rows.withColumns({name: missing_to_null(F.col(f"`{name}`")) for name in schema.names}), schema)
 
 
 def ingest_stream(
@@ -22,25 +38,24 @@ def ingest_stream(
     checkpoint: str,
     files_per_batch: int | None = 1,
     location: str | None = None,
+    file_format: str = "parquet",
 ) -> StreamingQuery:
     """Start a stream that merges every file that is new in ``folder`` and then stops.
 
-    The stream keeps no state: the checkpoint remembers the files, and the merge makes a
+    Files are Parquet, or headed CSV (plain or gzip) in the typed layout ``schema``. The stream
+    keeps no state: the checkpoint remembers the files, and the merge makes a
     repeated micro-batch harmless. One monthly file per micro-batch gives the outcome of
-    monthly loads; several files taken together go through the first-month rule, so a
+    monthly loads; several files taken together go in as if one by one in the order of their months, so a
     month that arrives in parts should come in one micro-batch (``files_per_batch=None``
     takes all that is there).
     """
     fleet = COLOURS[colour]
     create_target(spark, target, fleet, location)
-    arrivals = spark.readStream.schema(schema).option("recursiveFileLookup", True)
-    if files_per_batch:
-        arrivals = arrivals.option("maxFilesPerTrigger", files_per_batch)
-    rows = numbered(conform(arrivals.parquet(folder), fleet, month_file_of(F.col("_metadata.file_path"))))
+    arrivals = _arrivals(spark, folder, schema, file_format, files_per_batch)
+    rows = conform(arrivals, fleet, month_file_of(F.col("_metadata.file_path")))
 
     def merge_batch(batch: DataFrame, _: int) -> None:
-        kept = batch if files_per_batch == 1 else first_month_trips(batch, fleet)
-        merge_into(batch.sparkSession, kept, target, fleet, several_months=files_per_batch != 1)
+        merge_into(batch.sparkSession, batch, target, fleet)
 
     return (
         rows.writeStream.foreachBatch(merge_batch)

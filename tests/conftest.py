@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": str(warehouse),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.log.level": "ERROR",
         },
     )

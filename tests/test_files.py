@@ -58,10 +58,20 @@ def test_zone_lookup(spark, tmp_path):
     assert rows(df) == [(1, "EWR", "Newark Airport", "EWR"), (264, "Unknown", None, None)]
 
 
-def test_inferred_csv_and_literal_table(spark, tmp_path):
+def test_inferred_csv(spark, tmp_path):
+    """Missing-value tokens fit any type, and a column of nothing else stays text."""
     path = tmp_path / "x.csv"
-    path.write_text("a,b\n1,x\n2,y\n")
-    assert files.read_inferred_csv(spark, str(path)).dtypes == [("a", "int"), ("b", "string")]
+    path.write_text(
+        "a,b,c,d,e,f\n1,x,1.5,2020-01-02 03:04:05,true,NA\nN/A,N/A,2,NULL,False,\n 3,NA,1e3,2021-01-02 03:04:05.5,nan,null\n"
+    )
+    found = files.read_inferred_csv(spark, str(path))
+    kinds = ["bigint", "string", "double", "timestamp_ntz", "boolean", "string"]
+    assert found.dtypes == list(zip("abcdef", kinds))
+    assert [tuple(r)[:3] for r in found.collect()] == [(1, "x", 1.5), (None, None, 2.0), (3, None, 1000.0)]
+    assert [(r.d and r.d.year, r.e, r.f) for r in found.collect()] == [(2020, True, None), (None, False, None), (2021, None, None)]
+
+
+def test_literal_table(spark):
     table = files.literal_table(spark, [(1, 3), (2, 4)], "day bigint, num_passengers bigint")
     assert rows(table.withColumn("month", F.lit(5).cast("bigint"))) == [(1, 3, 5), (2, 4, 5)]
 

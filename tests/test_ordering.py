@@ -27,15 +27,43 @@ def test_numbers_follow_the_lines_of_a_file(spark, tmp_path, setting):
     assert rows(ordering.number_file_rows(scan)) == sorted(((i, f"line-{i}") for i in range(200)), key=repr)
 
 
-def test_numbers_over_several_files_are_gapless(spark, tmp_path, setting):
+def numbered(df):
+    return [v for _, v in sorted((r["index"], r.v) for r in df.collect())]
+
+
+def test_numbers_run_on_in_the_order_of_the_paths(spark, tmp_path, setting):
     setting("spark.sql.files.maxPartitionBytes", "200")
-    for name, count in (("b", 150), ("a", 40), ("c", 7)):
+    sizes = {"b b": 3, "a": 300, "c": 50}
+    for name, count in sizes.items():
         (tmp_path / f"{name}.csv").write_text("v\n" + "".join(f"{name}{i:03d}\n" for i in range(count)))
-    found = sorted((r["index"], r.v) for r in ordering.number_file_rows(read_csv_text(spark, str(tmp_path))).collect())
-    assert [index for index, _ in found] == list(range(197))
-    for name in "abc":
-        lines = [v for _, v in found if v[0] == name]
-        assert lines == sorted(lines)
+    paths = [str(tmp_path / f"{name}.csv") for name in sizes]
+    scan = read_csv_text(spark, *paths, with_places=True)
+    found = ordering.number_file_rows(scan, paths=paths)
+    assert sorted(r["index"] for r in found.collect()) == list(range(353))
+    assert numbered(found) == [f"{name}{i:03d}" for name, count in sizes.items() for i in range(count)]
+    by_name = ordering.number_file_rows(read_csv_text(spark, str(tmp_path)))
+    assert numbered(by_name) == [f"{name}{i:03d}" for name in sorted(sizes) for i in range(sizes[name])]
+
+
+def test_numbers_of_folders_and_of_different_headers(spark, tmp_path):
+    for name, head in (("late", "v"), ("early", "w,v")):
+        (tmp_path / name).mkdir()
+        for part in range(3):
+            lines = "".join(f"{'1,' if ',' in head else ''}{name}{part}{i}\n" for i in range(4))
+            (tmp_path / name / f"part-{part}.csv").write_text(f"{head}\n{lines}")
+    paths = [f"file://{tmp_path}/late", str(tmp_path / "early")]
+    found = ordering.number_file_rows(read_csv_text(spark, *paths, with_places=True), paths=paths)
+    assert numbered(found) == [f"{name}{part}{i}" for name in ("late", "early") for part in range(3) for i in range(4)]
+
+
+def test_numbers_do_not_depend_on_how_files_are_cut(spark, tmp_path, setting):
+    """The number of cores, and with it the cut, changes between the call and the run."""
+    spark.range(200_000).repartition(5).write.parquet(str(tmp_path / "rows"))
+    for before, after in (("4", "9"), ("4", "3")):
+        setting("spark.sql.files.minPartitionNum", before)
+        found = ordering.number_file_rows(spark.read.parquet(str(tmp_path / "rows")))
+        setting("spark.sql.files.minPartitionNum", after)
+        assert found.agg(F.count("index"), F.count_distinct("index"), F.max("index")).first() == (200_000, 200_000, 199_999)
 
 
 def test_numbers_of_sorted_rows(spark):
@@ -45,10 +73,10 @@ def test_numbers_of_sorted_rows(spark):
     assert found == sorted(((i, a, b) for i, (b, a) in enumerate(ordered)), key=repr)
 
 
-def test_copies_are_cut_into_several_ranges(spark, setting):
+def test_a_shared_value_is_cut_into_several_ranges(spark, setting):
     setting("spark.sql.adaptive.enabled", "false")
-    df = spark.range(4000).select(F.lit(1).alias("t"), (F.col("id") % 2).alias("x"))
-    found = ordering.number_sorted_rows(df, ["t"])
+    df = spark.range(4000).select(F.lit(1).alias("t"), F.col("id").alias("row"))
+    found = ordering.number_sorted_rows(df, ["t", "row"])
     assert sorted(r["index"] for r in found.collect()) == list(range(4000))
-    per_task = ordering.sort_by(df, "t", "x").groupBy(F.spark_partition_id()).count().collect()
+    per_task = ordering.sort_by(df, "t", "row").groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in per_task) < 2000

@@ -1,3 +1,4 @@
+import gzip
 import uuid
 
 import pytest
@@ -45,3 +46,26 @@ def test_several_files_in_one_batch_follow_month_order(run):
     schema = arrive(1, (1, "2020-01-01 10:00:00", 5.0))
     expected = [("yellow_tripdata_2020-01.parquet", 1, 1), ("yellow_tripdata_2020-02.parquet", 2, 1)]
     assert ingest(schema, None) == expected
+
+
+def test_csv_files_are_a_stream_too(spark, tmp_path, run):
+    """Plain and gzip files in the typed layout, one per micro-batch; missing values, integers spelled 1.0."""
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    schema = yellow_rows(spark).schema
+    head = ",".join(schema.names)
+    line = "{},2020-01-01 10:00:00,2020-01-01 12:00:00,NaN,2.5,1.0,N/A,10,20,1,5.0"
+    (folder / "yellow_tripdata_2020-01.csv").write_text(f"{head}\n{line.format(1)}\n{line.format(1)}\n")
+    with gzip.open(folder / "yellow_tripdata_2020-02.csv.gz", "wt") as file:
+        file.write(f"{head}\n{line.format('1.0')}\n{line.format(2)}\n")
+    name = f"stream_{uuid.uuid4().hex}"
+    for _ in range(2):
+        ingest_stream(
+            spark, str(folder), schema, "yellow", name, str(tmp_path / "csv-state"), 1, file_format="csv"
+        ).awaitTermination()
+    found = rows(spark.table(name).groupBy("file_name", "vendor_id", "store_and_fwd_flag").count())
+    spark.sql(f"DROP TABLE {name}")
+    assert sum(r[3] for r in found) == 3 and {r[2] for r in found} == {None}
+    with pytest.raises(ValueError, match="orc"):
+        ingest_stream(spark, str(folder), schema, "yellow", name, str(tmp_path / "other"), file_format="orc")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
