@@ -32,7 +32,7 @@ from fareloom.llm.frames import append_column
 ID_BYTES = 4
 # Memory bounds of a worker, not of the data: what does not fit is worked out again.
 CACHED_WORDS = 400_000
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 18
 # Longer words are worked out each time.
 WORD_BYTES = 16
 

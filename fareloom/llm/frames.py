@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # A batch that an Arrow function works on at once holds about this much text.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

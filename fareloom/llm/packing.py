@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom.llm.bpe import ID_BYTES
-from fareloom.llm.frames import batch_of
+from fareloom.llm.frames import batch_of, slices
 
 _POSITION_BITS = 33
 
@@ -58,7 +58,7 @@ class Tiers:
 
     sizes: tuple[int, ...] = (128, 256, 512, 1024, 2048)
     group_tokens: int = 1 << 17
-    round_tokens: int = 1 << 21
+    round_tokens: int = 1 << 20
 
     def __post_init__(self):
         if not self.sizes or any(size < 1 or size & size - 1 for size in self.sizes) or list(self.sizes) != sorted(set(self.sizes)):
@@ -208,8 +208,8 @@ def _packing(tiers: Tiers, end_id: int):
             packer.done, tokens = [], 0
             return batch_of(out, PIECES)
 
-        for batch in batches:
-            for key, ids in zip(batch.column("_id").to_pylist(), batch.column("_ids").to_pylist(), strict=True):
+        for part in (part for batch in batches for part in slices(batch, "_ids")):
+            for key, ids in zip(part.column("_id").to_pylist(), part.column("_ids").to_pylist(), strict=True):
                 docs[arrived] = (key, (ids or b"") + end)
                 packer.add(arrived, len(docs[arrived][1]) // ID_BYTES)
                 tokens += len(docs[arrived][1]) // ID_BYTES
