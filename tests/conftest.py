@@ -25,6 +25,12 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def sf_dir():
+    """The smallest check tables."""
+    return "/root/testdata/sf0.001"
+
+
 @pytest.fixture
 def setting(spark):
     """Set session settings for one test."""
