@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -286,10 +287,12 @@ def _walker(sparse: Sparse):
 
 
 def _closer(sparse: Sparse):
-    """A task's open suffixes offered the earliest ones that all tasks have for the prefixes of its edges."""
+    """A task's matches: its open suffixes are offered the earliest ones that all tasks have for its edges."""
 
-    def run(opened: pa.Table, edges: pa.Table) -> pa.Table:
+    def run(handed: pa.Table, edges: pa.Table) -> pa.Table:
         out: dict[str, list] = {name: [] for name in _FOUND.names}
+        closed = handed.filter(pc.equal(handed["kind"], 0)).select(_FOUND.names)
+        opened = handed.filter(pc.equal(handed["kind"], 2))
         longest: dict[tuple, tuple[bytes, bytes]] = {}
         for edge in edges.to_pylist():
             first, prefix = edge["first"], edge["prefix"]
@@ -309,7 +312,8 @@ def _closer(sparse: Sparse):
                     values = (row[FILE], row[ROW], row["_id"], row["pos"] - before, words, source)
                     for name, value in zip(_FOUND.names, values, strict=True):
                         out[name].append(value)
-        return pa.Table.from_batches([batch_of(out, _FOUND)])
+        found = pa.Table.from_batches([batch_of(out, _FOUND)])
+        return pa.concat_tables([closed.cast(found.schema), found])
 
     return run
 
@@ -324,7 +328,8 @@ def repeated_passages(
     common = scratch.write(chosen.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "common")
     paired = chosen.join(common, "gram", "left_semi").groupBy(*PLACE).agg(F.sort_array(F.collect_list("pos")).alias("places"))
     paired = scratch.write(paired, "paired")
-    suffixes = scratch.write(texts.join(paired, list(PLACE)).mapInArrow(_contexts(sparse), _SUFFIXES), "suffixes")
+    # The places grow with the corpus, so they are shuffled like the texts, whatever their size here.
+    suffixes = scratch.write(texts.join(paired.hint("merge"), list(PLACE)).mapInArrow(_contexts(sparse), _SUFFIXES), "suffixes")
     scratch.drop(chosen, common, paired)
     order = ["right", F.col("_id").asc_nulls_last(), FILE, ROW, "pos"]
     dealt = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -335,10 +340,9 @@ def repeated_passages(
     prefixes = edges.groupBy("prefix").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("tasks")).where("tasks > 1")
     told = edges.select("task", "prefix").join(scratch.write(prefixes, "prefixes"), "prefix")
     told = scratch.write(told, "told")
-    names = [f.name for f in _FOUND]
-    opened = walked.where("kind = 2").groupBy("task")
-    closed = opened.cogroup(told.groupBy("task")).applyInArrow(_closer(sparse), _FOUND)
-    found = scratch.write(walked.where("kind = 0").select(*names).unionAll(closed), "found")
+    handed = walked.where("kind <> 1").groupBy("task")
+    closed = handed.cogroup(told.groupBy("task")).applyInArrow(_closer(sparse), _FOUND)
+    found = scratch.write(closed, "found")
     # Overlapping matches of a text become one passage.
     ordered = Window.partitionBy(*PLACE).orderBy("start", "length", "source")
     reached = F.max(F.col("start") + F.col("length")).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
