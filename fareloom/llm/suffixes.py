@@ -47,7 +47,7 @@ class Sparse:
 
     gram: int = 8
     window: int = 40
-    reach: int = 64
+    reach: int = 50
     least: int = 50
 
     def __post_init__(self):
@@ -128,7 +128,7 @@ def minimisers(hashes: np.ndarray, counts: np.ndarray, window: int) -> np.ndarra
 def _chooser(sparse: Sparse):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text", 4 << 20):
+            for part in slices(batch, "_text"):
                 split = [(text or "").encode().split() for text in part.column("_text").to_pylist()]
                 n = np.array([len(words) if len(words) >= sparse.least else 0 for words in split], np.int64)
                 raw = b" ".join(word for words, size in zip(split, n, strict=True) if size for word in words)
@@ -155,7 +155,7 @@ def _contexts(sparse: Sparse):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text", 1 << 20):
+            for part in slices(batch, "_text"):
                 out: dict[str, list] = {name: [] for name in _SUFFIXES.names}
                 columns = [part.column(name).to_pylist() for name in (*_KEYS, "_text", "places")]
                 for file, row, key, text, places in zip(*columns, strict=True):
