@@ -136,7 +136,8 @@ def first_params(shape: Shape, n_words: int, rng: np.random.Generator) -> Params
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    with np.errstate(over="ignore"):  # far out it is 0 or 1
+        return 1 / (1 + np.exp(-x))
 
 
 def _run(gates: np.ndarray, tokens: np.ndarray, u: np.ndarray, lengths: np.ndarray | None, back: bool, keep: list | None):
@@ -160,11 +161,16 @@ def _run(gates: np.ndarray, tokens: np.ndarray, u: np.ndarray, lengths: np.ndarr
     return out
 
 
-def forward(params: Params, inputs: np.ndarray, tokens: np.ndarray, lengths: np.ndarray | None, trace: dict | None = None) -> np.ndarray:
-    """The logit of each window. ``inputs`` has a row per distinct word, ``tokens`` the rows of each window."""
+def gates_of(params: Params, inputs: np.ndarray) -> dict[str, np.ndarray]:
+    """What each distinct word gives to the gates of either direction."""
+    return {way: inputs @ params[f"{way}_w"] + params[f"{way}_b"] for way in "fb"}
+
+
+def forward(params: Params, gates: dict[str, np.ndarray], tokens: np.ndarray, lengths: np.ndarray | None, trace: dict | None = None) -> np.ndarray:
+    """The logit of each window. ``gates`` has a row per distinct word, ``tokens`` the rows of each window."""
     kept: dict[str, list] = {"f": [], "b": []}
     ways = [
-        _run(inputs @ params[f"{w}_w"] + params[f"{w}_b"], tokens, params[f"{w}_u"], lengths, w == "b", kept[w] if trace is not None else None)
+        _run(gates[w], tokens, params[f"{w}_u"], lengths, w == "b", kept[w] if trace is not None else None)
         for w in "fb"
     ]
     states = np.concatenate(ways, axis=2)
@@ -247,7 +253,7 @@ class Model:
         ids: dict[bytes, int] = {}
         tokens = [np.array([ids.setdefault(word, len(ids)) for word in words], np.int32) for words in texts]
         found = np.full(len(texts), -np.inf, np.float32)
-        inputs = self.inputs([*ids, b""])
+        gates = gates_of(self.params, self.inputs([*ids, b""]))
         owner, spans, lengths = [], [], []
         for i, own in enumerate(tokens):
             starts = window_starts(len(own), window) or [0]
@@ -264,7 +270,7 @@ class Model:
             at = np.flatnonzero((length_of == window) == whole)
             for first in range(0, len(at), most):
                 part = at[first : first + most]
-                logit = forward(self.params, inputs, rows[part], None if whole else length_of[part])
+                logit = forward(self.params, gates, rows[part], None if whole else length_of[part])
                 np.maximum.at(found, owner_of[part], logit)
         return found
 
@@ -339,7 +345,7 @@ def train(windows: list[tuple[int, int, list[bytes]]], prior: float, shape: Shap
             chars = _segment_sums(params["grams"][buckets], n_grams) * per
             inputs = np.concatenate([params["words"][known], chars], axis=1)
             trace: dict = {}
-            logit = forward(params, inputs, tokens, lengths, trace)
+            logit = forward(params, gates_of(params, inputs), tokens, lengths, trace)
             d_logit = ((sigmoid(logit) - labels[part]) / len(part)).astype(np.float32)
             grads, d_inputs = backward(params, inputs, tokens, lengths, trace, d_logit)
             grads["words"] = _scatter(d_inputs[:, : shape.word_size], known, len(vocabulary) + 1)
@@ -427,7 +433,7 @@ def with_score(df: DataFrame, model: Model, text: str = "text", name: str = "sco
         for one in texts.to_pylist():
             held.append(one)
             size += len(one or "")
-            if size >= 1 << 20:
+            if size >= 1 << 19:
                 found.append(shared.value.scores(held))
                 held, size = [], 0
         found.append(shared.value.scores(held))

@@ -8,7 +8,7 @@ import pytest
 
 from fareloom.llm import toxicity
 from fareloom.llm.queries import op9_toxicity
-from fareloom.llm.toxicity import Shape, Training, backward, char_grams, fit, first_params, forward, train, window_starts, with_score
+from fareloom.llm.toxicity import Shape, Training, backward, char_grams, fit, first_params, forward, gates_of, train, window_starts, with_score
 
 TINY = Shape(window=8, word_size=3, char_size=2, states=3, attention=4, gram_buckets=64)
 
@@ -27,10 +27,10 @@ def test_gradients_equal_differences(lengths):
     weights = np.array([1.0, -2.0, 0.5])
 
     def loss():
-        return float(forward(params, inputs, tokens, lengths) @ weights)
+        return float(forward(params, gates_of(params, inputs), tokens, lengths) @ weights)
 
     trace = {}
-    forward(params, inputs, tokens, lengths, trace)
+    forward(params, gates_of(params, inputs), tokens, lengths, trace)
     grads, d_inputs = backward(params, inputs, tokens, lengths, trace, weights)
     for values, grad in [*((params[name], grads[name]) for name in grads), (inputs, d_inputs)]:
         for _ in range(6):
