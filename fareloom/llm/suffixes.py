@@ -8,14 +8,20 @@ place in it. Suffixes whose first gram occurs once have no partner and go at onc
 The others, with ``reach`` words to the right and to the left, are sorted by their words, in ranges
 that Spark deals to tasks. A task walks its sorted suffixes in both directions and compares
 neighbours; on the way it keeps, for every length of common prefix, the earliest suffix seen that
-still shares as much. The best earlier partner of a suffix is thus known without looking at pairs; the match is
-extended to the left, and reported if it has ``least`` words.
+still shares as much. Each of these is compared to the left as well, and the longest match is reported if it
+has ``least`` words.
 
 A run of suffixes that share a prefix may go over the end of a range, or over many ranges when very many
 texts share a passage. So each task also hands on the earliest suffix for each prefix length of its
 first and its last suffix; an aggregation over these (a bounded number of rows per task) tells the
 tasks' open suffixes about partners in other ranges.
 
+The earliest suffix to the right may differ on the left where a later one, still an earlier partner, agrees. So
+every stretch of ``least`` words that could occur twice and lies in none of the matches so far is named by a digest, and an
+aggregation over the digests finds where it occurs first. Each stretch belongs to one suffix, the first
+of its smallest grams, and could occur twice only if some neighbour shares its part to the right. With it all
+stretches of ``least`` words that occur earlier are found, and nothing else.
+
 Earlier means a smaller id, then an earlier place. So a passage stays where it occurs first and
 is reported everywhere else. Matches that overlap are merged.
 
@@ -32,6 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,15 +64,18 @@ class Sparse:
 
 _KEYS = (FILE, ROW, "_id")
 _ID = [T.StructField(FILE, T.LongType()), T.StructField(ROW, T.LongType()), T.StructField("_id", T.LongType())]
-_CHOSEN = T.StructType([*_ID, T.StructField("pos", T.IntegerType()), T.StructField("gram", T.LongType())])
+# Words from the starts of a suffix's own stretches to it: the least and the most.
+_OWN = [T.StructField("near", T.IntegerType()), T.StructField("far", T.IntegerType())]
+_CHOSEN = T.StructType([*_ID, T.StructField("pos", T.IntegerType()), *_OWN, T.StructField("gram", T.LongType())])
 _CONTEXT = [T.StructField("pos", T.IntegerType()), T.StructField("right", T.BinaryType()), T.StructField("left", T.BinaryType())]
-_SUFFIXES = T.StructType([*_ID, *_CONTEXT])
+_SUFFIXES = T.StructType([*_ID, *_CONTEXT, *_OWN])
 _MATCH = [
     T.StructField("start", T.IntegerType()),
     T.StructField("length", T.IntegerType()),
     T.StructField("source", T.LongType()),
 ]
-# kind 0: a match; 1: an edge, the earliest suffix with a prefix; 2: an open suffix, with its best match so far.
+# kind 0: a match; 1: an edge, the earliest suffix with a prefix; 2: an open suffix, with its best match so far;
+# 3: the digest of a stretch that no match of its suffix holds.
 _WALKED = T.StructType(
     [
         T.StructField("kind", T.IntegerType()),
@@ -75,6 +85,8 @@ _WALKED = T.StructType(
         T.StructField("ahead", T.IntegerType()),
         T.StructField("behind", T.IntegerType()),
         *_MATCH,
+        T.StructField("d1", T.LongType()),
+        T.StructField("d2", T.LongType()),
     ]
 )
 _FOUND = T.StructType([*_ID, *_MATCH])
@@ -125,6 +137,24 @@ def minimisers(hashes: np.ndarray, counts: np.ndarray, window: int) -> np.ndarra
     return largest[inside] == hashes
 
 
+def owned_windows(hashes: np.ndarray, counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far before each gram the windows begin whose first smallest gram it is: least and most (1 and 0 if none)."""
+    near, far = np.ones(len(hashes), np.int32), np.zeros(len(hashes), np.int32)
+    if len(hashes) < window:
+        return near, far
+    # The smallest gram moves on with the window, so the windows of a gram lie side by side.
+    smallest = _sliding(np.arange(len(hashes)), window, lambda a, b: np.where(hashes[b] < hashes[a], b, a))
+    ends = np.repeat(np.cumsum(counts), counts)
+    begins = np.flatnonzero(np.arange(len(smallest)) + window <= ends[: len(smallest)])
+    owner = smallest[begins]
+    change = np.flatnonzero(np.diff(owner)) + 1
+    firsts = np.concatenate([[0], change])[: len(owner)]
+    lasts = np.append(change, len(owner))[: len(firsts)] - 1
+    far[owner[firsts]] = owner[firsts] - begins[firsts]
+    near[owner[firsts]] = owner[firsts] - begins[lasts]
+    return near, far
+
+
 def _chooser(sparse: Sparse):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,9 +171,11 @@ def _chooser(sparse: Sparse):
                 word = np.repeat(np.cumsum(n) - n, counts) + pos
                 hashes = gram_hashes(data, starts[word], ends[word + sparse.gram - 1])
                 at = np.flatnonzero(minimisers(hashes, counts, sparse.window))
+                near, far = owned_windows(hashes, counts, sparse.window)
                 take = pa.array(own[at])
                 yield batch_of(
-                    {name: part.column(name).take(take) for name in _KEYS} | {"pos": pos[at].astype(np.int32), "gram": hashes[at].view(np.int64)},
+                    {name: part.column(name).take(take) for name in _KEYS}
+                    | {"pos": pos[at].astype(np.int32), "near": near[at], "far": far[at], "gram": hashes[at].view(np.int64)},
                     _CHOSEN,
                 )
 
@@ -160,12 +192,14 @@ def _contexts(sparse: Sparse):
                 columns = [part.column(name).to_pylist() for name in (*_KEYS, "_text", "places")]
                 for file, row, key, text, places in zip(*columns, strict=True):
                     words = text.encode().split()
-                    for pos in places:
+                    for place in places:
+                        pos = place["pos"]
                         right = words[pos : pos + sparse.reach]
                         left = words[max(0, pos - sparse.reach) : pos]
                         out["right"].append(b" ".join(right) + b" ")
                         out["left"].append(b" ".join([b"", *left])[::-1])
-                    out["pos"] += places
+                        for name, value in place.items():
+                            out[name].append(value)
                     for name, value in zip(_KEYS, (file, row, key), strict=True):
                         out[name] += [value] * len(places)
                 yield batch_of(out, _SUFFIXES)
@@ -193,11 +227,12 @@ def common_words(a: bytes, b: bytes) -> int:
 class _Suffix:
     """A suffix with its place in the order of ids and the best match found for it."""
 
-    __slots__ = ("order", "right", "left", "best")
+    __slots__ = ("order", "right", "left", "near", "far", "best")
 
-    def __init__(self, file, row, key, pos, right, left):
+    def __init__(self, file, row, key, pos, right, left, near=1, far=0):
         self.order = (key is None, key or 0, file, row, pos)
         self.right, self.left = right, left
+        self.near, self.far = near, far
         self.best = (0, 0, None)  # words, of them to the left, source id
 
     def offer(self, common: int, other: tuple, left: bytes) -> None:
@@ -246,6 +281,23 @@ def _edges(suffixes: list[_Suffix], commons: list[int], least: int) -> tuple[lis
     return found, shared
 
 
+def unmatched(suffix: _Suffix, shared: int, least: int) -> list[tuple[int, bytes]]:
+    """A suffix's own stretches that its match does not hold: words before it, and digest.
+
+    ``shared`` is the most that any other suffix can have in common with it to the right.
+    """
+    words, before, _ = suffix.best
+    low, high = max(suffix.near, least - shared), min(suffix.far, suffix.left.count(b" "))
+    held = range(before + least - words, before + 1)  # empty if the match is too short
+    wanted = [k for k in range(low, high + 1) if k not in held]
+    if not wanted:
+        return []
+    text = suffix.left[::-1] + b" " + suffix.right
+    blanks = np.flatnonzero(np.frombuffer(text, np.uint8) == 0x20).tolist()
+    at = suffix.left.count(b" ")
+    return [(k, xxhash.xxh3_128_digest(text[blanks[at - k] + 1 : blanks[at - k + least] + 1])) for k in wanted]
+
+
 def _walker(sparse: Sparse):
     least = sparse.gram
 
@@ -253,7 +305,7 @@ def _walker(sparse: Sparse):
         task = TaskContext.get().partitionId()
         suffixes: list[_Suffix] = []
         for batch in batches:
-            suffixes += map(_Suffix, *(batch.column(name).to_pylist() for name in (*_KEYS, "pos", "right", "left")))
+            suffixes += map(_Suffix, *(batch.column(name).to_pylist() for name in _SUFFIXES.names))
         if not suffixes:
             return
         commons = [0, *(common_words(a.right, b.right) for a, b in zip(suffixes, suffixes[1:], strict=False))]
@@ -265,7 +317,7 @@ def _walker(sparse: Sparse):
         def add(kind, suffix, right, left, ahead, behind):
             none, key, file, row, pos = suffix.order
             words, before, source = suffix.best
-            values = (kind, task, file, row, None if none else key, pos, right, left, ahead, behind, pos - before, words, source)
+            values = (kind, task, file, row, None if none else key, pos, right, left, ahead, behind, pos - before, words, source, None, None)
             for name, value in zip(_WALKED.names, values, strict=True):
                 out[name].append(value)
 
@@ -273,11 +325,17 @@ def _walker(sparse: Sparse):
         last_edges, from_last = _edges(turned, commons_turned, least)
         for prefix, suffix in {**dict(first_edges), **dict(last_edges)}.items():
             add(1, suffix, prefix, suffix.left, None, None)
-        for suffix, ahead, behind in zip(suffixes, from_first, reversed(from_last), strict=True):
+        for suffix, ahead, behind, *beside in zip(suffixes, from_first, reversed(from_last), commons, [*commons[1:], 0], strict=True):
             if ahead >= least or behind >= least:
                 add(2, suffix, suffix.right, suffix.left, ahead, behind)
             elif suffix.best[0] >= sparse.least:
                 add(0, suffix, None, None, None, None)
+            none, key, file, row, pos = suffix.order
+            for before, digest in unmatched(suffix, max(ahead, behind, *beside), sparse.least):
+                d1, d2 = np.frombuffer(digest, "<i8").tolist()
+                values = (3, task, file, row, None if none else key, pos, None, None, None, None, pos - before, sparse.least, None, d1, d2)
+                for name, value in zip(_WALKED.names, values, strict=True):
+                    out[name].append(value)
             if len(out["kind"]) >= 10_000:
                 yield batch_of(out, _WALKED)
                 out.update({name: [] for name in out})
@@ -307,17 +365,32 @@ def _closer(sparse: Sparse):
                     common = common_words(suffix.right, prefix)
                     if common >= sparse.gram:
                         suffix.offer(common, order, left)
-                words, before, source = suffix.best
-                if words >= sparse.least:
-                    values = (row[FILE], row[ROW], row["_id"], row["pos"] - before, words, source)
-                    for name, value in zip(_FOUND.names, values, strict=True):
-                        out[name].append(value)
+                # The task's own match holds stretches that have no digest, so it counts beside a longer one.
+                for words, before, source in {suffix.best, (row["length"], row["pos"] - row["start"], row["source"])}:
+                    if words >= sparse.least:
+                        values = (row[FILE], row[ROW], row["_id"], row["pos"] - before, words, source)
+                        for name, value in zip(_FOUND.names, values, strict=True):
+                            out[name].append(value)
         found = pa.Table.from_batches([batch_of(out, _FOUND)])
         return pa.concat_tables([closed.cast(found.schema), found])
 
     return run
 
 
+def _later_stretches(walked: DataFrame, scratch: Scratch) -> DataFrame:
+    """The stretches without a match that occur at an earlier place, with the id of the first one."""
+    stretches = walked.where("kind = 3").select(*_KEYS, "start", "length", "d1", "d2")
+    # Half a digest and a count tell which occur twice, before anything else moves.
+    common = stretches.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1")
+    shared = scratch.write(stretches.join(scratch.write(common, "common_stretches"), "d1", "left_semi"), "stretches")
+    at = F.struct(F.col("_id").isNull().alias("none"), "_id", *PLACE, "start")
+    firsts = shared.groupBy("d1", "d2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    joined = shared.join(scratch.write(firsts.drop("n"), "first_stretches"), ["d1", "d2"])
+    here = [F.col(f"first.{name}") == F.col(name) for name in (*PLACE, "start")]
+    later = joined.where(~(here[0] & here[1] & here[2]))
+    return later.select(*_KEYS, "start", "length", F.col("first._id").alias("source"))
+
+
 def repeated_passages(
     df: DataFrame, key: str = "doc_id", text: str = "text", sparse: Sparse = Sparse(), scratch: Scratch | None = None
 ) -> DataFrame:
@@ -326,7 +399,7 @@ def repeated_passages(
     texts = scratch.placed(df).select(*PLACE, F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
     chosen = scratch.write(texts.mapInArrow(_chooser(sparse), _CHOSEN), "chosen")
     common = scratch.write(chosen.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "common")
-    paired = chosen.join(common, "gram", "left_semi").groupBy(*PLACE).agg(F.sort_array(F.collect_list("pos")).alias("places"))
+    paired = chosen.join(common, "gram", "left_semi").groupBy(*PLACE).agg(F.sort_array(F.collect_list(F.struct("pos", "near", "far"))).alias("places"))
     paired = scratch.write(paired, "paired")
     # The places grow with the corpus, so they are shuffled like the texts, whatever their size here.
     suffixes = scratch.write(texts.join(paired.hint("merge"), list(PLACE)).mapInArrow(_contexts(sparse), _SUFFIXES), "suffixes")
@@ -340,9 +413,9 @@ def repeated_passages(
     prefixes = edges.groupBy("prefix").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("tasks")).where("tasks > 1")
     told = edges.select("task", "prefix").join(scratch.write(prefixes, "prefixes"), "prefix")
     told = scratch.write(told, "told")
-    handed = walked.where("kind <> 1").groupBy("task")
+    handed = walked.where("kind IN (0, 2)").groupBy("task")
     closed = handed.cogroup(told.groupBy("task")).applyInArrow(_closer(sparse), _FOUND)
-    found = scratch.write(closed, "found")
+    found = scratch.write(closed, "found").unionByName(scratch.write(_later_stretches(walked, scratch), "later"))
     # Overlapping matches of a text become one passage.
     ordered = Window.partitionBy(*PLACE).orderBy("start", "length", "source")
     reached = F.max(F.col("start") + F.col("length")).over(ordered.rowsBetween(Window.unboundedPreceding, -1))

@@ -7,7 +7,7 @@ import pytest
 
 from fareloom.llm import suffixes
 from fareloom.llm.queries import op3_suffix_dedup
-from fareloom.llm.suffixes import Sparse, common_words, cut_words, gram_hashes, minimisers, repeated_passages, without_passages
+from fareloom.llm.suffixes import Sparse, common_words, cut_words, gram_hashes, minimisers, owned_windows, repeated_passages, without_passages
 
 
 def words(rng, n):
@@ -104,6 +104,37 @@ def test_repeated_rows(spark):
     assert [(r.doc_id, r.start, r.length, r.source_ids) for r in got] == [(1, 0, 90, [1])] * 2
 
 
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_passages_whose_tail_or_head_occurs_earlier(spark, setting, ranges):
+    """Documents that hold a part of a passage come before the first one that holds all of it."""
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    setting("spark.sql.shuffle.partitions", str(ranges))
+    rng, rows = random.Random(8), []
+    footer = words(rng, 45)
+    for i in range(60):
+        passage = words(rng, rng.randint(50, 80))
+        if i % 3 == 0:
+            passage = [*passage[:10], *footer]
+        part = rng.randint(8, 49)
+        parts = [passage[-part:], passage[:part]][: 1 + i % 2]
+        for held in (*parts, passage, passage, passage):
+            rows.append((len(rows), " ".join([*words(rng, rng.randint(5, 60)), *held, *words(rng, rng.randint(0, 50))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {key: span for key, span in windows_before(rows, 50).items() if span}
+    assert len(want) >= 120 and covered(df) == want
+
+
+@pytest.mark.parametrize("window", [1, 2, 5, 40])
+def test_each_window_has_one_gram(window):
+    rng = np.random.default_rng(window)
+    counts = np.array([0, 1, 3, 60, 200, 0, 41], np.int64)
+    hashes = rng.integers(0, 50, counts.sum()).astype(np.uint64)
+    near, far = owned_windows(hashes, counts, window)
+    got = {(p - k, p) for p in range(len(hashes)) for k in range(near[p], far[p] + 1)}
+    begins = [b for first, n in zip(np.cumsum(counts) - counts, counts, strict=True) for b in range(first, first + n - window + 1)]
+    assert got == {(b, b + int(np.argmin(hashes[b : b + window]))) for b in begins}
+
+
 def test_a_plan_that_would_miss_matches_is_refused():
     with pytest.raises(ValueError):
         Sparse(gram=8, window=60, least=50)
