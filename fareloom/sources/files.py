@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,15 +91,26 @@ def read_csv(
     return typed_text(read_csv_text(spark, *paths, multi_line=multi_line, with_places=with_places), schema)
 
 
-# The types a CSV column may turn out to have, narrowest first, and the texts that fit each.
+_DIGITS = r"^\s*[+-]?[0-9]+\s*$"
+# The types a CSV column may turn out to have, narrowest first, and the texts that fit each. Whole numbers
+# never become doubles, which would round them: those too long for a decimal stay text.
 _INFERRED = {
-    "bigint": r"^\s*[+-]?[0-9]{1,18}\s*$",
+    "bigint": _DIGITS,
+    "decimal(38,0)": _DIGITS,
+    "string": _DIGITS,
     "double": r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$",
     "boolean": r"^(?i:true|false)$",
     "timestamp_ntz": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$",
 }
 
 
+def _fits(value: Column, kind: str, pattern: str) -> Column:
+    """Whether a text fits a type, NULL for NULL; whole numbers must lie in its range as well."""
+    if pattern != _DIGITS:
+        return value.rlike(pattern)
+    return value.rlike(pattern) & (F.trim(value).try_cast(kind).isNotNull() | value.isNull())
+
+
 def read_inferred_csv(spark: SparkSession, *paths: str) -> DataFrame:
     """A headed CSV with types found by one pass over the data.
 
@@ -108,7 +119,7 @@ def read_inferred_csv(spark: SparkSession, *paths: str) -> DataFrame:
     """
     text = read_csv_text(spark, *paths)
     fits = [
-        F.bool_and(F.col(f"`{name}`").rlike(pattern)).alias(f"{i} {kind}")
+        F.bool_and(_fits(F.col(f"`{name}`"), kind, pattern)).alias(f"{i} {kind}")
         for i, name in enumerate(text.columns)
         for kind, pattern in _INFERRED.items()
     ]
@@ -117,7 +128,7 @@ def read_inferred_csv(spark: SparkSession, *paths: str) -> DataFrame:
     for i, name in enumerate(text.columns):
         kind = next((kind for kind in _INFERRED if found[f"{i} {kind}"]), "string")
         value = F.col(f"`{name}`")
-        columns.append((F.trim(value) if kind in ("bigint", "double") else value).cast(kind).alias(name))
+        columns.append((F.trim(value) if kind in ("bigint", "decimal(38,0)", "double") else value).cast(kind).alias(name))
     return text.select(*columns)
 
 

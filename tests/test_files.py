@@ -71,6 +71,16 @@ def test_inferred_csv(spark, tmp_path):
     assert [(r.d and r.d.year, r.e, r.f) for r in found.collect()] == [(2020, True, None), (None, False, None), (2021, None, None)]
 
 
+def test_inferred_csv_keeps_long_whole_numbers(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    long = "9" * 40
+    path.write_text(f"a,b,c,d\n9223372036854775807,9223372036854775808,{long},1.5\n-9223372036854775808,NA,1,2\n9223372036854775806,7,2,3\n")
+    found = files.read_inferred_csv(spark, str(path))
+    assert found.dtypes == [("a", "bigint"), ("b", "decimal(38,0)"), ("c", "string"), ("d", "double")]
+    assert [r.a for r in found.collect()] == [2**63 - 1, -(2**63), 2**63 - 2]
+    assert [(r.b and int(r.b), r.c) for r in found.collect()] == [(2**63, long), (None, "1"), (7, "2")]
+
+
 def test_literal_table(spark):
     table = files.literal_table(spark, [(1, 3), (2, 4)], "day bigint, num_passengers bigint")
     assert rows(table.withColumn("month", F.lit(5).cast("bigint"))) == [(1, 3, 5), (2, 4, 5)]
