@@ -7,8 +7,9 @@ weighted mean gives the window's logit. Windows overlap by half and cover the wh
 score comes from its highest window, on a scale fitted to the labelled texts.
 
 Training is plain numpy on the driver, on a bounded sample of the labelled texts (``Training``
-says how many of each class, and how many windows of each). Scoring takes every window of every
-text, on the executors.
+says how many of each class). It reads every window of them, and so does the fit of the scale. All windows of a clean
+text are clean; a toxic text is known to be toxic somewhere, so its windows count by how they
+score among each other. Scoring takes every window of every text, on the executors.
 
 Defined results: a NULL text counts as empty; a text without words gets the score of a window
 without words. Labels that are NULL don't count, of several for one id the largest does. If the
@@ -50,7 +51,6 @@ class Training:
     """The bounds of the sample, and how it is gone through."""
 
     docs_per_class: int = 2000
-    windows_per_doc: int = 4
     least_count: int = 3
     most_words: int = 20_000
     epochs: int = 6
@@ -311,8 +311,23 @@ def _scatter(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return _segment_sums(rows[order], np.bincount(at, minlength=size))
 
 
+def _window_logits(model: Model, windows: list[tuple[int, int, list[bytes]]], most: int = 2048) -> np.ndarray:
+    """The logit of each window, worked out for some at a time."""
+    parts = [model.logits([words for _, _, words in windows[at : at + most]]) for at in range(0, len(windows), most)]
+    return np.concatenate(parts).astype(np.float64)
+
+
+def _shares(logits: np.ndarray, texts: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """What each window counts: 1 in a clean text, in a toxic one more the higher its logit, 1 on average."""
+    _, at, n = np.unique(texts, return_inverse=True, return_counts=True)
+    highest = np.full(len(n), -np.inf)
+    np.maximum.at(highest, at, logits)
+    raised = np.exp(logits - highest[at])
+    return np.where(labels == 1, raised * (n / np.bincount(at, raised))[at], 1).astype(np.float32)
+
+
 def train(windows: list[tuple[int, int, list[bytes]]], prior: float, shape: Shape = Shape(), training: Training = Training()) -> Model:
-    """Fits a model to windows given as (text, label, words). ``prior`` is the share of label 1 among all texts."""
+    """Fits a model to all windows of some texts, as (text, label, words). ``prior`` is the share of label 1 among all texts."""
     counts = Counter(word for _, _, words in windows for word in set(words))
     often = sorted((word for word, n in counts.items() if n >= training.least_count), key=lambda w: (-counts[w], w))
     vocabulary = {word: i for i, word in enumerate(often[: training.most_words], 1)}
@@ -324,8 +339,12 @@ def train(windows: list[tuple[int, int, list[bytes]]], prior: float, shape: Shap
         model.constant = float(prior)
         return model
     optimizer = _Adam(training.rate)
+    texts = np.array([text for text, _, _ in windows], np.int64)
+    share = np.ones(len(windows), np.float32)
     for epoch in range(training.epochs):
         optimizer.rate = training.rate * (1 - epoch / training.epochs)
+        if epoch:
+            share = _shares(_window_logits(model, windows), texts, labels)
         order = rng.permutation(len(windows))
         for first in range(0, len(order), training.batch):
             part = order[first : first + training.batch]
@@ -346,7 +365,7 @@ def train(windows: list[tuple[int, int, list[bytes]]], prior: float, shape: Shap
             inputs = np.concatenate([params["words"][known], chars], axis=1)
             trace: dict = {}
             logit = forward(params, gates_of(params, inputs), tokens, lengths, trace)
-            d_logit = ((sigmoid(logit) - labels[part]) / len(part)).astype(np.float32)
+            d_logit = (share[part] * (sigmoid(logit) - labels[part]) / len(part)).astype(np.float32)
             grads, d_inputs = backward(params, inputs, tokens, lengths, trace, d_logit)
             grads["words"] = _scatter(d_inputs[:, : shape.word_size], known, len(vocabulary) + 1)
             grads["words"][0] = 0
@@ -361,7 +380,7 @@ def train(windows: list[tuple[int, int, list[bytes]]], prior: float, shape: Shap
 
 def _scale(model: Model, windows: list[tuple[int, int, list[bytes]]], prior: float) -> tuple[float, float]:
     """Logistic regression of the label on a text's highest logit, classes weighted as among all texts."""
-    logits = model.logits([words for _, _, words in windows])
+    logits = _window_logits(model, windows)
     best: dict[int, tuple[float, int]] = {}
     for (text, label, _), logit in zip(windows, logits.tolist(), strict=True):
         best[text] = max(best.get(text, (-np.inf, label)), (logit, label))
@@ -388,8 +407,8 @@ WINDOWS = T.StructType(
 )
 
 
-def _sampler(shape: Shape, training: Training):
-    """Some windows of each sampled text, the same whenever a task runs again."""
+def _sampler(shape: Shape):
+    """All windows of each sampled text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -397,12 +416,10 @@ def _sampler(shape: Shape, training: Training):
                 out: dict[str, list] = {name: [] for name in WINDOWS.names}
                 for key, label, text in zip(*(part.column(c).to_pylist() for c in ("_id", "label", "_text")), strict=True):
                     words = split_words(text)
-                    starts = window_starts(len(words), shape.window)
-                    rng = np.random.default_rng([training.seed, key & (1 << 63) - 1])
-                    for at in sorted(rng.permutation(len(starts))[: training.windows_per_doc].tolist()):
+                    for at in window_starts(len(words), shape.window):
                         out["text"].append(key)
                         out["label"].append(label)
-                        out["words"].append(b" ".join(words[starts[at] : starts[at] + shape.window]))
+                        out["words"].append(b" ".join(words[at : at + shape.window]))
                 yield batch_of(out, WINDOWS)
 
     return run
@@ -419,7 +436,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     picked = [known.where(F.col("label") == y).orderBy(*by_hash).limit(training.docs_per_class) for y in (0, 1)]
     sample = F.broadcast(picked[0].unionAll(picked[1]))
     texts = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text")).join(sample, "_id")
-    rows = texts.mapInArrow(_sampler(shape, training), WINDOWS).collect()
+    rows = texts.mapInArrow(_sampler(shape), WINDOWS).collect()
     windows = sorted((row.text, row.label, bytes(row.words).split()) for row in rows)
     return train(windows, prior, shape, training)
 

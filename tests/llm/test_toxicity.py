@@ -91,6 +91,24 @@ def test_bounds_nulls_and_single_classes(spark):
     assert with_score(docs.limit(0), model).count() == 0
 
 
+def test_every_window_of_a_sampled_text_is_read(spark, monkeypatch):
+    sizes = {i: 40 * i for i in range(1, 30)}
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(n))) for i, n in sizes.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in sizes], "doc_id long, toxic int")
+    given = []
+    monkeypatch.setattr(toxicity, "train", lambda windows, *_: given.extend(windows))
+    fit(docs, labels)
+    kept = [i for i in sizes if zlib.crc32(str(i).encode()) % 5]
+    want = sorted((i, i % 2, [f"w{j}".encode() for j in range(at, min(at + 64, sizes[i]))]) for i in kept for at in window_starts(sizes[i], 64))
+    assert given == want
+
+
+def test_windows_of_a_toxic_text_count_by_their_logits():
+    logits, texts, labels = np.array([5.0, -5, -5, 3, -3]), np.array([1, 1, 1, 2, 2]), np.array([1, 1, 1, 0, 0])
+    shares = toxicity._shares(logits, texts, labels)
+    assert shares[0] > 2.9 and shares[1:3].max() < 0.01 and shares[:3].sum() == pytest.approx(3) and shares[3:].tolist() == [1, 1]
+
+
 def test_labels_held_out_play_no_part(spark):
     rows = [(i, "grim one" if i % 3 else "kind one") for i in range(80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
