@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import archives, bpe, chunks, exact, lines, packing, repetition, simhash, suffixes, toxicity
+from fareloom.llm import archives, bpe, centroids, chunks, exact, lines, nearest, packing, repetition, simhash, suffixes, toxicity, variants
 from fareloom.llm.frames import table
 from fareloom.llm.tables import PLACE, Scratch
 
@@ -92,6 +92,28 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its cluster after five rounds, and digests and sums of the clusters."""
+    vectors, clusters = centroids.clustered(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256")
+    told = clusters.select("cluster", F.col("cluster_inertia").cast("long"), F.col("inertia").cast("long"), digest)
+    # One row per centroid, of which there are 40.
+    return vectors.join(F.broadcast(told), "cluster").select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with the spelling it belongs to."""
+    return variants.grouped_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth vector."""
+    found = nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_quality_rules": op2_quality_rules,
@@ -103,7 +125,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op11_centroids": op11_centroids,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_nearest": op13_nearest,
 }
+
+
+def _clusters_sql(k: int = 40, rounds: int = 5) -> str:
+    """The clustering in SQL: a table of centroids and one of assignments for each round."""
+    steps = [
+        """kept AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"""c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v FROM kept
+            QUALIFY c < {k})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+            SELECT vec_id, kept.v, c{i}.c,
+                   list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+            FROM kept, c{i}
+            QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c{i}.c) = 1)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+            WITH sums AS (SELECT c, place, sum(v[place]) AS s, count(*) AS n FROM a{i}, range(1, 65) AS r(place) GROUP BY c, place),
+                 moved AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS v FROM sums GROUP BY c)
+            SELECT c{i}.c, coalesce(moved.v, c{i}.v) AS v FROM c{i} LEFT JOIN moved ON moved.c = c{i}.c)""")
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, CAST(a{rounds}.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+               CAST(sum(d) OVER (PARTITION BY a{rounds}.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = a{rounds}.c"""
+
+
 # Lower-cases A-Z only, as translate() has it.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -144,4 +202,14 @@ ORACLES: dict[str, str] = {
                      strlen(coalesce(html, '')) >= 100
                      AND page_id > min(page_id) OVER (PARTITION BY coalesce(html, '')) AS later
               FROM pages)""",
+    "op11_centroids": _clusters_sql(),
+    # The exact search. On these tables the estimates miss no neighbour.
+    "op13_nearest": """
+        WITH usable AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+                        WHERE len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+                          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+             scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+                        FROM usable AS q JOIN usable AS c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 20""",
 }
