@@ -36,10 +36,12 @@ from fareloom.llm.tables import FILE, PLACE, ROW, Scratch
 
 #: Spreads that an estimate may be off before a neighbour is missed.
 SURENESS = 3.0
-CANDIDATES_PER_BLOCK = 8192
-QUERIES_PER_BLOCK = 1024
+CANDIDATES_PER_BLOCK = 1 << 15
+QUERIES_PER_BLOCK = 512
+#: Vectors measured for a first threshold, for each one asked for.
+FIRST_LOOKS = 6
 # Queries and pairs that a task looks at in one go.
-_AT_ONCE = 32
+_AT_ONCE = 8
 _PAIRS_AT_ONCE = 1 << 16
 _SEED = 20240613
 
@@ -132,8 +134,9 @@ def estimates(queries: np.ndarray, code: np.ndarray) -> np.ndarray:
     signs = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little") * 2.0 - 1.0
     found = np.zeros((len(queries), len(code)))
     for byte in range(width // 8):
-        sums = queries[:, 8 * byte : 8 * byte + 8] @ signs.T
-        found += sums[:, code[:, byte]]
+        sums, at = queries[:, 8 * byte : 8 * byte + 8] @ signs.T, np.ascontiguousarray(code[:, byte])
+        for row, own in zip(found, sums, strict=True):
+            row += own.take(at)
     return found / np.sqrt(width)
 
 
@@ -162,7 +165,7 @@ def search_block(
     size = np.sqrt((turned**2).sum(axis=1))
     width = turned.shape[1]
     spread = sureness * norm * np.sqrt(np.maximum(1 - fit**2, 0)) / (fit * np.sqrt(max(width - 1, 1)))
-    count = len(vectors)
+    count, first = len(vectors), FIRST_LOOKS * top
     found_a, found_b, found_s = [], [], []
     for begin in range(0, len(queries), _AT_ONCE):
         these = np.arange(begin, min(begin + _AT_ONCE, len(queries)))
@@ -172,25 +175,24 @@ def search_block(
         guess = np.where(np.isnan(guess), np.inf, guess)
         mine = np.flatnonzero(own[these] >= 0)
         guess[mine, own[these][mine]] = -np.inf
-        if count > top + 1:
-            best = np.argpartition(-guess, top, axis=1)[:, : top + 1]
-            a, b = np.repeat(these, top + 1), best.ravel()
-            first = inner_products(by_query, by_vector, a, b)
-            first[own[a] == b] = -np.inf
-            # The own row is never among those that count, so ``top`` other rows reach this.
-            limit = -np.sort(-first.reshape(-1, top + 1), axis=1)[:, top - 1]
-            slack = 1e-9 * np.abs(limit)
-            picked = ~(reach < (limit - slack)[:, None])
-        else:
-            picked = np.ones(guess.shape, bool)
+        picked = np.ones(guess.shape, bool)
+        limit = np.full(len(these), -np.inf)
+        if count > first:
+            best = np.argpartition(-guess, first - 1, axis=1)[:, :first]
+            a, b = np.repeat(these, first), best.ravel()
+            looked = inner_products(by_query, by_vector, a, b)
+            looked[own[a] == b] = -np.inf
+            # So many other rows reach this that a row below it is none of the best.
+            limit = -np.partition(-looked.reshape(-1, first), top - 1, axis=1)[:, top - 1]
+            picked = ~(reach < (limit - 1e-9 * np.abs(limit))[:, None])
+            picked[np.repeat(np.arange(len(these)), first), b] = True
         picked[mine, own[these][mine]] = False
-        if count > top + 1:
-            row = np.repeat(np.arange(len(these)), top + 1)
-            picked[row, b] |= own[a] != b
         a, b = np.nonzero(picked)
-        found_a.append(these[a])
-        found_b.append(b)
-        found_s.append(inner_products(by_query, by_vector, these[a], b))
+        scores = inner_products(by_query, by_vector, these[a], b)
+        good = scores >= limit[a]
+        found_a.append(these[a[good]])
+        found_b.append(b[good])
+        found_s.append(scores[good])
     return np.concatenate(found_a), np.concatenate(found_b), np.concatenate(found_s)
 
 
