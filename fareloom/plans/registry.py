@@ -23,6 +23,7 @@ from fareloom.plans.views import raw_trips, table, trips, zones
 from fareloom.schemas import COLOURS, FILE_NAME, RAW_GREEN_CASTS
 from fareloom.session import scratch_path
 from fareloom.sinks.files import read_tsv, write_csv_gz, write_parquet, write_tsv
+from fareloom.sinks.publish import committed_paths
 from fareloom.sinks.tables import append_table, create_table, replace_empty, replace_table, truncate_table
 from fareloom.sources.files import read_csv, read_inferred_csv, read_parquet, union_all
 from fareloom.sources.sizes import expanded_sizes
@@ -50,8 +51,12 @@ class _Table:
     def rows(self, columns: list[str] | None = None) -> DataFrame:
         """The stored rows; the catalog entry goes, the files stay."""
         columns = columns or self.spark.table(self.name).columns
+        schema = self.spark.table(self.name).select(*columns).schema
         self.spark.sql(f"DROP TABLE {self.name}")
-        return self.spark.read.parquet(self.location).select(*columns)
+        paths = committed_paths(self.spark, self.location)
+        # Without partition columns, which the files don't hold.
+        reader = self.spark.read.schema(schema).option("recursiveFileLookup", True)
+        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
 
 def _month_files(spark: SparkSession, sf_dir: str, colour: str = "yellow") -> str:

@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from fareloom.session import file_system, path_exists
+from fareloom.session import file_system, path_exists, remove_path
+
+
+#: Folder of a table's load log, see ``publish``.
+LOAD_LOG = "_loads"
 
 
 def create_table(
@@ -16,11 +20,12 @@ def create_table(
     schema: T.StructType,
     partition_by: Sequence[str] = (),
     location: str | None = None,
+    recover: bool = True,
 ) -> None:
     """A typed parquet table, unless it is there already.
 
     A location that holds partitions, written when another catalog knew the table, is
-    taken over with its rows.
+    taken over with its rows, unless ``recover`` is off.
     """
     if spark.catalog.tableExists(name):
         return
@@ -28,7 +33,7 @@ def create_table(
     layout = f" PARTITIONED BY ({', '.join(f'`{column}`' for column in partition_by)})" if partition_by else ""
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{layout}{place}")
-    if partition_by and location and path_exists(spark, location):
+    if recover and partition_by and location and path_exists(spark, location):
         spark.catalog.recoverPartitions(name)
 
 
@@ -60,7 +65,9 @@ def truncate_table(spark: SparkSession, name: str) -> None:
     """Remove all rows, of managed tables and of tables with a location of their own.
 
     Files and partitions go; no session setting is touched, so other loads are not disturbed.
+    A load log goes first, so that no row comes back.
     """
+    remove_path(spark, f"{table_location(spark, name)}/{LOAD_LOG}")
     system, place = file_system(spark, table_location(spark, name))
     for found in system.listStatus(place) if system.exists(place) else []:
         if not found.getPath().getName().startswith(("_", ".")):

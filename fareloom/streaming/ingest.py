@@ -47,15 +47,15 @@ def ingest_stream(
     repeated micro-batch harmless. One monthly file per micro-batch gives the outcome of
     monthly loads; several files taken together go in as if one by one in the order of their months, so a
     month that arrives in parts should come in one micro-batch (``files_per_batch=None``
-    takes all that is there).
+    takes all that is there). Every micro-batch leaves a row in the target's load history.
     """
     fleet = COLOURS[colour]
     create_target(spark, target, fleet, location)
     arrivals = _arrivals(spark, folder, schema, file_format, files_per_batch)
     rows = conform(arrivals, fleet, month_file_of(F.col("_metadata.file_path")))
 
-    def merge_batch(batch: DataFrame, _: int) -> None:
-        merge_into(batch.sparkSession, batch, target, fleet)
+    def merge_batch(batch: DataFrame, number: int) -> None:
+        merge_into(batch.sparkSession, batch, target, fleet, label=f"batch {number}")
 
     return (
         rows.writeStream.foreachBatch(merge_batch)

@@ -1,7 +1,10 @@
+import glob
+import os
 import random
 import uuid
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows, yellow_rows
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 from fareloom.plans import loads
 from fareloom.schemas import COLOURS, PICKUP_MONTH
 from fareloom.sinks import publish
-from fareloom.sinks.tables import truncate_table
+from fareloom.sinks.tables import table_location, truncate_table
 from fareloom.sources.files import month_path
 
 YELLOW = COLOURS["yellow"]
@@ -73,7 +76,7 @@ def test_backfill_equals_month_by_month(spark, prefix, target, setting, broadcas
     reports = loads.backfill_stepwise(spark, prefix, *span, stepwise)
     assert [r.inserted for r in reports] == [4, 2, 0, 2]
     assert report.inserted == 8 and report.absent == ["yellow_tripdata_2020-03.parquet"]
-    assert rows(spark.table(at_once)) == rows(spark.table(stepwise))
+    assert rows(loads.target_rows(spark, at_once, YELLOW)) == rows(loads.target_rows(spark, stepwise, YELLOW))
     assert loads.backfill(spark, prefix, *span, at_once).inserted == 0
     by_fee = spark.table(at_once).groupBy("airport_fee").count()
     assert {(float(fee), n) for fee, n in by_fee.collect()} == {(0.0, 6), (1.25, 2)}
@@ -95,7 +98,7 @@ def test_random_months(spark, tmp_path, target, setting, broadcast):
     report = loads.backfill(spark, f"{tmp_path}/", *span, at_once)
     steps = loads.backfill_stepwise(spark, f"{tmp_path}/", *span, stepwise)
     assert report.inserted == sum(step.inserted for step in steps) < 180
-    assert rows(spark.table(at_once)) == rows(spark.table(stepwise))
+    assert rows(loads.target_rows(spark, at_once, YELLOW)) == rows(loads.target_rows(spark, stepwise, YELLOW))
 
 
 def test_backfill_after_some_months(spark, prefix, target):
@@ -117,13 +120,28 @@ def test_target_outlives_its_catalog_entry(spark, prefix, target, tmp_path):
 
 
 def test_thousands_of_months_in_one_file(spark, tmp_path, target):
-    """Files follow the months that are there, however many; a repeated load finds every key."""
+    """Partitions follow the files, not the times in them; a repeated load finds every key."""
     trips = [(i, f"{1500 + i // 12:04d}-{1 + i % 12:02d}-05 10:00:00", 1.0) for i in range(900)]
+    trips += [(1, "2020-01-05 10:00:00", 1.0), (2, None, 1.0)]
     yellow_rows(spark, *trips, *trips[:5]).repartition(6).write.parquet(month_path(f"{tmp_path}/", "yellow", 2020, 1))
     name = target()
-    for inserted in (905, 0):
+    for inserted in (907, 0):
         assert loads.load_month(spark, f"{tmp_path}/", "yellow", 2020, 1, name).inserted == inserted
-    assert len(spark.table(name).inputFiles()) <= 905
+    listed = [row[0].split("/")[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    assert len(listed) <= 1 + loads.STRAY_PARTS and "pickup_month=2020-01" in listed
+    of_month = loads.target_rows(spark, name, YELLOW, ["2020-01", "1500-01"])
+    assert rows(of_month.groupBy("vendor_id").count()) == [(0, 2), (1, 1)]
+
+
+def test_strays_and_their_months_meet(spark, tmp_path, target):
+    """A key that lies among the strays of one load and in its month in another, either way round."""
+    prefix = f"{tmp_path}/"
+    months = {1: (1, "2020-02-05 10:00:00", 1.0), 2: (1, "2020-02-05 10:00:00", 1.0), 3: (2, "2020-04-05 10:00:00", 1.0), 4: (2, "2020-04-05 10:00:00", 1.0)}
+    for month, trip in months.items():
+        yellow_rows(spark, trip, (3, None, 1.0)).coalesce(1).write.parquet(month_path(prefix, "yellow", 2020, month))
+    name = target()
+    inserted = [loads.load_month(spark, prefix, "yellow", 2020, month, name).inserted for month in (1, 2, 4, 3)]
+    assert inserted == [2, 0, 1, 0]
 
 
 def test_a_long_month_is_written_in_parts(spark, tmp_path, target, setting):
@@ -139,51 +157,167 @@ def test_a_long_month_is_written_in_parts(spark, tmp_path, target, setting):
 
 
 def test_a_load_that_broke_off_is_finished_once(spark, prefix, target, monkeypatch):
-    """The process ends after the commit, with one file in place: the next load puts the rest there."""
+    """The process ends after the commit, before the catalog knows: the next load tells it."""
     name = target()
-    in_place = publish._put_in_place
-
-    def broken(session, table, committed):
-        monkeypatch.setattr(publish, "_put_in_place", in_place)
-        first = publish._names(session, committed)[0]
-        publish._renamed(session, f"{committed}/{first}", f"{publish.table_location(session, table)}/{first}")
-        raise RuntimeError("gone")
-
-    monkeypatch.setattr(publish, "_put_in_place", broken)
-    with pytest.raises(RuntimeError, match="gone"):
-        loads.load_month(spark, prefix, "yellow", 2020, 1, name)
+    with monkeypatch.context() as patched:
+        patched.setattr(publish, "_add_partitions", broken)
+        with pytest.raises(RuntimeError, match="gone"):
+            loads.load_month(spark, prefix, "yellow", 2020, 1, name)
+    assert spark.table(name).count() == 0
     assert loads.load_month(spark, prefix, "yellow", 2020, 1, name).inserted == 0
     assert spark.table(name).count() == 4
     assert loads.load_month(spark, prefix, "yellow", 2020, 2, name).inserted == 2
 
 
-def test_a_load_that_broke_off_before_its_commit_leaves_nothing(spark, prefix, target, monkeypatch):
-    name = target()
+def broken(*_):
+    raise RuntimeError("gone")
 
-    def broken(*_):
-        raise RuntimeError("gone")
 
+@pytest.mark.parametrize("step", ["_without_known", "end_load"])
+def test_a_load_that_broke_off_before_its_commit_leaves_nothing(spark, prefix, target, monkeypatch, step):
+    name = target()
     with monkeypatch.context() as patched:
-        patched.setattr(loads, "publish", broken)
+        patched.setattr(loads, step, broken)
         with pytest.raises(RuntimeError, match="gone"):
             loads.load_month(spark, prefix, "yellow", 2020, 1, name)
-    assert spark.table(name).count() == 0
+    assert spark.table(name).count() == 0 and publish.load_history(spark, name).count() == 0
+    location = table_location(spark, name)
+    assert not publish._names(spark, f"{location}/loads")
     assert loads.load_month(spark, prefix, "yellow", 2020, 1, name).inserted == 4
 
 
+def test_files_stay_where_they_were_written(spark, prefix, target, monkeypatch):
+    """Publishing moves nothing: the files of the table are those that the write has left, untouched."""
+    name = target()
+    seen = {}
+
+    def looked(session, load, part):
+        found = staged(session, load, part)
+        seen[part] = {f: os.stat(f).st_mtime_ns for f in glob.glob(load.path(part).removeprefix("file:") + "/*/*.parquet")}
+        return found
+
+    staged = publish.staged_partitions
+    monkeypatch.setattr(loads, "staged_partitions", looked)
+    for month, part in ((1, "all"), (2, "fresh")):
+        loads.load_month(spark, prefix, "yellow", 2020, month, name)
+        now = {f.removeprefix("file://") for f in spark.table(name).inputFiles()}
+        assert seen[part] and seen[part].keys() <= now
+        assert all(os.stat(f).st_mtime_ns == at for f, at in seen[part].items())
+    assert len(now) == sum(len(glob.glob(f"{table_location(spark, name).removeprefix('file:')}/loads/*/{p}/*/*.parquet")) for p in ("all", "fresh"))
+
+
+def test_a_second_writer_is_noticed(spark, prefix, target, monkeypatch):
+    name = target()
+    compare = loads._without_known
+
+    def meanwhile(*given):
+        monkeypatch.setattr(loads, "_without_known", compare)
+        loads.load_month(spark, prefix, "yellow", 2020, 1, name)
+        return compare(*given)
+
+    loads.create_target(spark, name, YELLOW)
+    monkeypatch.setattr(loads, "_without_known", meanwhile)
+    with pytest.raises(publish.ConcurrentLoad):
+        loads.load_month(spark, prefix, "yellow", 2020, 1, name)
+    assert spark.table(name).count() == 4
+    assert loads.load_month(spark, prefix, "yellow", 2020, 1, name).inserted == 0
+
+
+def test_files_of_a_foreign_load_are_kept_for_a_day(spark, prefix, target, monkeypatch):
+    name = target()
+    loads.create_target(spark, name, YELLOW)
+    with monkeypatch.context() as patched:
+        patched.setattr(publish, "_process", lambda _: "f0e1d2c3b4a5")
+        foreign = publish.begin_load(spark, name)
+    publish._RUNNING.discard(foreign.load_id)
+    publish._put(spark, foreign.path("all/pickup_month=2020-01/x.parquet"), "rows")
+    loads.load_month(spark, prefix, "yellow", 2020, 1, name)
+    assert publish._names(spark, foreign.path("all"))
+    monkeypatch.setattr(publish, "STALE_SECONDS", -1)
+    loads.load_month(spark, prefix, "yellow", 2020, 1, name)
+    assert not publish._names(spark, foreign.path("all")) and spark.table(name).count() == 4
+
+
+def test_history_has_a_row_per_load(spark, prefix, target):
+    name = target()
+    loads.backfill_stepwise(spark, prefix, "yellow", (2020, 1), (2020, 4), name)
+    loads.load_month(spark, prefix, "yellow", 2020, 2, name)
+    history = publish.load_history(spark, name).orderBy("started").collect()
+    files = [f"yellow_tripdata_2020-0{month}.parquet" for month in (1, 2, 4, 2)]
+    assert [(r.label, r.offered, r.inserted) for r in history] == list(zip(files, (4, 4, 3, 4), (4, 2, 2, 0)))
+    assert all(r.seconds > 0 for r in history) and len({r.load_id for r in history}) == 4
+
+
+def test_one_row_per_key_if_asked_for(spark, tmp_path, target):
+    """Copies that differ outside the key: the first file's, then the smallest one; whatever the order of rows."""
+    prefix, pickup = f"{tmp_path}/", "2020-01-05 10:00:00"
+    raw = yellow_rows(spark, (1, pickup, 5.0), (2, pickup, 5.0), (None, None, None))
+    copies = raw.unionAll(raw.withColumn("payment_type", F.lit(7).cast("bigint"))).unionAll(raw)
+    copies.repartition(5).write.parquet(month_path(prefix, "yellow", 2020, 1))
+    raw.withColumn("payment_type", F.lit(0).cast("bigint")).write.parquet(month_path(prefix, "yellow", 2020, 2))
+    name, all_in = target(), target()
+    report = loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 2), name, dedupe=True)
+    assert (report.offered, report.inserted) == (12, 3)
+    got = loads.target_rows(spark, name, YELLOW).select("vendor_id", "file_name", "payment_type")
+    assert rows(got) == [(v, "yellow_tripdata_2020-01.parquet", 1) for v in (0, 1, 2)]
+    assert loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 2), name, dedupe=True).inserted == 0
+    assert loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 2), all_in).inserted == 9
+
+
+def test_a_day_is_found_without_reading_the_month(spark, tmp_path, target):
+    """Rows lie in order of their end, so row groups of other days are skipped."""
+    start = datetime(2020, 1, 1)
+    schema = yellow_rows(spark).schema
+    trips = spark.range(20000).select((F.col("id") * 7919 % 20000).alias("n"))
+    raw = yellow_rows(spark, (1, "2020-01-05 10:00:00", 5.0)).crossJoin(trips.coalesce(1))
+    minutes = F.make_dt_interval(mins=(F.col("n") * 2).cast("int"))
+    raw = raw.withColumns({"tpep_pickup_datetime": F.lit(start) + minutes, "tpep_dropoff_datetime": F.lit(start) + minutes})
+    raw.select(*schema.names).write.parquet(month_path(f"{tmp_path}/", "yellow", 2020, 1))
+    name = target()
+    small = {"parquet.block.size": "65536", "parquet.page.size": "4096", "parquet.page.size.row.check.min": "100", "parquet.block.size.row.check.min": "100"}
+    conf = spark._jsc.hadoopConfiguration()
+    for key, value in small.items():
+        conf.set(key, value)
+    try:
+        loads.load_month(spark, f"{tmp_path}/", "yellow", 2020, 1, name)
+    finally:
+        for key in small:
+            conf.unset(key)
+    groups = [
+        (group.statistics.min, group.statistics.max)
+        for path in spark.table(name).inputFiles()
+        for meta in [pq.ParquetFile(path.removeprefix("file://")).metadata]
+        for i in range(meta.num_row_groups)
+        for group in [next(c for c in map(meta.row_group(i).column, range(meta.num_columns)) if c.path_in_schema == "tpep_dropoff_datetime")]
+    ]
+    day = datetime(2020, 1, 10), datetime(2020, 1, 11)
+    assert len(groups) > 8
+    assert sum(low < day[1] and high >= day[0] for low, high in groups) <= len(groups) / 4
+
+
 def test_nothing_to_load(spark, prefix, target):
     report = loads.backfill(spark, prefix, "yellow", (2021, 1), (2021, 2), target())
     assert report.inserted == 0 and len(report.absent) == 2
 
 
-def test_merge_reads_only_the_months_of_the_batch(spark, prefix, target):
+def test_merge_reads_only_the_months_of_the_batch(spark, prefix, target, tmp_path):
     name = target()
     loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 4), name)
-    batch = spark.table(name).where(F.col(PICKUP_MONTH) == "2020-02")
-    pruned = loads._same_months(spark.table(name), batch)
-    assert {row[0] for row in pruned.select(PICKUP_MONTH).distinct().collect()} == {"2020-02", None}
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan and "DataFilters: []" in plan
+    batch = spark.table(name).select("unique_id", "file_name", PICKUP_MONTH, YELLOW.pickup)
+
+    def plan(*values):
+        found = loads._stored_keys(spark, batch, [f"pickup_month={value}" for value in values], name, YELLOW)
+        return found and found._jdf.queryExecution().executedPlan().toString()
+
+    assert "dynamicpruning" not in plan("2020-02") and "= 2020-02)]" in plan("2020-02")
+    assert "dynamicpruning" in plan("2020-01", "stray-03")
+    assert loads._stored_keys(spark, batch, ["pickup_month=2019-01"], target_without_strays(spark, tmp_path, target()), YELLOW) is None
+
+
+def target_without_strays(spark, tmp_path, name):
+    yellow_rows(spark, (1, "2020-01-05 10:00:00", 5.0)).write.parquet(month_path(f"{tmp_path}/plain-", "yellow", 2020, 1))
+    loads.load_month(spark, f"{tmp_path}/plain-", "yellow", 2020, 1, name)
+    return name
 
 
 def test_replaced_csv_month(spark, tmp_path, target):
