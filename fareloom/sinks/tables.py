@@ -65,8 +65,9 @@ def truncate_table(spark: SparkSession, name: str) -> None:
     """Remove all rows, of managed tables and of tables with a location of their own.
 
     Files and partitions go; no session setting is touched, so other loads are not disturbed.
-    A load log goes first, so that no row comes back.
+    A load log goes first, so that no row comes back, and an index of keys with it.
     """
+    spark.sql(f"DROP TABLE IF EXISTS {name}__keys")
     remove_path(spark, f"{table_location(spark, name)}/{LOAD_LOG}")
     system, place = file_system(spark, table_location(spark, name))
     for found in system.listStatus(place) if system.exists(place) else []:
