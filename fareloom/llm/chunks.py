@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom.llm.frames import batch_of, slices
-from fareloom.llm.tables import FILE, PLACE, ROW, Scratch
+from fareloom.llm.tables import FILE, PLACE, ROW, Scratch, apart
 
 GEAR_BITS = 16
 
@@ -160,8 +160,7 @@ def repeated_spans(
     ``source_ids`` lists the ids of the rows that hold the first occurrences of its chunks.
     """
     scratch = scratch or Scratch(df.sparkSession, "chunks")
-    narrow = scratch.placed(df).select(*PLACE, F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
-    chunks = scratch.write(narrow.mapInArrow(_chunker(chunking), CHUNKS), "chunks")
+    chunks = scratch.write(scratch.texts(df, key, text).mapInArrow(_chunker(chunking), CHUNKS), "chunks")
     # Most chunks occur once. Half a digest and a count tell which, before anything else moves.
     common = scratch.write(chunks.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1"), "common")
     shared = scratch.write(chunks.join(common, "d1", "left_semi"), "shared")
@@ -204,18 +203,20 @@ def without_repeats(
 ) -> DataFrame:
     """``df`` with the repeated stretches cut from its text column."""
     scratch = Scratch(df.sparkSession, "chunks")
-    placed = scratch.placed(df)
-    spans = repeated_spans(placed, key, text, chunking, scratch)
+    inner, names = apart(df)
+    placed, body = scratch.placed(inner), names[text]
+    spans = repeated_spans(placed, names[key], body, chunking, scratch)
     cuts = spans.groupBy(*PLACE).agg(F.collect_list("start").alias("_starts"), F.collect_list("length").alias("_lengths"))
     # The cuts grow with the corpus, so they are shuffled like the rows, whatever their size here.
     joined = placed.join(scratch.write(cuts, "cuts").hint("merge"), list(PLACE), "left").drop(*PLACE)
-    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in df.schema if f.name not in PLACE])
+    joined = joined.withColumn(body, F.col(body).cast("string"))
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == body else f.dataType) for f in inner.schema])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
-                done = _cut(part.column(text), part.column("_starts"), part.column("_lengths"))
-                columns = [done if name == text else part.column(name) for name in schema.names]
+            for part in slices(batch, body):
+                done = _cut(part.column(body), part.column("_starts"), part.column("_lengths"))
+                columns = [done if name == body else part.column(name) for name in schema.names]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).toDF(*df.columns)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom.llm.frames import batch_of, slices, text_or_empty
-from fareloom.llm.tables import FILE, PLACE, ROW, Scratch
+from fareloom.llm.tables import FILE, PLACE, ROW, Scratch, apart
 
 BLOCK_BYTES = 2048
 _POSITION_BITS = 33
@@ -129,7 +129,7 @@ def _named(rows: DataFrame, key: Sequence[str], scratch: Scratch) -> tuple[DataF
 
 def name_texts(df: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per text: its place, id, digest and name. Texts of one round and name are equal."""
-    narrow = scratch.placed(df).select(*PLACE, F.col(key).cast("long").alias(_ID), text_or_empty(text).alias("_text"))
+    narrow = scratch.texts(df, key, text).withColumn("_text", text_or_empty("_text"))
     rows, table = _named(narrow.mapInArrow(_cut, _BLOCKS), ["_block"], scratch)
     kept = [*PLACE, _ID, _SHA]
     found = []
@@ -184,8 +184,9 @@ def exact_duplicates(
 def without_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` without the rows that are equal to a row that stays. All columns are kept."""
     scratch = Scratch(df.sparkSession, "exact")
-    placed = scratch.placed(df)
-    dropped = exact_duplicates(placed, key, text, scratch).where(~F.col("kept"))
+    inner, names = apart(df)
+    placed = scratch.placed(inner)
+    dropped = exact_duplicates(placed, names[key], names[text], scratch).where(~F.col("kept"))
     # The list grows with the corpus, so it is shuffled like the rows, whatever its size here.
     dropped = scratch.write(dropped.select(*PLACE), "dropped").hint("merge")
-    return placed.join(dropped, list(PLACE), "left_anti").drop(*PLACE)
+    return placed.join(dropped, list(PLACE), "left_anti").drop(*PLACE).toDF(*df.columns)

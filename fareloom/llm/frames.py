@@ -37,17 +37,19 @@ def append_column(
 
     A column that has that name already is replaced.
     """
-    kept = df.drop(name) if name != source else df
-    schema = T.StructType([*[f for f in kept.schema.fields if f.name != name], T.StructField(name, kind)])
+    inner = df.toDF(*[f"given_{i}" for i in range(len(df.columns))])
+    taken = inner.columns[df.columns.index(source)]
+    rest = [own for own, column in zip(inner.columns, df.columns, strict=True) if column != name]
+    schema = T.StructType([*[inner.schema[own] for own in rest], T.StructField("made", kind)])
+    read = inner.select(*dict.fromkeys([*rest, taken]))
 
     def batches(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for piece in slices(part, source):
-                made = run(piece.column(source))
-                names = [n for n in piece.schema.names if n != name]
-                yield pa.RecordBatch.from_arrays([*[piece.column(n) for n in names], made], [*names, name])
+            for piece in slices(part, taken):
+                made = run(piece.column(taken))
+                yield pa.RecordBatch.from_arrays([*[piece.column(own) for own in rest], made], schema.names)
 
-    return kept.mapInArrow(batches, schema)
+    return read.mapInArrow(batches, schema).toDF(*[column for column in df.columns if column != name], name)
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:

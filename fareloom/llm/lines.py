@@ -10,8 +10,8 @@ the windows as a table, so that the windows of a very common passage can be spli
 
 Defined results: a NULL text stays NULL and has no lines; a text of fewer than three lines has
 no windows. Windows of three empty lines don't count. Rows with a NULL id come last in
-the order, rows with the same id in the order of the input files. All columns are kept, and rows
-are neither dropped nor merged.
+the order, rows with the same id in the order of the input files. All columns are kept, whatever their names, but for
+``n_lines`` and ``n_removed_lines``, which are replaced; rows are neither dropped nor merged.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.tables import FILE, PLACE, ROW, Scratch
+from fareloom.llm.tables import FILE, PLACE, ROW, Scratch, apart
 
 WINDOW_LINES = 3
 _BREAK = "\n"
@@ -58,18 +58,20 @@ def dedup_lines(
 ) -> DataFrame:
     """``df`` without the repeated lines, and with ``n_lines`` and ``n_removed_lines``."""
     scratch = scratch or Scratch(df.sparkSession, "lines")
-    placed = scratch.placed(df)
-    windows = scratch.write(line_windows(placed, key, text), "windows")
+    inner, names = apart(df)
+    placed, body = scratch.placed(inner), names[text]
+    windows = scratch.write(line_windows(placed, names[key], body), "windows")
     # The list grows with the corpus, so it is shuffled like the rows, whatever its size here.
     gone = scratch.write(repeated_lines(windows, scratch), "gone").hint("merge")
-    joined = placed.join(gone, list(PLACE), "left").withColumn(_LINES, _split(text))
+    scratch.drop(windows)
+    joined = placed.join(gone, list(PLACE), "left").withColumn(_LINES, _split(body))
     left = F.array_except(F.sequence(F.lit(0), F.size(_LINES) - 1), F.col(_GONE))
     put_together = F.concat_ws(_BREAK, F.transform(left, lambda line: F.get(_LINES, line)))
     return joined.select(
         *[
-            F.when(F.col(_GONE).isNull(), F.col(c)).otherwise(put_together).alias(c) if c == text else F.col(c)
-            for c in df.columns
-            if c not in ("n_lines", "n_removed_lines", *PLACE)
+            (F.when(F.col(_GONE).isNull(), F.col(own)).otherwise(put_together) if own == body else F.col(own)).alias(c)
+            for c, own in zip(df.columns, inner.columns, strict=True)
+            if c not in ("n_lines", "n_removed_lines")
         ],
         F.greatest(F.size(_LINES), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size(_GONE), F.lit(0)).cast("long").alias("n_removed_lines"),

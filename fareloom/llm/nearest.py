@@ -44,6 +44,7 @@ FIRST_LOOKS = 6
 _AT_ONCE = 8
 _PAIRS_AT_ONCE = 1 << 16
 _SEED = 20240613
+_RIGHT = "right_"
 
 _ROWS = T.StructType(
     [
@@ -201,6 +202,7 @@ def _searcher(top: int, sureness: float):
         if not left.num_rows or not right.num_rows:
             return pa.Table.from_batches([batch_of({name: [] for name in _FOUND.names}, _FOUND)])
         left, right = left.combine_chunks(), right.combine_chunks()
+        right = right.rename_columns([name.removeprefix(_RIGHT) for name in right.schema.names])
 
         def matrix(side: pa.Table, name: str, kind: str) -> np.ndarray:
             return np.frombuffer(b"".join(side.column(name).to_pylist()), kind).reshape(side.num_rows, -1)
@@ -242,8 +244,8 @@ def nearest(
     """
     scratch = scratch or Scratch(df.sparkSession, "nearest")
     asked = F.coalesce(is_query, F.lit(False)).alias("query")
-    given = scratch.placed(df).select(*PLACE, F.col(key).cast("long").alias("id"), asked, F.col(vector).cast("array<double>").alias("vector"))
-    rows = scratch.write(given.mapInArrow(_encoded, _ROWS), "codes")
+    given = df.select(F.col(key).cast("long").alias("id"), asked, F.col(vector).cast("array<double>").alias("vector"))
+    rows = scratch.write(scratch.placed(given).mapInArrow(_encoded, _ROWS), "codes")
     total = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if("query").alias("queries")).first()
     right_blocks = max(1, -(-total.rows // CANDIDATES_PER_BLOCK))
     left_blocks = max(1, -(-total.queries // QUERIES_PER_BLOCK))
@@ -252,11 +254,16 @@ def nearest(
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
     place = F.xxhash64(*PLACE)
-    left = rows.where("query").withColumns({"q": F.pmod(F.xxhash64(place), F.lit(left_blocks)), "v": every(right_blocks)})
-    right = rows.withColumns({"v": F.pmod(place, F.lit(right_blocks)), "q": every(left_blocks)})
-    # Block numbers are longs on one side and come from a sequence on the other.
-    sides = [side.withColumns({c: F.col(c).cast("int") for c in ("q", "v")}).groupBy("dims", "q", "v") for side in (left.drop("code", "norm", "fit"), right)]
-    found = sides[0].cogroup(sides[1]).applyInArrow(_searcher(top, sureness), _FOUND)
+    left = rows.where("query").withColumns({"q": F.pmod(F.xxhash64(place), F.lit(left_blocks)).cast("int"), "v": every(right_blocks)})
+    right = rows.withColumns({"v": F.pmod(place, F.lit(right_blocks)).cast("int"), "q": every(left_blocks)})
+    left = left.drop("query", "code", "norm", "fit")
+    # Both sides come from one table, so one of them needs names of its own.
+    right = right.drop("query").withColumnsRenamed({name: f"{_RIGHT}{name}" for name in right.columns})
+    found = (
+        left.groupBy("dims", "q", "v")
+        .cogroup(right.groupBy(*[f"{_RIGHT}{name}" for name in ("dims", "q", "v")]))
+        .applyInArrow(_searcher(top, sureness), _FOUND)
+    )
     order = Window.partitionBy("query_file", "query_row").orderBy(
         F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "vec_file", "vec_row"
     )

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from fareloom.llm.components import components
 from fareloom.llm.frames import append_column, batch_of, text_or_empty
-from fareloom.llm.tables import FILE, PLACE, ROW, Scratch
+from fareloom.llm.tables import FILE, PLACE, ROW, Scratch, apart
 
 SHINGLE_WORDS = 3
 MOST_BITS = 2
@@ -156,7 +156,7 @@ def _linker(masks: list[int], most_bits: int):
     free_bits = np.array([~mask & (1 << 64) - 1 for mask in masks], np.uint64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[np.ndarray, ...] = ()
+        held: list[tuple[np.ndarray, ...]] = []
 
         def links(choice: np.ndarray, key: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
             change = (choice[1:] != choice[:-1]) | (key[1:] != key[:-1])
@@ -170,15 +170,18 @@ def _linker(masks: list[int], most_bits: int):
             if not batch.num_rows:
                 continue
             rows = tuple(batch.column(c).to_numpy() for c in ("choice", "key", "print"))
-            rows = tuple(map(np.concatenate, zip(held, rows, strict=True))) if held else rows
             # The last bucket may go on in the next batch.
             other = (rows[0] != rows[0][-1]) | (rows[1] != rows[1][-1])
             cut = int(other.nonzero()[0][-1]) + 1 if other.any() else 0
+            if not cut and held and (held[-1][0][-1], held[-1][1][-1]) != (rows[0][0], rows[1][0]):
+                yield links(*map(np.concatenate, zip(*held, strict=True)))
+                held = []
             if cut:
-                yield links(*(c[:cut] for c in rows))
-            held = tuple(c[cut:] for c in rows)
+                yield links(*map(np.concatenate, zip(*held, tuple(c[:cut] for c in rows), strict=True)))
+                held = []
+            held.append(tuple(c[cut:] for c in rows))
         if held:
-            yield links(*held)
+            yield links(*map(np.concatenate, zip(*held, strict=True)))
 
     return run
 
@@ -209,7 +212,7 @@ def near_duplicates(
     ``kept`` marks one row of each component, the one with the smallest id.
     """
     scratch = scratch or Scratch(df.sparkSession, "simhash")
-    narrow = scratch.placed(df).select(*PLACE, F.col(key).cast("long").alias("_id"), text_or_empty(text).alias("_text"))
+    narrow = scratch.texts(df, key, text).withColumn("_text", text_or_empty("_text"))
     rows = scratch.write(with_fingerprint(narrow, "_text", "print", shingle_words).drop("_text"), "prints")
     first = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", *PLACE)).alias("_first")
     prints = scratch.write(rows.groupBy("print").agg(first, F.count(F.lit(1)).alias("_rows")), "distinct")
@@ -236,8 +239,9 @@ def without_near_duplicates(
 ) -> DataFrame:
     """``df`` with one row of each component. All columns are kept."""
     scratch = Scratch(df.sparkSession, "simhash")
-    placed = scratch.placed(df)
-    dropped = near_duplicates(placed, key, text, shingle_words, most_bits, scratch).where(~F.col("kept"))
+    inner, names = apart(df)
+    placed = scratch.placed(inner)
+    dropped = near_duplicates(placed, names[key], names[text], shingle_words, most_bits, scratch).where(~F.col("kept"))
     # The list grows with the corpus, so it is shuffled like the rows, whatever its size here.
     dropped = scratch.write(dropped.select(*PLACE), "dropped").hint("merge")
-    return placed.join(dropped, list(PLACE), "left_anti").drop(*PLACE)
+    return placed.join(dropped, list(PLACE), "left_anti").drop(*PLACE).toDF(*df.columns)

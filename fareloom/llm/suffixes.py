@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom.llm.frames import append_column, batch_of, slices
-from fareloom.llm.tables import FILE, PLACE, ROW, Scratch
+from fareloom.llm.tables import FILE, PLACE, ROW, Scratch, apart
 
 
 @dataclass(frozen=True)
@@ -396,7 +396,7 @@ def repeated_passages(
 ) -> DataFrame:
     """A row per repeated passage: place, ``doc_id``, ``start`` and ``length`` in words, ``source_ids``."""
     scratch = scratch or Scratch(df.sparkSession, "suffixes")
-    texts = scratch.placed(df).select(*PLACE, F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
+    texts = scratch.texts(df, key, text)
     chosen = scratch.write(texts.mapInArrow(_chooser(sparse), _CHOSEN), "chosen")
     common = scratch.write(chosen.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "common")
     paired = chosen.join(common, "gram", "left_semi").groupBy(*PLACE).agg(F.sort_array(F.collect_list(F.struct("pos", "near", "far"))).alias("places"))
@@ -434,16 +434,17 @@ def without_passages(
 ) -> DataFrame:
     """``df`` with the repeated passages cut from its text column, white space around them included."""
     scratch = Scratch(df.sparkSession, "suffixes")
-    placed = scratch.placed(df)
-    cuts = repeated_passages(placed, key, text, sparse, scratch).groupBy(*PLACE)
+    inner, names = apart(df)
+    placed, body = scratch.placed(inner), names[text]
+    cuts = repeated_passages(placed, names[key], body, sparse, scratch).groupBy(*PLACE)
     cuts = scratch.write(cuts.agg(F.collect_list(F.struct("start", "length")).alias("_cuts")), "cuts")
-    joined = placed.join(cuts, list(PLACE), "left").withColumn("_both", F.struct(F.col(text).cast("string").alias("t"), F.col("_cuts").alias("c")))
+    joined = placed.join(cuts, list(PLACE), "left").withColumn("_both", F.struct(F.col(body).cast("string").alias("t"), F.col("_cuts").alias("c")))
 
     def run(both: pa.Array) -> pa.Array:
         return pa.array([cut_words(x["t"], x["c"]) for x in both.to_pylist()], pa.string())
 
     done = append_column(joined.select("*"), "_both", "_done", T.StringType(), run)
-    return done.select(*[F.col("_done").alias(c) if c == text else F.col(c) for c in df.columns if c not in PLACE])
+    return done.select(*["_done" if c == body else c for c in inner.columns]).toDF(*df.columns)
 
 
 def cut_words(text: str | None, cuts: list[dict] | None) -> str | None:

@@ -13,6 +13,8 @@ from fareloom.session import scratch_path
 # less than one in ten million.
 FILE, ROW = "_placed_file", "_placed_row"
 PLACE = (FILE, ROW)
+# Steps of a plan that hand on a file's rows one by one.
+_PLAIN = {"LogicalRelation", "Filter", "Project", "SubqueryAlias"}
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -32,6 +34,7 @@ class Scratch:
         self.spark = spark
         self.root = scratch_path(spark, label)
         self.held: list[tuple[DataFrame, str]] = []
+        self.places: list[DataFrame] = []
 
     def path(self, label: str) -> str:
         return f"{self.root}/{len(self.held):03d}-{label}"
@@ -53,10 +56,52 @@ class Scratch:
         remove(self.spark, self.root)
 
     def placed(self, df: DataFrame) -> DataFrame:
-        """``df`` with each row's place; a frame that is no file scan is written down first."""
-        if FILE in df.columns:
+        """``df`` with each row's place.
+
+        A row of a file has a place of its own only if nothing makes several rows of it or leaves to chance
+        which rows there are; any other frame is written down first. A frame that is placed already is returned as it is.
+        """
+        if any(df is one for one in self.places):
             return df
-        try:
-            return df.select("*", F.xxhash64("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
-        except AnalysisException:
-            return self.placed(self.write(df, "rows"))
+        if _is_plain_scan(df):
+            try:
+                found = df.select("*", F.xxhash64("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+                self.places.append(found)
+                return found
+            except AnalysisException:
+                pass  # files without row numbers
+        return self.placed(self.write(df, "rows"))
+
+    def texts(self, df: DataFrame, key: str, text: str) -> DataFrame:
+        """A row per row: its place, ``_id`` (long) and ``_text`` (string)."""
+        narrow = [F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text")]
+        if any(df is one for one in self.places):
+            return df.select(*PLACE, *narrow)
+        return self.placed(df.select(*narrow)).select(*PLACE, "_id", "_text")
+
+
+def apart(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame under column names that clash with none an operator uses, and what each is called there."""
+    inner = df.toDF(*[f"given_{i}" for i in range(len(df.columns))])
+    return inner, dict(zip(df.columns, inner.columns, strict=True))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, whatever the case of its letters."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _is_plain_scan(df: DataFrame) -> bool:
+    """Whether the frame is files, filtered and projected, with the same outcome at every reading."""
+
+    def plain(node) -> bool:
+        if node.getClass().getSimpleName() not in _PLAIN:
+            return False
+        children = node.children()
+        return all(plain(children.apply(i)) for i in range(children.size()))
+
+    plan = df._jdf.queryExecution().analyzed()
+    return plan.deterministic() and plain(plan)

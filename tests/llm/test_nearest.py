@@ -78,6 +78,7 @@ def test_other_columns_play_no_part(spark):
     rows = [(i, [float(i), 1.0], "x", 2, 3) for i in range(8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, id string, query int, code int")
     got = nearest(df, F.col("vec_id") == 3, top=2).collect()
+    assert nearest(df, F.col("vec_id") == 3, top=2).select("rank").count() == 2
     assert [(r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 7, 22.0), (2, 6, 19.0)]
 
 

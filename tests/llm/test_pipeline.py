@@ -101,4 +101,4 @@ def test_stages_take_any_rows(spark, tmp_path, kind):
 def test_registered():
     assert queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in oracle_sql()
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries() if re.match(r"op\d+_", name))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))

@@ -1,0 +1,103 @@
+"""Places of rows are unique whatever the frame, and no column name gets in the way."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from fareloom.llm import chunks, exact, lines, nearest, simhash, suffixes
+from fareloom.llm.tables import PLACE, Scratch, apart, free_name
+
+PASSAGE = " ".join(f"shared{i}" for i in range(70))
+STEPS = {
+    "lines": lines.dedup_lines,
+    "exact": exact.without_duplicates,
+    "simhash": simhash.without_near_duplicates,
+    "chunks": chunks.without_repeats,
+    "suffixes": suffixes.without_passages,
+}
+
+
+@pytest.fixture(scope="module")
+def docs(spark, tmp_path_factory):
+    """Five rows of three parts each, written down; parts repeat within and between rows."""
+    path = str(tmp_path_factory.mktemp("docs") / "docs")
+    parts = [[f"alone {i} " + " ".join(f"w{i}x{j}" for j in range(90)), f"{PASSAGE} tail{i % 3}", "same\nfour\nlines\nhere"] for i in range(5)]
+    spark.createDataFrame([(i, p) for i, p in enumerate(parts)], "doc_id long, parts array<string>").coalesce(2).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def frames(docs):
+    exploded = docs.select("doc_id", F.explode("parts").alias("text"))
+    once = docs.select("doc_id", F.element_at("parts", 2).alias("text"))
+    yield "explode", exploded
+    yield "join", once.join(docs.sparkSession.createDataFrame([(i // 2,) for i in range(9)], "doc_id long"), "doc_id")
+    yield "union", once.unionAll(once)
+    yield "sample", exploded.sample(0.99, seed=3)
+    yield "limit", exploded.limit(11)
+
+
+@pytest.mark.parametrize("step", list(STEPS))
+def test_rows_of_any_frame_have_places_of_their_own(spark, docs, step):
+    for name, frame in frames(docs):
+        written = Scratch(spark, "test").write(frame, "copy")
+        count = F.array_sort(F.collect_list(F.coalesce("text", F.lit(""))))
+        ours, theirs = (STEPS[step](df).agg(F.count(F.lit(1)), count).first() for df in (written if name in ("sample", "limit") else frame, written))
+        assert ours == theirs, name
+        assert ours[0] > 0
+
+
+def test_places_are_taken_from_plain_scans_only(spark, docs):
+    scratch = Scratch(spark, "test")
+    plain = docs.where("doc_id > 0").select("doc_id", F.element_at("parts", 1).alias("text"))
+    scratch.placed(plain)
+    assert not scratch.held
+    for i, (_, frame) in enumerate(frames(docs), 1):
+        placed = scratch.placed(frame)
+        assert len(scratch.held) == i
+        assert placed.select(*PLACE).distinct().count() == placed.count()
+        assert scratch.placed(placed) is placed
+    scratch.placed(docs.where(F.rand() < 0.5).select("doc_id"))
+    assert len(scratch.held) == i + 1
+
+
+INTERNAL = [
+    "_placed_file", "_placed_row", "_id", "_text", "_gone", "_lines", "_starts", "_lengths", "_cuts", "_both", "_done", "_quality", "quality",
+    "print", "kept", "start", "length", "first", "none", "n", "d1", "d2", "digest", "line", "given_0", "given_1", "_metadata", "a.b", "root", "_first",
+]
+
+
+def clashing(docs):
+    exploded = docs.select("doc_id", F.explode("parts").alias("text"))
+    return exploded.select("doc_id", "text", *[F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")).alias(name) for name in INTERNAL])
+
+
+@pytest.mark.parametrize("step", [*STEPS, "quality"])
+def test_columns_of_any_name_are_kept(spark, docs, step):
+    df = clashing(docs)
+    if step == "quality":
+        done = corpus_pipeline.quality_rules(spark, df, "")
+    else:
+        done = STEPS[step](df)
+    left = done.drop("n_lines", "n_removed_lines") if step == "lines" else done
+    assert left.columns == df.columns
+    found = left.collect()
+    assert found and all(row[name] == f"{name} {row.doc_id}" for row in found for name in INTERNAL)
+    plain = STEPS[step](df.select("doc_id", "text")) if step != "quality" else corpus_pipeline.quality_rules(spark, df.select("doc_id", "text"), "")
+    assert sorted((r.doc_id, r.text) for r in found) == sorted((r.doc_id, r.text) for r in plain.collect())
+
+
+def test_results_with_clashing_columns(spark, docs):
+    df = clashing(docs)
+    plain = df.select("doc_id", "text")
+    for found in (exact.exact_duplicates, simhash.near_duplicates, chunks.repeated_spans, suffixes.repeated_passages):
+        ours, theirs = (sorted(map(repr, found(frame).drop(*PLACE).collect())) for frame in (df, plain))
+        assert ours == theirs
+    vectors = spark.createDataFrame([(i, [float(i), 1.0], 1, 2) for i in range(6)], "vec_id long, embedding array<double>, _placed_file int, _placed_row int")
+    assert nearest.nearest(vectors, F.col("vec_id") == 0, top=2).count() == 2
+
+
+def test_names(spark):
+    df = spark.createDataFrame([(1, 2)], "quality int, Quality_ int")
+    assert free_name(df, "quality") == "quality__" and free_name(df, "x") == "x"
+    inner, names = apart(df)
+    assert inner.columns == ["given_0", "given_1"] and names["Quality_"] == "given_1"
