@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from fareloom.llm import chunks, exact, repetition, simhash
 from fareloom.llm.queries import packed_pieces
-from fareloom.llm.tables import Scratch
+from fareloom.llm.tables import Scratch, free_name
+from fareloom.session import temporary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the suffix-array rule."""
-    return repetition.with_quality(docs, name="_quality").where("_quality.kept").select(*docs.columns)
+    verdict = free_name(docs, "quality")
+    return repetition.with_quality(docs, name=verdict).where(F.col(f"{verdict}.kept")).drop(verdict)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,11 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder of tables, each one's rows written and read again."""
+    """All stages over the documents of a folder of tables, each one's rows written and read again.
+
+    What a stage has put down on the way goes when its rows are written, and its input with it.
+    """
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = scratch.write(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        with temporary(spark):
+            kept = scratch.write(stage(spark, docs, sf_dir), name)
+        scratch.drop(docs)
+        docs = kept
+    return STAGES[-1][1](spark, docs, sf_dir)
