@@ -7,19 +7,20 @@ weighted mean gives the window's logit. Windows overlap by half and cover the wh
 score comes from its highest window, on a scale fitted to the labelled texts.
 
 Training is plain numpy on the driver, on a bounded sample of the labelled texts (``Training``
-says how many of each class). It reads every window of them, and so does the fit of the scale. All windows of a clean
+says how many of each class; the driver holds them, one text for each id). It reads every window of them, but for a share of
+texts that is kept for the scale, whose fit reads every window of those. All windows of a clean
 text are clean; a toxic text is known to be toxic somewhere, so its windows count by how they
 score among each other. Scoring takes every window of every text, on the executors.
 
 Defined results: a NULL text counts as empty; a text without words gets the score of a window
 without words. Labels that are NULL don't count, of several for one id the largest does. If the
-labels hold one class only or none, every score is the share of 1 among them (0 for none).
+labels hold one class only or none, every score is the share of 1 among them (0 for none). Of several
+texts of one id the last in code-point order is learned from; each gets a score. A text may be as long as memory allows.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareloom.llm.frames import append_column, batch_of, slices
+from fareloom.llm.frames import append_column
 
 Params = dict[str, np.ndarray]
 
@@ -50,11 +51,13 @@ class Shape:
 class Training:
     """The bounds of the sample, and how it is gone through."""
 
-    docs_per_class: int = 2000
+    docs_per_class: int = 1000
+    #: One text in so many is not learned from, but sets the scale of the scores.
+    scale_share: int = 8
     least_count: int = 3
     most_words: int = 20_000
     epochs: int = 6
-    batch: int = 192
+    batch: int = 128
     rate: float = 6e-3
     decay: float = 1e-5
     seed: int = 17
@@ -140,41 +143,62 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-x))
 
 
-def _run(gates: np.ndarray, tokens: np.ndarray, u: np.ndarray, lengths: np.ndarray | None, back: bool, keep: list | None):
-    """States of one direction, (windows, words, states). ``gates`` has a row per distinct word."""
+def _run(gates: np.ndarray, tokens: np.ndarray, u: np.ndarray, lengths: np.ndarray | None, keep: list | None) -> np.ndarray:
+    """States (windows, words, both directions' states). ``gates`` has a row per distinct word for each direction.
+
+    Both directions take their steps together, one from the first word on, the other from the last.
+    """
     n, steps = tokens.shape
-    h = u.shape[0]
-    state = np.zeros((n, h), np.float32)
-    out = np.empty((n, steps, h), np.float32)
-    for t in reversed(range(steps)) if back else range(steps):
-        given = gates[tokens[:, t]]
-        own = state @ u
-        zr = sigmoid(given[:, : 2 * h] + own[:, : 2 * h])
-        z, r = zr[:, :h], zr[:, h:]
-        new = np.tanh(given[:, 2 * h :] + r * own[:, 2 * h :])
-        after = new + z * (state - new)
+    h = u.shape[1]
+    state = np.zeros((2, n, h), gates.dtype)
+    out = np.empty((n, steps, 2 * h), gates.dtype)
+    given, own = np.empty((2, n, 3 * h), gates.dtype), np.empty((2, n, 3 * h), gates.dtype)
+    columns = np.ascontiguousarray(tokens.T)
+    for k in range(steps):
+        places = (k, steps - 1 - k)
+        for way, t in enumerate(places):
+            # Words number the rows of ``gates``, so nothing has to be clipped.
+            np.take(gates[way], columns[t], axis=0, out=given[way], mode="clip")
+        np.matmul(state, u, out=own)
+        zr = given[:, :, : 2 * h] + own[:, :, : 2 * h]
+        # The logistic function by tanh, in place.
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr += 1
+        zr *= 0.5
+        z, r = zr[:, :, :h], zr[:, :, h:]
+        new = r * own[:, :, 2 * h :]
+        new += given[:, :, 2 * h :]
+        np.tanh(new, out=new)
+        after = state - new
+        after *= z
+        after += new
         if lengths is not None:
-            after = np.where((t < lengths)[:, None], after, state)
+            after = np.where(np.stack([t < lengths for t in places])[:, :, None], after, state)
         if keep is not None:
-            keep.append((t, state, z, r, new, own[:, 2 * h :]))
-        state = out[:, t] = after
+            keep.append((k, state, z, r, new, own[:, :, 2 * h :].copy()))
+        state = after
+        out[:, places[0], :h] = state[0]
+        out[:, places[1], h:] = state[1]
     return out
 
 
-def gates_of(params: Params, inputs: np.ndarray) -> dict[str, np.ndarray]:
+def gates_of(params: Params, inputs: np.ndarray) -> np.ndarray:
     """What each distinct word gives to the gates of either direction."""
-    return {way: inputs @ params[f"{way}_w"] + params[f"{way}_b"] for way in "fb"}
+    return np.stack([inputs @ params[f"{way}_w"] + params[f"{way}_b"] for way in "fb"])
+
+
+def _both(params: Params) -> np.ndarray:
+    return np.stack([params["f_u"], params["b_u"]])
 
 
-def forward(params: Params, gates: dict[str, np.ndarray], tokens: np.ndarray, lengths: np.ndarray | None, trace: dict | None = None) -> np.ndarray:
+def forward(params: Params, gates: np.ndarray, tokens: np.ndarray, lengths: np.ndarray | None, trace: dict | None = None) -> np.ndarray:
     """The logit of each window. ``gates`` has a row per distinct word, ``tokens`` the rows of each window."""
-    kept: dict[str, list] = {"f": [], "b": []}
-    ways = [
-        _run(gates[w], tokens, params[f"{w}_u"], lengths, w == "b", kept[w] if trace is not None else None)
-        for w in "fb"
-    ]
-    states = np.concatenate(ways, axis=2)
-    hidden = np.tanh(states @ params["att"] + params["att_b"])
+    kept: list | None = [] if trace is not None else None
+    states = _run(gates, tokens, _both(params), lengths, kept)
+    hidden = states @ params["att"]
+    hidden += params["att_b"]
+    np.tanh(hidden, out=hidden)
     score = hidden @ params["att_v"]
     if lengths is not None:
         score = np.where(np.arange(tokens.shape[1]) < lengths[:, None], score, -1e9)
@@ -189,43 +213,49 @@ def forward(params: Params, gates: dict[str, np.ndarray], tokens: np.ndarray, le
 def backward(params: Params, inputs: np.ndarray, tokens: np.ndarray, lengths: np.ndarray | None, trace: dict, d_logit: np.ndarray) -> tuple[Params, np.ndarray]:
     """Gradients of the parameters but the vectors, and of ``inputs``."""
     states, hidden, weight, pooled = (trace[name] for name in ("states", "hidden", "weight", "pooled"))
-    h = params["f_u"].shape[0]
+    u = _both(params)
+    h, (n, steps) = u.shape[1], tokens.shape
     grads: Params = {"out": pooled.T @ d_logit, "out_b": np.array([d_logit.sum()], np.float32)}
     d_pooled = d_logit[:, None] * params["out"]
     d_states = weight[:, :, None] * d_pooled[:, None, :]
     d_weight = (states @ d_pooled[:, :, None])[:, :, 0]
     d_score = weight * (d_weight - (weight * d_weight).sum(axis=1, keepdims=True))
     d_hidden = d_score[:, :, None] * params["att_v"] * (1 - hidden**2)
-    grads["att_v"] = np.einsum("nt,nta->a", d_score, hidden)
-    grads["att"] = np.tensordot(states, d_hidden, ([0, 1], [0, 1]))
-    grads["att_b"] = d_hidden.sum(axis=(0, 1))
+    grads["att_v"] = d_score.ravel() @ hidden.reshape(n * steps, -1)
+    flat_hidden = d_hidden.reshape(n * steps, -1)
+    grads["att"] = states.reshape(n * steps, -1).T @ flat_hidden
+    grads["att_b"] = flat_hidden.sum(axis=0)
     d_states += d_hidden @ params["att"].T
+    d_state, d_u = np.zeros((2, n, h), states.dtype), np.zeros_like(u)
+    d_gates = np.zeros((n, steps, 6 * h), states.dtype)
+    turned = u.transpose(0, 2, 1)
+    for k, state, z, r, new, own in reversed(trace["kept"]):
+        places = (k, steps - 1 - k)
+        d_after = d_state + np.stack([d_states[:, places[0], :h], d_states[:, places[1], h:]])
+        passed = None
+        if lengths is not None:
+            inside = np.stack([t < lengths for t in places])[:, :, None]
+            passed = np.where(inside, 0, d_after)
+            d_after = np.where(inside, d_after, 0)
+        d_new = d_after * (1 - z) * (1 - new * new)
+        d_zr = np.concatenate([d_after * (state - new), d_new * own], axis=2)
+        zr = np.concatenate([z, r], axis=2)
+        d_zr *= zr * (1 - zr)
+        d_own = np.concatenate([d_zr, d_new * r], axis=2)
+        for way, t in enumerate(places):
+            d_gates[:, t, 3 * h * way : 3 * h * way + 2 * h] = d_zr[way]
+            d_gates[:, t, 3 * h * way + 2 * h : 3 * h * (way + 1)] = d_new[way]
+        d_u += state.transpose(0, 2, 1) @ d_own
+        d_state = d_after * z + d_own @ turned
+        if passed is not None:
+            d_state += passed
+    order = np.argsort(tokens, axis=None, kind="stable")
+    per_word = _segment_sums(d_gates.reshape(n * steps, 6 * h)[order], np.bincount(tokens.ravel(), minlength=len(inputs)))
     d_inputs = np.zeros_like(inputs)
     for i, way in enumerate("fb"):
-        u = params[f"{way}_u"]
-        d_own_states = d_states[:, :, i * h : (i + 1) * h]
-        d_state = np.zeros((len(tokens), h), np.float32)
-        d_u = np.zeros_like(u)
-        d_gates = np.zeros((*tokens.shape, 3 * h), np.float32)
-        for t, state, z, r, new, own in reversed(trace["kept"][way]):
-            d_after = d_state + d_own_states[:, t]
-            passed = 0.0
-            if lengths is not None:
-                inside = (t < lengths)[:, None]
-                passed = np.where(inside, 0, d_after)
-                d_after = np.where(inside, d_after, 0)
-            d_new = d_after * (1 - z) * (1 - new**2)
-            d_z = d_after * (state - new) * z * (1 - z)
-            d_r = d_new * own * r * (1 - r)
-            d_own = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            d_gates[:, t] = np.concatenate([d_z, d_r, d_new], axis=1)
-            d_u += state.T @ d_own
-            d_state = d_after * z + d_own @ u.T + passed
-        flat = d_gates.reshape(-1, 3 * h)
-        order = np.argsort(tokens, axis=None, kind="stable")
-        per_word = _segment_sums(flat[order], np.bincount(tokens.ravel(), minlength=len(inputs)))
-        grads |= {f"{way}_u": d_u, f"{way}_w": inputs.T @ per_word, f"{way}_b": per_word.sum(axis=0)}
-        d_inputs += per_word @ params[f"{way}_w"].T
+        own = per_word[:, 3 * h * i : 3 * h * (i + 1)]
+        grads |= {f"{way}_u": d_u[i], f"{way}_w": inputs.T @ own, f"{way}_b": own.sum(axis=0)}
+        d_inputs += own @ params[f"{way}_w"].T
     return grads, d_inputs
 
 
@@ -311,10 +341,63 @@ def _scatter(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return _segment_sums(rows[order], np.bincount(at, minlength=size))
 
 
-def _window_logits(model: Model, windows: list[tuple[int, int, list[bytes]]], most: int = 2048) -> np.ndarray:
-    """The logit of each window, worked out for some at a time."""
-    parts = [model.logits([words for _, _, words in windows[at : at + most]]) for at in range(0, len(windows), most)]
-    return np.concatenate(parts).astype(np.float64)
+class _Sample:
+    """The windows of a sample, with what does not change while a model learns from them."""
+
+    def __init__(self, windows: list[tuple[int, int, list[bytes]]], vocabulary: dict[bytes, int], shape: Shape):
+        ids: dict[bytes, int] = {b"": 0}
+        self.tokens = np.zeros((len(windows), shape.window), np.int64)
+        self.lengths = np.ones(len(windows), np.int64)
+        for row, (_, _, words) in enumerate(windows):
+            self.tokens[row, : len(words)] = [ids.setdefault(word, len(ids)) for word in words]
+            self.lengths[row] = max(1, len(words))
+        words = list(ids)
+        self.known = np.array([vocabulary.get(word, 0) for word in words], np.int64)
+        self.buckets, self.n_grams = char_grams(words, shape)
+        self.begins = np.cumsum(self.n_grams) - self.n_grams
+        self.full = self.lengths == shape.window
+
+    def batches(self, some: np.ndarray, size: int, rng: np.random.Generator | None = None) -> list[np.ndarray]:
+        """Windows of those numbers, full ones apart from shorter ones; shuffled if a generator is given."""
+        groups = [some[self.full[some]], some[~self.full[some]]]
+        if rng is not None:
+            groups = [rng.permutation(group) for group in groups]
+        found = [group[at : at + size] for group in groups for at in range(0, len(group), size)]
+        return [found[i] for i in rng.permutation(len(found))] if rng is not None else found
+
+    def part(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]:
+        """Distinct words of some windows, their rows in each window, lengths (None: full), and the words' sequences."""
+        words, rows = np.unique(self.tokens[at], return_inverse=True)
+        counts = self.n_grams[words]
+        places = np.repeat(self.begins[words] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        lengths = None if self.full[at].all() else self.lengths[at]
+        return words, rows.reshape(len(at), -1), lengths, self.buckets[places], counts
+
+
+def _char_means(params: Params, buckets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    per = 1 / np.maximum(counts, 1).astype(np.float32)[:, None]
+    return _segment_sums(params["grams"][buckets], counts) * per, per
+
+
+def _window_logits(params: Params, sample: _Sample, some: np.ndarray, most: int = 2048) -> np.ndarray:
+    """The logit of some windows, worked out for so many at a time."""
+    found = np.full(len(sample.tokens), np.nan)
+    for at in sample.batches(some, most):
+        words, rows, lengths, buckets, counts = sample.part(at)
+        inputs = np.concatenate([params["words"][sample.known[words]], _char_means(params, buckets, counts)[0]], axis=1)
+        found[at] = forward(params, gates_of(params, inputs), rows, lengths)
+    return found
+
+
+def _aside(texts: np.ndarray, labels: np.ndarray, share: int) -> np.ndarray:
+    """Which windows belong to one text in ``share`` of each class; none if a class has too few texts for that."""
+    found = np.zeros(len(texts), bool)
+    for label in (0, 1):
+        own = np.unique(texts[labels == label])
+        if len(own) < 8 * share:
+            return np.zeros(len(texts), bool)
+        found |= (labels == label) & np.isin(texts, own[::share])
+    return found
 
 
 def _shares(logits: np.ndarray, texts: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -340,61 +423,69 @@ def train(windows: list[tuple[int, int, list[bytes]]], prior: float, shape: Shap
         return model
     optimizer = _Adam(training.rate)
     texts = np.array([text for text, _, _ in windows], np.int64)
-    share = np.ones(len(windows), np.float32)
+    sample = _Sample(windows, vocabulary, shape)
+    # Some texts of each class are kept for the scale: those that were learned from look surer than new ones.
+    aside = _aside(texts, labels, training.scale_share)
+    learned = np.flatnonzero(~aside)
+    share, seen = np.ones(len(windows), np.float32), np.zeros(len(windows))
     for epoch in range(training.epochs):
         optimizer.rate = training.rate * (1 - epoch / training.epochs)
         if epoch:
-            share = _shares(_window_logits(model, windows), texts, labels)
-        order = rng.permutation(len(windows))
-        for first in range(0, len(order), training.batch):
-            part = order[first : first + training.batch]
-            ids: dict[bytes, int] = {b"": 0}
-            tokens = np.zeros((len(part), shape.window), np.int64)
-            lengths = np.ones(len(part), np.int64)
-            for row, at in enumerate(part):
-                own = [ids.setdefault(word, len(ids)) for word in windows[at][2]]
-                tokens[row, : len(own)] = own
-                lengths[row] = max(1, len(own))
-            words = list(ids)
-            known = np.array([vocabulary.get(word, 0) for word in words], np.int64)
+            # By the logits that the last epoch has met on its way.
+            share[learned] = _shares(seen[learned], texts[learned], labels[learned])
+        for part in sample.batches(learned, training.batch, rng):
+            words, tokens, lengths, buckets, counts = sample.part(part)
+            known = sample.known[words]
             # Some known words are read by their letters alone, so that the letters are learned too.
             known[rng.random(len(known)) < 0.3] = 0
-            buckets, n_grams = char_grams(words, shape)
-            per = 1 / np.maximum(n_grams, 1).astype(np.float32)[:, None]
-            chars = _segment_sums(params["grams"][buckets], n_grams) * per
+            chars, per = _char_means(params, buckets, counts)
             inputs = np.concatenate([params["words"][known], chars], axis=1)
             trace: dict = {}
             logit = forward(params, gates_of(params, inputs), tokens, lengths, trace)
+            seen[part] = logit
             d_logit = (share[part] * (sigmoid(logit) - labels[part]) / len(part)).astype(np.float32)
             grads, d_inputs = backward(params, inputs, tokens, lengths, trace, d_logit)
             grads["words"] = _scatter(d_inputs[:, : shape.word_size], known, len(vocabulary) + 1)
             grads["words"][0] = 0
-            spread = np.repeat(d_inputs[:, shape.word_size :] * per, n_grams, axis=0)
+            spread = np.repeat(d_inputs[:, shape.word_size :] * per, counts, axis=0)
             grads["grams"] = _scatter(spread, buckets, shape.gram_buckets)
             for name in grads:
                 grads[name] = grads[name] + training.decay * params[name]
             optimizer.update(params, grads)
-    model.scale = _scale(model, windows, prior)
+    at = np.flatnonzero(aside if aside.any() else ~aside)
+    model.scale = _scale(_window_logits(params, sample, at)[at], texts[at], labels[at], prior)
     return model
 
 
-def _scale(model: Model, windows: list[tuple[int, int, list[bytes]]], prior: float) -> tuple[float, float]:
+def _scale(logits: np.ndarray, texts: np.ndarray, labels: np.ndarray, prior: float) -> tuple[float, float]:
     """Logistic regression of the label on a text's highest logit, classes weighted as among all texts."""
-    logits = _window_logits(model, windows)
     best: dict[int, tuple[float, int]] = {}
-    for (text, label, _), logit in zip(windows, logits.tolist(), strict=True):
+    for text, label, logit in zip(texts.tolist(), labels.tolist(), logits.tolist(), strict=True):
         best[text] = max(best.get(text, (-np.inf, label)), (logit, label))
     x, y = (np.array(column, np.float64) for column in zip(*best.values(), strict=True))
     weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
-    slope, shift = 1.0, 0.0
-    for _ in range(50):  # Newton's method, with a little pull towards the start
-        p = sigmoid(slope * x + shift)
-        error, curve = weight * (p - y), np.maximum(weight * p * (1 - p), 1e-9)
-        gradient = np.array([(error * x).sum() + 0.5 * (slope - 1), error.sum()])
-        hessian = np.array([[(curve * x * x).sum() + 0.5, (curve * x).sum()], [(curve * x).sum(), curve.sum() + 1e-6]])
-        change = np.clip(np.linalg.solve(hessian, gradient), -1, 1)
-        slope, shift = slope - change[0], shift - change[1]
-    return float(max(slope, 1e-3)), float(shift)
+    # In units in which the classes' means are at -1 and 1, so that one pull suits all models.
+    means = [x[y == label].mean() for label in (0, 1)]
+    middle, unit = sum(means) / 2, max((means[1] - means[0]) / 2, 1e-3)
+    x = (x - middle) / unit
+    at = np.array([1.0, 0.0])
+
+    def loss(at: np.ndarray) -> float:
+        return float((weight * np.logaddexp(0, np.where(y == 1, -1, 1) * (at[0] * x + at[1]))).sum() + 0.05 * at[0] ** 2)
+
+    for _ in range(100):  # Newton's method; a step that does not help is halved
+        p = sigmoid(at[0] * x + at[1])
+        error, curve = weight * (p - y), weight * p * (1 - p)
+        gradient = np.array([(error * x).sum() + 0.1 * at[0], error.sum()])
+        hessian = np.array([[(curve * x * x).sum() + 0.1, (curve * x).sum()], [(curve * x).sum(), curve.sum() + 1e-9]])
+        change = np.linalg.solve(hessian, gradient)
+        while np.abs(change).max() > 1e-9 and loss(at - change) > loss(at):
+            change /= 2
+        at = at - change
+        if np.abs(change).max() <= 1e-9:
+            break
+    slope = max(at[0], 1e-3) / unit
+    return float(slope), float(at[1] - slope * middle)
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -402,29 +493,6 @@ def held_out(key: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-WINDOWS = T.StructType(
-    [T.StructField("text", T.LongType()), T.StructField("label", T.IntegerType()), T.StructField("words", T.BinaryType())]
-)
-
-
-def _sampler(shape: Shape):
-    """All windows of each sampled text."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                out: dict[str, list] = {name: [] for name in WINDOWS.names}
-                for key, label, text in zip(*(part.column(c).to_pylist() for c in ("_id", "label", "_text")), strict=True):
-                    words = split_words(text)
-                    for at in window_starts(len(words), shape.window):
-                        out["text"].append(key)
-                        out["label"].append(label)
-                        out["words"].append(b" ".join(words[at : at + shape.window]))
-                yield batch_of(out, WINDOWS)
-
-    return run
-
-
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", shape: Shape = Shape(), training: Training = Training()) -> Model:
     """A model fitted to a bounded sample of the texts whose label may be learned from."""
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key))
@@ -436,8 +504,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     picked = [known.where(F.col("label") == y).orderBy(*by_hash).limit(training.docs_per_class) for y in (0, 1)]
     sample = F.broadcast(picked[0].unionAll(picked[1]))
     texts = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).cast("string").alias("_text")).join(sample, "_id")
-    rows = texts.mapInArrow(_sampler(shape), WINDOWS).collect()
-    windows = sorted((row.text, row.label, bytes(row.words).split()) for row in rows)
+    # One text for each picked id, so the sample has at most twice docs_per_class rows, however often an id is repeated.
+    rows = texts.groupBy("_id", "label").agg(F.max("_text").alias("text")).collect()
+    windows = []
+    for row in sorted(rows):
+        words = split_words(row.text)
+        windows += [(row["_id"], row.label, words[at : at + shape.window]) for at in window_starts(len(words), shape.window)]
     return train(windows, prior, shape, training)
 
 
