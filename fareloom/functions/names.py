@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase, digits
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,17 +12,21 @@ MONTH_FILE = r"([a-z]+_tripdata_[0-9]{4}-[0-9]{2}\.[a-z.]*[a-z])"
 
 
 def snake_case(name: str) -> str:
-    """Words in small letters with an underscore between them.
+    """A name in small letters, with an underscore before each capital from A to Z that begins a word.
 
-    A word starts at a capital that ends a run of small letters or digits before it, or that
-    is the last capital of a run (``PULocationID``: PU, Location, ID).
+    Such a capital is not the first letter, and either a small letter follows it (``PULocationID``: PU, Location)
+    or a small letter or digit stands before it (Location, ID). What else stands before it does not matter: an underscore
+    or a blank that is there already stays beside the new one.
     """
     spelled = ""
-    for before, letter, after in zip(" " + name, name, name[1:] + " "):
-        if letter.isupper() and (before.islower() or before.isdigit() or (before.isupper() and after.islower())):
-            spelled += "_"
-        spelled += letter.lower()
-    return spelled
+    for i, letter in enumerate(name):
+        before, after = name[i - 1 : i], name[i + 1 : i + 2]
+        if letter in ascii_uppercase and before not in ("", "\n"):
+            follows = after != "" and after in ascii_lowercase
+            if follows or before in ascii_lowercase or before in digits:
+                spelled += "_"
+        spelled += letter
+    return spelled.lower()
 
 
 def month_file_name(colour: str, year: int, month: int, extension: str = "parquet") -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from urllib.parse import urlsplit
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +46,11 @@ def placed(scan: DataFrame) -> DataFrame:
     )
 
 
+def with_row_ids(rows: DataFrame) -> DataFrame:
+    """Rows that carry file and block already, with the number that grows within the block."""
+    return rows.withColumn(_ID, F.monotonically_increasing_id())
+
+
 def _plain_path(path: str) -> str:
     """A path without its scheme and host, as the files below it are compared."""
     return "/" + urlsplit(path).path.strip("/")
@@ -54,19 +60,40 @@ def number_file_rows(scan: DataFrame, name: str = "index", paths: Sequence[str]
     """File rows with a 0-based gapless number that runs on in the order of the given paths.
 
     ``scan`` is a plain file scan, or scans made ``placed`` and put together. Files below one
-    path, or all files if no paths are given, follow by name. The scan runs once: the rows are written
-    down with their places, and only what was written is counted. How the files were cut, and
+    path, or all files if no paths are given, follow by name.
+
+    Parquet files number their rows themselves, and their footers tell how many there are: only one number per
+    file is added, and no row is written. Rows of other files are written down once with their
+    places, and only what was written is counted; how the files were cut, and
     whether they would be cut like that again, does not matter.
 
     Running sums go over the blocks of a file, and over one row per file in a single task.
     """
-    rows = materialise(scan if FILE in scan.columns else placed(scan), "placed")
+    if FILE not in scan.columns:
+        try:
+            rows = scan.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(_ID))
+        except AnalysisException:
+            return number_file_rows(placed(scan), name, paths)
+        sizes = rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("_rows"))
+        offsets = materialise(_rows_before(sizes, paths), "row-offsets")
+        columns = [F.col(f"`{column}`") for column in scan.columns]
+        return rows.join(offsets, FILE).select((F.col("_before") + F.col(_ID)).alias(name), *columns)
+    rows = materialise(scan, "placed")
     blocks = rows.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("_rows"), F.min(_ID).alias(_FIRST))
     before = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("_in_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    files = blocks.groupBy(FILE).agg(F.sum("_rows").alias("_rows")).withColumn("_rank", F.lit(0))
+    files = _rows_before(blocks.groupBy(FILE).agg(F.sum("_rows").alias("_rows")), paths)
+    offsets = starts.join(files, FILE).select(FILE, BLOCK, (F.col("_before") + F.col("_in_file") - F.col(_FIRST)).alias(_START))
+    columns = [column for column in rows.columns if column not in (FILE, BLOCK, _ID)]
+    joined = rows.join(materialise(offsets, "row-offsets"), [FILE, BLOCK])
+    return joined.select((F.col(_START) + F.col(_ID)).alias(name), *[F.col(f"`{column}`") for column in columns])
+
+
+def _rows_before(files: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """For each file, of ``_rows`` rows, how many rows the files before it have."""
+    files = files.withColumn("_rank", F.lit(0))
     if paths:
-        ranks = rows.sparkSession.createDataFrame(
+        ranks = files.sparkSession.createDataFrame(
             [(_plain_path(path), rank) for rank, path in reversed(list(enumerate(paths)))], "_path string, _r int"
         ).groupBy("_path").agg(F.min("_r").alias("_r"))
         own = F.url_decode(F.regexp_replace(FILE, "^[a-zA-Z0-9+.-]+:(//[^/]*)?/*", "/"))
@@ -78,11 +105,7 @@ def number_file_rows(scan: DataFrame, name: str = "index", paths: Sequence[str]
             .withColumn("_rank", F.coalesce("_file_rank", "_folder_rank", F.lit(len(paths))))
         )
     earlier = Window.orderBy("_rank", FILE).rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select(FILE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    offsets = starts.join(files, FILE).select(FILE, BLOCK, (F.col("_before") + F.col("_in_file") - F.col(_FIRST)).alias(_START))
-    columns = [column for column in rows.columns if column not in (FILE, BLOCK, _ID)]
-    joined = rows.join(materialise(offsets, "row-offsets"), [FILE, BLOCK])
-    return joined.select((F.col(_START) + F.col(_ID)).alias(name), *[F.col(f"`{column}`") for column in columns])
+    return files.select(FILE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
 
 
 def number_sorted_rows(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:

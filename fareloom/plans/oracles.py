@@ -202,6 +202,15 @@ FROM trips""",
             for name, value in RAW_YELLOW_COLUMNS.items()
         ]
     ),
+    "footer_profile": _union(
+        [
+            f"""SELECT '{name}' AS column_name, count({name}) AS value_count,
+       {f"CAST(min({name}) AS BIGINT)" if kind in ("bigint", "int") else "CAST(NULL AS BIGINT)"} AS least,
+       {f"CAST(max({name}) AS BIGINT)" if kind in ("bigint", "int") else "CAST(NULL AS BIGINT)"} AS largest,
+       count(*) AS row_count FROM lineitem"""
+            for name, kind in LINE_COLUMNS.items()
+        ]
+    ),
     "profile_table": _union(
         [
             f"SELECT {place} AS position, '{name}' AS column_name, '{kind}' AS data_type, "
@@ -230,6 +239,7 @@ LIMIT 100""",
     "csv_row_index": """SELECT row_number() OVER (ORDER BY CASE WHEN o_orderkey % 10 < 3 THEN 0 WHEN o_orderkey % 10 = 3 THEN 1
                                  ELSE 2 END, o_orderkey) - 1 AS "index", *
 FROM orders""",
+    "stream_row_index": 'SELECT row_number() OVER (ORDER BY o_orderkey % 6, o_orderkey) - 1 AS "index", * FROM orders',
     "csv_gz_round_trip": "SELECT * FROM lineitem",
     "inferred_csv_scan": """SELECT * REPLACE (CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice,
                   CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS o_orderpriority)
@@ -277,6 +287,14 @@ SELECT months.* FROM months JOIN firsts
         "\nWHERE pickup_datetime >= TIMESTAMP '1995-01-01' AND pickup_datetime < TIMESTAMP '1996-01-01'",
     ),
     "backfill_all_months": _conformed("yellow"),
+    "backfill_one_per_key": _conformed("yellow"),
+    "load_history": f"""WITH {TRIPS}
+SELECT 'yellow_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS label, count(*) AS offered, count(*) AS inserted
+FROM trips WHERE year(pickup_datetime) = 1995 GROUP BY 1
+UNION ALL
+SELECT 'yellow_tripdata_1995-01.parquet to yellow_tripdata_2001-12.parquet', count(*),
+       count(*) FILTER (year(pickup_datetime) <> 1995)
+FROM trips""",
     "load_metrics": f"WITH {TRIPS} SELECT count(*) AS offered, count(*) AS first_run, CAST(0 AS BIGINT) AS second_run FROM trips",
     "backfill_stray_dates": _conformed(
         "yellow",

@@ -21,13 +21,14 @@ from fareloom.operators.ordering import number_file_rows, number_sorted_rows, pr
 from fareloom.plans import loads, reports
 from fareloom.plans.views import raw_trips, table, trips, zones
 from fareloom.schemas import COLOURS, FILE_NAME, RAW_GREEN_CASTS
-from fareloom.session import scratch_path
+from fareloom.session import remove_path, scratch_path
+from fareloom.sinks import publish
 from fareloom.sinks.files import read_tsv, write_csv_gz, write_parquet, write_tsv
 from fareloom.sinks.publish import committed_paths
 from fareloom.sinks.tables import append_table, create_table, replace_empty, replace_table, truncate_table
 from fareloom.sources.files import read_csv, read_inferred_csv, read_parquet, union_all
 from fareloom.sources.sizes import expanded_sizes
-from fareloom.streaming.ingest import ingest_stream
+from fareloom.streaming.ingest import append_stream, ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -274,6 +275,12 @@ def null_profile_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.null_profile(raw_trips(spark, sf_dir, "yellow"))
 
 
+@query
+def footer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and bounds of lineitem without reading a column."""
+    return profile.footer_profile(spark, f"{sf_dir}/lineitem.parquet")
+
+
 @query
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.table_profile(table(spark, sf_dir, "lineitem"))
@@ -495,6 +502,33 @@ def backfill_wrong_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.rows(COLOURS["yellow"].target.names)
 
 
+@query
+def backfill_one_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trip two more times in its file, with a larger tip, and some in a later file: one row per key is asked for."""
+    raw = raw_trips(spark, sf_dir, "yellow")
+    copies = raw.withColumn("tip_amount", F.col("tip_amount") + 1)
+    late = copies.where("PULocationID < 5").withColumn(FILE_NAME, F.lit("yellow_tripdata_2001-12.parquet"))
+    root = scratch_path(spark, "months")
+    write_parquet(union_all([copies, raw, copies, late]), root, [FILE_NAME])
+    target = _Table(spark, "yellow_single")
+    for _ in range(2):
+        loads.backfill(spark, f"{root}/{FILE_NAME}=", "yellow", (1995, 1), (2001, 12), target.name, target.location, dedupe=True)
+    return target.rows(COLOURS["yellow"].target.names)
+
+
+@query
+def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the history of a target says of a year loaded month by month, and of the whole span loaded after it."""
+    target = _Table(spark, "yellow_history")
+    prefix = _month_files(spark, sf_dir)
+    loads.backfill_stepwise(spark, prefix, "yellow", (1995, 1), (1995, 12), target.name, target.location)
+    loads.backfill(spark, prefix, "yellow", (1995, 1), (2001, 12), target.name, target.location)
+    history = publish.load_history(spark, target.name).select("label", "offered", "inserted")
+    rows = history.collect()  # a row per load
+    target.rows()
+    return spark.createDataFrame(rows, history.schema)
+
+
 @query
 def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a backfill was offered and inserted, and that its repetition inserted."""
@@ -509,6 +543,24 @@ def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([counts], "offered bigint, first_run bigint, second_run bigint")
 
 
+@query
+def stream_row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three waves of two gzip CSV files, numbered on and on; the second wave is delivered twice, as after a crash."""
+    orders = table(spark, sf_dir, "orders")
+    arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
+    target = _Table(spark, "numbered_orders")
+    for wave in range(3):
+        for part in range(2):
+            rows = orders.where(F.col("o_orderkey") % 6 == 2 * wave + part).orderBy("o_orderkey")
+            write_csv_gz(rows, f"{arrivals}/{wave}-{part}")
+        for again in range(2 if wave == 1 else 1):
+            if again:
+                # The stream's own note that the last micro-batch is done; without it the batch is run once more.
+                remove_path(spark, f"{checkpoint}/commits/1")
+            append_stream(spark, arrivals, orders.schema, target.name, checkpoint, location=target.location).awaitTermination()
+    return target.rows(["index", *orders.columns])
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files arrive in two waves, the second with trips delivered before under another file name."""

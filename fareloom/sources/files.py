@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,7 @@ from fareloom.functions.values import cast_to, missing_to_null
 from fareloom.operators.conform import cast_columns
 from fareloom.operators.ordering import placed
 from fareloom.schemas import RAW_GREEN_CASTS, RAW_YELLOW, ZONE_LOOKUP
-from fareloom.session import path_exists
+from fareloom.session import file_system, path_exists
 
 T_ = TypeVar("T_")
 
@@ -58,18 +60,62 @@ def read_csv_text(
     (``spread_rows``) when few files feed heavy work. ``multi_line`` admits line breaks
     inside quotes and makes every file one task. ``with_places`` adds what numbers the rows.
     """
-    headers = side_by_side(lambda path: tuple(scan_csv(spark, path, multi_line=multi_line).columns), paths)
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for header, path in zip(headers, paths):
-        by_header[header].append(path)
     frames = []
-    for header, group in by_header.items():
+    for group in files_by_header(spark, paths):
         scan = scan_csv(spark, *group, multi_line=multi_line)
+        header = scan.columns
         scan = placed(scan) if with_places else scan
         frames.append(scan.withColumns({name: missing_to_null(F.col(f"`{name}`")) for name in header}))
     return union_all(frames)
 
 
+def _first_row():
+    """The first row of a task; the rest of its input is not asked for."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    return run
+
+
+def files_by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The text files below some paths, grouped by their first line, in the order of the paths.
+
+    One job, however many files there are: each is a task of its own that stops after its first rows. Only
+    the groups come to the driver, as it needs the names of files anyway. Files without a line are left out.
+    """
+    if len(paths) == 1:
+        system, place = file_system(spark, paths[0])
+        if system.exists(place) and system.getFileStatus(place).isFile():
+            return [[paths[0]]]
+    looks = spark.newSession()
+    # A file as large as a partition may be, so that no two share one and none is cut.
+    for setting in ("maxPartitionBytes", "openCostInBytes"):
+        looks.conf.set(f"spark.sql.files.{setting}", str(1 << 50))
+    lines = looks.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
+    firsts = lines.mapInArrow(_first_row(), "value string, path string")
+    groups = firsts.groupBy("value").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    ranks = {_plain(path): rank for rank, path in reversed(list(enumerate(paths)))}
+
+    def named(found: str) -> tuple[int, str]:
+        path = as_path(spark._jvm.java.net.URI(found))
+        own, above = _plain(path.toString()), _plain(path.getParent().toString())
+        return ranks.get(own, ranks.get(above, len(paths))), path.toString()
+
+    found = [sorted(named(path) for path in group.paths) for group in groups]
+    # With one header, or none, the paths are read as they are given, folders of partitions included.
+    return [[path for _, path in group] for group in sorted(found)] if len(found) > 1 else [list(paths)]
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme and host."""
+    return "/" + re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", path).strip("/")
+
+
 def typed_text(text: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns under explicit types, found by name, in their own order.
 

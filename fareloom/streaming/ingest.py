@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -10,8 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 from fareloom.functions.names import month_file_of
 from fareloom.functions.values import missing_to_null
 from fareloom.operators.conform import conform
+from fareloom.operators.ordering import BLOCK, FILE, number_file_rows, with_row_ids
 from fareloom.plans.loads import create_target, merge_into
 from fareloom.schemas import COLOURS
+from fareloom.session import temporary
+from fareloom.sinks.publish import LOAD_ID, abandon_load, begin_load, end_load, is_open, load_history, restore_loads
+from fareloom.sinks.tables import create_table
 from fareloom.sources.files import CSV_OPTIONS, typed_text
 
 
@@ -63,3 +67,53 @@ def ingest_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def append_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    table: str,
+    checkpoint: str,
+    files_per_batch: int | None = None,
+    location: str | None = None,
+    file_format: str = "csv",
+    index: str = "index",
+) -> StreamingQuery:
+    """Start a stream that appends the rows of every new file in ``folder``, numbered from 0 without a gap, and then stops.
+
+    The number runs on over all micro-batches; within one, files follow by name. The table's load log is the
+    ledger: it says how many rows each micro-batch has added, so a later one knows where to go on, and one that is
+    repeated after a crash is left out if it is there already, or gets the same numbers if it is not. The table is
+    partitioned by load.
+    """
+    if not spark.catalog.tableExists(table):
+        fields = [T.StructField(index, T.LongType()), *schema.fields, T.StructField(LOAD_ID, T.StringType())]
+        create_table(spark, table, T.StructType(fields), [LOAD_ID], location, recover=False)
+        restore_loads(spark, table)
+    places = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
+    rows = _arrivals(spark, folder, schema, file_format, files_per_batch).select("*", *places)
+
+    def append_batch(batch: DataFrame, number: int) -> None:
+        session, label = batch.sparkSession, f"{checkpoint} batch {number}"
+        load = begin_load(session, table)
+        try:
+            ledger = load_history(session, table).agg(
+                F.coalesce(F.sum("inserted"), F.lit(0)).alias("rows"), F.count_if(F.col("label") == label).alias("done")
+            ).first()
+            if ledger.done:
+                abandon_load(session, load)
+                return
+            counted = Observation()
+            with temporary(session):
+                numbered = number_file_rows(with_row_ids(batch), index)
+                numbered = numbered.withColumn(index, F.col(index) + F.lit(ledger.rows)).observe(counted, F.count(F.lit(1)).alias("rows"))
+                numbered.write.parquet(load.path("all"))
+                inserted = 0 if session.read.schema(numbered.schema).parquet(load.path("all")).isEmpty() else counted.get["rows"]
+            end_load(session, load, "all" if inserted else None, inserted, inserted, label, whole=True)
+        except BaseException:
+            if is_open(load):
+                abandon_load(session, load)
+            raise
+
+    return rows.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,3 +1,4 @@
+import bz2
 import gzip
 from datetime import datetime
 
@@ -102,8 +103,45 @@ def test_csv_files_with_different_headers(spark, tmp_path):
     (tmp_path / "c.csv").write_text("x,y\n6,7\n")
     paths = [str(tmp_path / name) for name in ("a.csv", "b.csv", "c.csv")]
     assert rows(files.read_csv_text(spark, *paths)) == [("1", "2", None), ("3", "4", "5"), ("6", "7", None)]
-    with pytest.raises(Exception, match="header"):
-        files.read_csv_text(spark, str(tmp_path)).collect()
+    assert rows(files.read_csv_text(spark, str(tmp_path))) == [("1", "2", None), ("3", "4", "5"), ("6", "7", None)]
+
+
+def jobs_of(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    def frame(count):
+        folder = tmp_path / f"{count} files + more"
+        folder.mkdir()
+        for i in range(count):
+            header, line = (("x,y", f"{i},{-i}"), ("y,z", f"{-i},7"))[i % 2]
+            (folder / f"{i:03d} a.csv").write_text(f"{header}\n" + f"{line}\n" * 3)
+        (folder / "empty.csv").write_text("")
+        return files.read_csv_text(spark, *[str(path) for path in sorted(folder.iterdir())])
+
+    few, few_jobs = jobs_of(spark, "few", lambda: frame(4))
+    some, some_jobs = jobs_of(spark, "some", lambda: frame(70))
+    many, many_jobs = jobs_of(spark, "many", lambda: frame(200))
+    # From some number of paths on each scan lists them by a job; no job is for one file.
+    assert few_jobs <= some_jobs == many_jobs < 10
+    assert many.columns == ["x", "y", "z"] and many.count() == 600
+    assert rows(few.distinct()) == rows(spark.createDataFrame([("0", "0", None), (None, "-1", "7"), ("2", "-2", None), (None, "-3", "7")], "x string, y string, z string"))
+    _, inferred_jobs = jobs_of(spark, "inferred", lambda: files.read_inferred_csv(spark, *sorted(map(str, (tmp_path / "200 files + more").glob("*.csv")))))
+    assert inferred_jobs <= many_jobs + 4
+
+
+def test_headers_are_read_from_the_beginning_of_files_only(spark, tmp_path):
+    big = "v\n" + "1234567\n" * 400_000
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text(big if name == "a" else big.replace("v", "w", 1))
+    groups = files.files_by_header(spark, [str(tmp_path)])
+    assert [[path.rpartition("/")[2] for path in group] for group in groups] == [["a.csv"], ["b.csv"]]
+    assert files.files_by_header(spark, [str(tmp_path / "a.csv")]) == [[str(tmp_path / "a.csv")]]
 
 
 TEXTS = ["plain", "", None, " padded ", 'quote " inside', "tab\tinside", "back\\slash", "NULL", "ünïcode"]
@@ -136,6 +174,24 @@ def test_expanded_sizes(spark, tmp_path):
     assert found == {name: (len(t.encode()), round(len(t.encode()) / 1048576, 1)) for name, t in texts.items()}
 
 
+def test_expanded_sizes_of_any_content(spark, tmp_path):
+    """No last line feed, bytes that are no UTF-8, nothing at all, several members, other compressions, none."""
+    latin = "caf\xe9\rna\xefve".encode("latin-1")
+    files_ = {
+        "a.gz": gzip.compress(latin),
+        "b.gz": gzip.compress(b""),
+        "c.gz": gzip.compress(b"x" * 3_000_000) + gzip.compress(b"\n"),
+        "d.bz2": bz2.compress(latin * 1000),
+        "e e.csv": latin,
+        "f.gz": b"",
+    }
+    for name, content in files_.items():
+        (tmp_path / name).write_bytes(content)
+    found = {row.file_name: row.bytes for row in expanded_sizes(spark, str(tmp_path)).collect()}
+    want = {"a.gz": len(latin), "b.gz": 0, "c.gz": 3_000_001, "d.bz2": 1000 * len(latin), "e e.csv": len(latin), "f.gz": 0}
+    assert {name.replace("%20", " "): size for name, size in found.items()} == want
+
+
 def test_absent_path_and_other_failures(spark, tmp_path):
     assert files.read_if_present(spark, str(tmp_path / "none.parquet")) is None
     (tmp_path / "broken.parquet").write_text("no parquet")

@@ -14,6 +14,17 @@ from fareloom.functions import names
         ("Airport_fee", "airport_fee"),
         ("LocationID", "location_id"),
         ("tpep_pickup_datetime", "tpep_pickup_datetime"),
+        ("Airport_Fee", "airport__fee"),
+        ("Trip Type", "trip _type"),
+        ("_Id", "__id"),
+        ("ID", "id"),
+        ("Zone2Name", "zone2_name"),
+        ("x2Y", "x2_y"),
+        ("aBC", "a_bc"),
+        ("ABc", "a_bc"),
+        ("feeTaxABCd", "fee_tax_ab_cd"),
+        ("ÉtatNom", "état_nom"),
+        ("", ""),
     ],
 )
 def test_snake_case(raw, snake):

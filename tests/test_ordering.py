@@ -80,3 +80,17 @@ def test_a_shared_value_is_cut_into_several_ranges(spark, setting):
     assert sorted(r["index"] for r in found.collect()) == list(range(4000))
     per_task = ordering.sort_by(df, "t", "row").groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in per_task) < 2000
+
+
+def test_parquet_rows_are_numbered_without_being_written(spark, tmp_path, setting):
+    """Footers tell how many rows a file has, the files themselves number theirs."""
+    setting("spark.sql.files.maxPartitionBytes", "4000")
+    for name, first, count in (("b", 0, 2000), ("a", 2000, 700), ("c", 2700, 1)):
+        spark.range(first, first + count, 1, 1).select(F.concat(F.lit("v"), F.col("id")).alias("v"), "id").write.parquet(str(tmp_path / name))
+    paths = [str(tmp_path / name) for name in ("b", "a", "c")]
+    found = ordering.number_file_rows(spark.read.parquet(*paths), paths=paths)
+    assert found.columns == ["index", "v", "id"]
+    assert found.where("index = id").count() == 2701 and found.select("index").distinct().count() == 2701
+    assert "placed" not in "".join(found.inputFiles())
+    by_name = ordering.number_file_rows(spark.read.parquet(*paths))
+    assert by_name.where("id = 2000").first()["index"] == 0 and by_name.where("id = 0").first()["index"] == 700

@@ -2,8 +2,9 @@ from datetime import date, datetime
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from fareloom.operators.profile import null_profile, row_count, table_profile
+from fareloom.operators.profile import footer_aggregates, footer_profile, null_profile, row_count, table_profile
 from fareloom.plans import reports
 
 
@@ -106,3 +107,22 @@ def test_filters_and_columns_reach_the_scan(spark, trips, zones, tmp_path, repor
     assert pushed in plan
     schema = plan.split("ReadSchema: ")[1].split(">")[0]
     assert "tip_amount" not in schema and "do_location_id" not in schema
+
+
+def test_footers_tell_counts_and_bounds(spark, tmp_path):
+    """Aggregates are pushed into the scan: no column is read."""
+    data = [(1, None, 2.0, "a", True), (None, 5, float("nan"), None, False), (7, 9, None, "b", None)]
+    df = spark.createDataFrame(data, "i int, l long, d double, s string, b boolean").withColumn("day", F.date_add(F.lit("2019-12-31").cast("date"), F.col("i")))
+    whole = df.withColumn("n", F.lit(4)).select("n", F.coalesce("l", F.lit(1)).alias("m"), "d", "s")
+    whole.repartition(3).write.parquet(str(tmp_path / "whole"))
+    plan = footer_aggregates(spark, str(tmp_path / "whole"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(n), MIN(n), MAX(n), COUNT(m)" in plan and "PushedGroupBy: []" in plan
+    # What the scan hands on are the aggregates themselves.
+    assert "ReadSchema: struct<count(*):bigint,count(n):bigint,min(n):int,max(n):int" in plan
+    assert rows(footer_profile(spark, str(tmp_path / "whole"))) == sorted([("n", 3, 4, 4, 3), ("m", 3, 1, 9, 3), ("d", 2, None, None, 3), ("s", 2, None, None, 3)], key=repr)
+    # A file with nothing but NULL in a column has no bounds in its footer.
+    df.repartition(3).write.parquet(str(tmp_path / "t"))
+    assert rows(footer_profile(spark, str(tmp_path / "t"))) == sorted(
+        [("i", 2, 1, 7, 3), ("l", 2, 5, 9, 3), ("d", 2, None, None, 3), ("s", 2, None, None, 3), ("day", 2, 18263, 18269, 3), ("b", 2, 0, 1, 3)], key=repr
+    )
+    assert spark.conf.get("spark.sql.sources.useV1SourceList").count("parquet") == 1

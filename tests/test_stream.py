@@ -5,7 +5,10 @@ import pytest
 from conftest import rows, yellow_rows
 
 from fareloom.sources.files import month_path
-from fareloom.streaming.ingest import ingest_stream
+from fareloom.sinks.publish import load_history
+from fareloom.sinks import publish
+from fareloom.streaming import ingest
+from fareloom.streaming.ingest import append_stream, ingest_stream
 
 
 @pytest.fixture
@@ -69,3 +72,73 @@ def test_csv_files_are_a_stream_too(spark, tmp_path, run):
     with pytest.raises(ValueError, match="orc"):
         ingest_stream(spark, str(folder), schema, "yellow", name, str(tmp_path / "other"), file_format="orc")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_every_micro_batch_leaves_a_row(spark, tmp_path, run):
+    arrive, ingest = run
+    schema = arrive(1, (1, "2020-01-01 10:00:00", 5.0), (1, "2020-01-01 10:00:00", 5.0))
+    arrive(2, (1, "2020-01-01 10:00:00", 5.0), (2, "2020-02-01 10:00:00", 5.0))
+    ingest(schema)
+    name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("stream_") and not t.name.endswith("__keys"))
+    found = sorted((r.label, r.offered, r.inserted) for r in load_history(spark, name).collect())
+    assert [label for label, *_ in found] == ["batch 0", "batch 1"] and sum(r[1] for r in found) == 4 and sum(r[2] for r in found) == 3
+
+
+@pytest.fixture
+def numbered(spark, tmp_path):
+    name, folder = f"numbered_{uuid.uuid4().hex}", tmp_path / "lines"
+    folder.mkdir()
+
+    def go(**files):
+        for part, count in files.items():
+            (folder / f"{part}.csv").write_text("v\n" + "".join(f"{part}{i}\n" for i in range(count)))
+        schema = spark.createDataFrame([], "v string").schema
+        append_stream(spark, str(folder), schema, name, str(tmp_path / "state"), 2).awaitTermination()
+        found = sorted((r["index"], r.v) for r in spark.table(name).collect())
+        assert [number for number, _ in found] == list(range(len(found)))
+        return [v for _, v in found]
+
+    yield go, name, tmp_path / "state"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def lines(**files):
+    return [f"{part}{i}" for part, count in files.items() for i in range(count)]
+
+
+def test_numbers_run_on_over_micro_batches_and_restarts(spark, numbered):
+    go, name, state = numbered
+    assert go(a=3, b=40) == lines(a=3, b=40)
+    assert go() == lines(a=3, b=40)
+    # Files that arrive together may come in either micro-batch.
+    more = go(c=1, d=0, e=7)
+    assert more[:43] == lines(a=3, b=40) and sorted(more[43:]) == lines(c=1, e=7)
+    assert go(f=5) == more + lines(f=5)
+    last = max(int(path.name) for path in (state / "commits").iterdir() if path.name.isdigit())
+    before = go()
+    for path in (state / "commits").glob(f"*{last}*"):
+        path.unlink()
+    assert go() == before
+    assert go(g=2) == before + lines(g=2)
+
+
+def test_a_micro_batch_that_broke_off_gets_the_same_numbers(spark, numbered, monkeypatch):
+    go, name, _ = numbered
+    before = go(a=10)
+
+    def broken(*_, **__):
+        raise RuntimeError("gone")
+
+    for step in ("end_load", "number_file_rows"):
+        with monkeypatch.context() as patched:
+            patched.setattr(ingest, step, broken)
+            with pytest.raises(Exception, match="gone"):
+                go(b=4, c=3)
+        assert spark.table(name).count() == 10
+    with monkeypatch.context() as patched:
+        patched.setattr(publish, "_add_partitions", broken)
+        with pytest.raises(Exception, match="gone"):
+            go()
+    # Committed but not published: the next start finds it in the log and adds nothing.
+    assert go() == before + lines(b=4, c=3)
+    assert go(d=2) == before + lines(b=4, c=3, d=2)
