@@ -16,8 +16,9 @@ texts share a passage. So each task also hands on the earliest suffix for each p
 first and its last suffix; an aggregation over these (a bounded number of rows per task) tells the
 tasks' open suffixes about partners in other ranges.
 
-The earliest suffix to the right may differ on the left where a later one, still an earlier partner, agrees. So
-every stretch of ``least`` words that could occur twice and lies in none of the matches so far is named by a digest, and an
+The earliest suffix to the right may differ on the left where a later one, still an earlier partner, agrees. A suffix
+that is hidden in this way, one that may have a hidden partner and one that is open name every
+stretch of ``least`` words that could occur twice and lies in none of their matches by a digest, and an
 aggregation over the digests finds where it occurs first. Each stretch belongs to one suffix, the first
 of its smallest grams, and could occur twice only if some neighbour shares its part to the right. With it all
 stretches of ``least`` words that occur earlier are found, and nothing else.
@@ -33,6 +34,7 @@ columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +42,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +64,11 @@ class Sparse:
             raise ValueError("a match could lie between two minimisers or beyond the reach")
 
 
+#: A task holds the suffixes of its range, so there are as many ranges as it takes.
+SUFFIXES_PER_RANGE = 50_000
+# Sort keys per range that the driver sees when ranges are chosen. They hold words, so there should be few.
+_SAMPLES = ("spark.sql.execution.rangeExchange.sampleSizePerPartition", 16)
+
 _KEYS = (FILE, ROW, "_id")
 _ID = [T.StructField(FILE, T.LongType()), T.StructField(ROW, T.LongType()), T.StructField("_id", T.LongType())]
 # Words from the starts of a suffix's own stretches to it: the least and the most.
@@ -207,6 +214,18 @@ def _contexts(sparse: Sparse):
     return run
 
 
+@contextmanager
+def few_samples(spark: SparkSession) -> Iterator[None]:
+    """The sample that ranges are chosen from is small while the block runs."""
+    name, value = _SAMPLES
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(value, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # Comparison of neighbours
 
 
@@ -225,45 +244,62 @@ def common_words(a: bytes, b: bytes) -> int:
 
 
 class _Suffix:
-    """A suffix with its place in the order of ids and the best match found for it."""
+    """A suffix with its place in the order of ids and the matches found for it, none of which holds another."""
 
-    __slots__ = ("order", "right", "left", "near", "far", "best")
+    __slots__ = ("order", "right", "left", "near", "far", "matches", "more")
 
     def __init__(self, file, row, key, pos, right, left, near=1, far=0):
         self.order = (key is None, key or 0, file, row, pos)
         self.right, self.left = right, left
         self.near, self.far = near, far
-        self.best = (0, 0, None)  # words, of them to the left, source id
+        self.matches: list[tuple[int, int, int | None]] = []  # words, of them to the left, source id
+        self.more = False  # whether it is hidden, or comes after a hidden one
+
+    @property
+    def best(self) -> tuple[int, int, int | None]:
+        """The longest match."""
+        return max(self.matches, key=lambda match: match[0], default=(0, 0, None))
 
-    def offer(self, common: int, other: tuple, left: bytes) -> None:
-        """A match of ``common`` words with a suffix of that order and left context, if it is earlier."""
-        if other < self.order:
-            before = common_words(self.left, left)
-            if common + before > self.best[0]:
-                self.best = (common + before, before, None if other[0] else other[1])
+    def offer(self, common: int, other: tuple, left: bytes, least: int) -> None:
+        """A match of ``common`` words with a suffix of that order and left context, if it is earlier and long enough."""
+        if other >= self.order:
+            return
+        before = common_words(self.left, left)
+        if common + before < least or any(before <= own and common <= words - own for words, own, _ in self.matches):
+            return
+        kept = [match for match in self.matches if match[1] > before or match[0] - match[1] > common]
+        self.matches = [*kept, (common + before, before, None if other[0] else other[1])]
 
 
-def walk(suffixes: list[_Suffix], commons: list[int], least: int) -> None:
+def walk(suffixes: list[_Suffix], commons: list[int], gram: int, least: int) -> None:
     """Offers each suffix the earliest ones before it, for every length of prefix they share.
 
     ``commons[i]`` is what suffix i shares with the one before. The stack has one entry per
-    length, shortest first; an entry that is later than one with a longer prefix is of no use.
+    length, shortest first: the earliest suffix, and the order of the earliest one that it hides. An entry
+    that is later than one with a longer prefix is of no use. Hidden suffixes are marked, and those that come after one.
     """
-    stack: list[tuple[int, _Suffix]] = []
+    stack: list[tuple[int, _Suffix, tuple | None]] = []
     for i, suffix in enumerate(suffixes):
         if i:
-            common, earliest = commons[i], suffixes[i - 1]
+            common, earliest, hidden = commons[i], suffixes[i - 1], None
             while stack and stack[-1][0] >= common:
-                top = stack.pop()[1]
-                earliest = min(earliest, top, key=lambda s: s.order)
+                _, top, behind = stack.pop()
+                if top.order < earliest.order:
+                    top, earliest = earliest, top
+                top.more = True
+                hidden = min(order for order in (hidden, behind, top.order) if order is not None)
             while stack and stack[-1][1].order >= earliest.order:
-                stack.pop()
-            if common >= least:
-                stack.append((common, earliest))
+                top = stack.pop()[1]
+                top.more = True
+                hidden = top.order if hidden is None else min(hidden, top.order)
+            if common >= gram:
+                stack.append((common, earliest, hidden))
             else:
                 stack.clear()
-        for common, earlier in stack:
-            suffix.offer(common, earlier.order, earlier.left)
+        for common, earlier, hidden in stack:
+            suffix.offer(common, earlier.order, earlier.left, least)
+            if hidden is not None and hidden < suffix.order:
+                suffix.more = True
 
 
 def _edges(suffixes: list[_Suffix], commons: list[int], least: int) -> tuple[list[tuple[bytes, _Suffix]], list[int]]:
@@ -282,14 +318,13 @@ def _edges(suffixes: list[_Suffix], commons: list[int], least: int) -> tuple[lis
 
 
 def unmatched(suffix: _Suffix, shared: int, least: int) -> list[tuple[int, bytes]]:
-    """A suffix's own stretches that its match does not hold: words before it, and digest.
+    """A suffix's own stretches that its matches do not hold: words before it, and digest.
 
     ``shared`` is the most that any other suffix can have in common with it to the right.
     """
-    words, before, _ = suffix.best
     low, high = max(suffix.near, least - shared), min(suffix.far, suffix.left.count(b" "))
-    held = range(before + least - words, before + 1)  # empty if the match is too short
-    wanted = [k for k in range(low, high + 1) if k not in held]
+    held = [range(before + least - words, before + 1) for words, before, _ in suffix.matches]
+    wanted = [k for k in range(low, high + 1) if not any(k in places for places in held)]
     if not wanted:
         return []
     text = suffix.left[::-1] + b" " + suffix.right
@@ -309,14 +344,14 @@ def _walker(sparse: Sparse):
         if not suffixes:
             return
         commons = [0, *(common_words(a.right, b.right) for a, b in zip(suffixes, suffixes[1:], strict=False))]
-        walk(suffixes, commons, least)
+        walk(suffixes, commons, least, sparse.least)
         turned, commons_turned = suffixes[::-1], [0, *commons[:0:-1]]
-        walk(turned, commons_turned, least)
+        walk(turned, commons_turned, least, sparse.least)
         out: dict[str, list] = {name: [] for name in _WALKED.names}
 
-        def add(kind, suffix, right, left, ahead, behind):
+        def add(kind, suffix, match, right, left, ahead, behind):
             none, key, file, row, pos = suffix.order
-            words, before, source = suffix.best
+            words, before, source = match
             values = (kind, task, file, row, None if none else key, pos, right, left, ahead, behind, pos - before, words, source, None, None)
             for name, value in zip(_WALKED.names, values, strict=True):
                 out[name].append(value)
@@ -324,12 +359,16 @@ def _walker(sparse: Sparse):
         first_edges, from_first = _edges(suffixes, commons, least)
         last_edges, from_last = _edges(turned, commons_turned, least)
         for prefix, suffix in {**dict(first_edges), **dict(last_edges)}.items():
-            add(1, suffix, prefix, suffix.left, None, None)
+            add(1, suffix, suffix.best, prefix, suffix.left, None, None)
         for suffix, ahead, behind, *beside in zip(suffixes, from_first, reversed(from_last), commons, [*commons[1:], 0], strict=True):
-            if ahead >= least or behind >= least:
-                add(2, suffix, suffix.right, suffix.left, ahead, behind)
-            elif suffix.best[0] >= sparse.least:
-                add(0, suffix, None, None, None, None)
+            best, opened = suffix.best, ahead >= least or behind >= least
+            for match in suffix.matches:
+                if not opened or match is not best:
+                    add(0, suffix, match, None, None, None, None)
+            if opened:
+                add(2, suffix, best, suffix.right, suffix.left, ahead, behind)
+            elif not suffix.more:
+                continue
             none, key, file, row, pos = suffix.order
             for before, digest in unmatched(suffix, max(ahead, behind, *beside), sparse.least):
                 d1, d2 = np.frombuffer(digest, "<i8").tolist()
@@ -360,13 +399,13 @@ def _closer(sparse: Sparse):
         for batch in opened.to_batches(max_chunksize=10_000):
             for row in batch.to_pylist():
                 suffix = _Suffix(row[FILE], row[ROW], row["_id"], row["pos"], row["right"], row["left"])
-                suffix.best = (row["length"], row["pos"] - row["start"], row["source"])
+                own = (row["length"], row["pos"] - row["start"], row["source"])
                 for order, (prefix, left) in longest.items():
                     common = common_words(suffix.right, prefix)
                     if common >= sparse.gram:
-                        suffix.offer(common, order, left)
-                # The task's own match holds stretches that have no digest, so it counts beside a longer one.
-                for words, before, source in {suffix.best, (row["length"], row["pos"] - row["start"], row["source"])}:
+                        suffix.offer(common, order, left, sparse.least)
+                # The task's own match holds stretches that have no digest, so it counts beside longer ones.
+                for words, before, source in {*suffix.matches, own}:
                     if words >= sparse.least:
                         values = (row[FILE], row[ROW], row["_id"], row["pos"] - before, words, source)
                         for name, value in zip(_FOUND.names, values, strict=True):
@@ -395,7 +434,8 @@ def repeated_passages(
     df: DataFrame, key: str = "doc_id", text: str = "text", sparse: Sparse = Sparse(), scratch: Scratch | None = None
 ) -> DataFrame:
     """A row per repeated passage: place, ``doc_id``, ``start`` and ``length`` in words, ``source_ids``."""
-    scratch = scratch or Scratch(df.sparkSession, "suffixes")
+    spark = df.sparkSession
+    scratch = scratch or Scratch(spark, "suffixes")
     texts = scratch.texts(df, key, text)
     chosen = scratch.write(texts.mapInArrow(_chooser(sparse), _CHOSEN), "chosen")
     common = scratch.write(chosen.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "common")
@@ -405,8 +445,10 @@ def repeated_passages(
     suffixes = scratch.write(texts.join(paired.hint("merge"), list(PLACE)).mapInArrow(_contexts(sparse), _SUFFIXES), "suffixes")
     scratch.drop(chosen, common, paired)
     order = ["right", F.col("_id").asc_nulls_last(), FILE, ROW, "pos"]
-    dealt = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-    walked = scratch.write(dealt.mapInArrow(_walker(sparse), _WALKED), "walked")
+    ranges = max(1, -(-suffixes.count() // SUFFIXES_PER_RANGE))
+    dealt = suffixes.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    with few_samples(spark):
+        walked = scratch.write(dealt.mapInArrow(_walker(sparse), _WALKED), "walked")
     scratch.drop(suffixes)
     edges = walked.where("kind = 1").withColumn("prefix", F.col("right"))
     first = F.struct(F.col("_id").isNull().alias("none"), "_id", *PLACE, "pos", "left")

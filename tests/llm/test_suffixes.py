@@ -37,6 +37,25 @@ def covered(df):
     return found
 
 
+@pytest.mark.parametrize("ranges", [1, 9])
+def test_texts_put_together_from_a_few_pieces(spark, monkeypatch, ranges):
+    """Every piece occurs in many texts beside others, so most suffixes hide some, and many have several matches."""
+    monkeypatch.setattr(suffixes, "SUFFIXES_PER_RANGE", 2000 // ranges)
+    rng = random.Random(9)
+    pieces = [words(rng, rng.choice([12, 20, 30, 45, 60])) for _ in range(14)]
+    rows = [(i, " ".join(w for _ in range(rng.randint(2, 7)) for w in rng.choice(pieces))) for i in range(150)]
+    want = {key: span for key, span in windows_before(rows, 50).items() if span}
+    assert covered(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == want
+
+
+def test_a_text_of_some_megabytes(spark):
+    rng = random.Random(10)
+    long = words(rng, 300_000)
+    rows = [(1, " ".join(long)), (2, " ".join(long[1000:1100])), (3, "x" * 3_000_000)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.start, r.length, r.source_ids) for r in got] == [(2, 0, 100, [1])]
+
+
 @pytest.mark.parametrize("window", [1, 2, 5, 40])
 def test_minimisers_equal_their_definition(window):
     rng = np.random.default_rng(window)
@@ -63,7 +82,8 @@ def test_hashes_do_not_depend_on_the_place():
 @pytest.mark.parametrize("ranges", [1, 3, 40])
 def test_passages_equal_all_windows(spark, setting, monkeypatch, ranges):
     setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    setting("spark.sql.shuffle.partitions", str(ranges))
+    setting("spark.sql.shuffle.partitions", "5")
+    monkeypatch.setattr(suffixes, "SUFFIXES_PER_RANGE", 2000 // ranges)
     rng = random.Random(6)
     passages = [words(rng, n) for n in (50, 51, 70, 49, 300)]
     rows, planted, seen = [], {}, set()
@@ -105,10 +125,10 @@ def test_repeated_rows(spark):
 
 
 @pytest.mark.parametrize("ranges", [1, 7])
-def test_passages_whose_tail_or_head_occurs_earlier(spark, setting, ranges):
+def test_passages_whose_tail_or_head_occurs_earlier(spark, monkeypatch, setting, ranges):
     """Documents that hold a part of a passage come before the first one that holds all of it."""
     setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    setting("spark.sql.shuffle.partitions", str(ranges))
+    monkeypatch.setattr(suffixes, "SUFFIXES_PER_RANGE", 2000 // ranges)
     rng, rows = random.Random(8), []
     footer = words(rng, 45)
     for i in range(60):
@@ -124,6 +144,25 @@ def test_passages_whose_tail_or_head_occurs_earlier(spark, setting, ranges):
     assert len(want) >= 120 and covered(df) == want
 
 
+@pytest.mark.parametrize("ranges", [1, 9])
+def test_texts_put_together_from_a_few_pieces(spark, monkeypatch, ranges):
+    """Every piece occurs in many texts beside others, so most suffixes hide some, and many have several matches."""
+    monkeypatch.setattr(suffixes, "SUFFIXES_PER_RANGE", 2000 // ranges)
+    rng = random.Random(9)
+    pieces = [words(rng, rng.choice([12, 20, 30, 45, 60])) for _ in range(14)]
+    rows = [(i, " ".join(w for _ in range(rng.randint(2, 7)) for w in rng.choice(pieces))) for i in range(150)]
+    want = {key: span for key, span in windows_before(rows, 50).items() if span}
+    assert covered(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == want
+
+
+def test_a_text_of_some_megabytes(spark):
+    rng = random.Random(10)
+    long = words(rng, 300_000)
+    rows = [(1, " ".join(long)), (2, " ".join(long[1000:1100])), (3, "x" * 3_000_000)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.start, r.length, r.source_ids) for r in got] == [(2, 0, 100, [1])]
+
+
 @pytest.mark.parametrize("window", [1, 2, 5, 40])
 def test_each_window_has_one_gram(window):
     rng = np.random.default_rng(window)
