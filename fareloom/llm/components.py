@@ -5,6 +5,8 @@ drawn between parents instead. "Best" is the smallest node in even rounds, which
 star around its smallest node at once, and the smallest hash in odd rounds, which shortens
 chains whatever their order. Nodes only ever meet as aggregated minima and in joins of two
 tables, whose hot keys adaptive execution splits.
+
+Defined results: a link with a NULL end joins nothing and gives no row; without links there are no rows.
 """
 
 from __future__ import annotations
