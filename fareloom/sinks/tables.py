@@ -67,9 +67,11 @@ def truncate_table(spark: SparkSession, name: str) -> None:
     Files and partitions go; no session setting is touched, so other loads are not disturbed.
     A load log goes first, so that no row comes back, and an index of keys with it.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}__keys")
-    remove_path(spark, f"{table_location(spark, name)}/{LOAD_LOG}")
-    system, place = file_system(spark, table_location(spark, name))
+    location = table_location(spark, name)
+    if path_exists(spark, f"{location}/{LOAD_LOG}"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}__keys")
+        remove_path(spark, f"{location}/{LOAD_LOG}")
+    system, place = file_system(spark, location)
     for found in system.listStatus(place) if system.exists(place) else []:
         if not found.getPath().getName().startswith(("_", ".")):
             system.delete(found.getPath(), True)

@@ -350,6 +350,18 @@ def test_known_keys_are_read_in_place(spark, target, setting):
     assert loads.merge_into(spark, batch, name, YELLOW).inserted == 20
 
 
+def test_other_tables_of_that_name_are_left_alone(spark, target):
+    name = target()
+    spark.range(3).write.saveAsTable(f"{name}__keys")
+    with pytest.raises(ValueError, match="in use"):
+        loads.create_target(spark, name, YELLOW)
+    plain = target()
+    spark.range(3).write.saveAsTable(plain)
+    spark.range(3).write.saveAsTable(f"{plain}__keys")
+    truncate_table(spark, plain)
+    assert spark.table(f"{plain}__keys").count() == 3 and spark.table(plain).count() == 0
+
+
 def test_the_index_is_made_anew_from_the_log(spark, prefix, target):
     name = target()
     loads.load_month(spark, prefix, "yellow", 2020, 1, name)
