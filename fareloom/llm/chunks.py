@@ -1,9 +1,11 @@
 """Substring dedup over content-defined chunks.
 
 A gear hash rolls over the bytes of a text: each byte's number is added to the hash shifted by
-one bit, so the hash depends on as many bytes as it has bits. A chunk ends where the hash's
-upper bits are zero, which is a property of the last bytes alone: after an insertion the chunks
-soon end at the same places again. Chunks have a least and a most size and end between
+one bit, so the hash depends on as many bytes as it has bits. A chunk ends where the hash is higher
+than at each of the ``reach`` bytes before and no lower than at each of the ``reach`` bytes after, which
+is a property of the bytes around alone: no end depends on the one before, so that in two copies of
+a passage the same places are ends but for ``GEAR_BITS + reach`` bytes at its front and ``reach`` at its back,
+whatever stands around it. Chunks are thus longer than ``reach``, have a most size and end between
 characters. They are compared by their 128-bit digests; the first occurrence of a chunk, in the
 order of ids and places, is its source, every other one a repeat of it.
 
@@ -42,15 +44,14 @@ GEAR_BITS = 16
 class Chunking:
     """Sizes in bytes: of chunks, and of the shortest stretch of repeated ones that is cut."""
 
-    least: int = 24
+    #: How far around it a chunk's end has the highest hash. Chunks have twice as many bytes and a few on average.
+    reach: int = 16
     most: int = 256
-    #: A chunk ends at one place in 2 ** this, once it has its least size.
-    zero_bits: int = 4
     least_run: int = 96
 
     def __post_init__(self):
-        if not GEAR_BITS <= self.least < self.most or not 0 < self.zero_bits <= GEAR_BITS:
-            raise ValueError(f"chunks need at least {GEAR_BITS} bytes, and a larger most size")
+        if not 0 < self.reach < self.most or self.most < 4:
+            raise ValueError("chunks need a reach, and a most size that is larger and holds a character")
 
 
 CHUNKS = T.StructType(
@@ -88,40 +89,48 @@ def rolling_gear(raw: np.ndarray) -> np.ndarray:
     return value
 
 
+def _highest(value: np.ndarray, n: int) -> np.ndarray:
+    """The highest of the last n numbers up to each place."""
+    high, reach = value, 1
+    while reach < n:
+        step = min(reach, n - reach)
+        longer = high.copy()
+        np.maximum(high[step:], high[:-step], out=longer[step:])
+        high, reach = longer, reach + step
+    return high
+
+
 def chunk_ends(texts: list[bytes], chunking: Chunking) -> list[list[int]]:
     """Where the chunks of each text end. Texts don't influence each other."""
-    raw = np.frombuffer(b"".join(texts), np.uint8)
-    zero = rolling_gear(raw) >> np.uint16(GEAR_BITS - chunking.zero_bits) == 0
-    whole = np.ones(len(raw) + 1, bool)  # no character goes on there
-    whole[:-1] = raw & 0xC0 != 0x80
-    ends = np.flatnonzero(zero & whole[1:]) + 1
-    found, at = [], 0
-    text_ends = np.cumsum([len(text) for text in texts])
-    upto = np.searchsorted(ends, text_ends).tolist()
-    ends = ends.tolist()
-    first = 0
-    for text_end, last in zip(text_ends.tolist(), upto, strict=True):
-        begin, start, cuts = at, at, []
-        for end in ends[first:last]:
+    reach, gap = chunking.reach, bytes(chunking.reach)
+    raw = np.frombuffer(b"".join([gap, gap.join(texts), gap]), np.uint8)
+    value = rolling_gear(raw)
+    starts, at = [], reach
+    for text in texts:
+        # Between texts, and until all bytes of a hash are the text's own, nothing can be highest.
+        value[at - reach : at + GEAR_BITS - 1] = 0
+        starts.append(at)
+        at += len(text) + reach
+    value[-reach:] = 0
+    goes_on = raw & 0xC0 == 0x80
+    value[:-1][goes_on[1:]] = 0
+    high = _highest(value, reach)
+    middle = value[reach:-reach]
+    ends = np.flatnonzero((middle > high[reach - 1 : -reach - 1]) & (middle >= high[2 * reach :])) + reach + 1
+    upto = np.searchsorted(ends, starts, "right").tolist() + [len(ends)]
+    ends, found = ends.tolist(), []
+    for i, (text, begin) in enumerate(zip(texts, starts, strict=True)):
+        start, cuts = begin, []
+        for end in [*ends[upto[i] : upto[i + 1]], begin + len(text)]:
             while end - start > chunking.most:
-                cut = start + chunking.most
-                while not whole[cut]:
-                    cut -= 1
-                cuts.append(cut - begin)
-                start = cut
-            if end - start >= chunking.least:
+                start += chunking.most
+                while goes_on[start]:
+                    start -= 1
+                cuts.append(start - begin)
+            if end > start:
                 cuts.append(end - begin)
                 start = end
-        while text_end - start > chunking.most:
-            cut = start + chunking.most
-            while not whole[cut]:
-                cut -= 1
-            cuts.append(cut - begin)
-            start = cut
-        if text_end > start:
-            cuts.append(text_end - begin)
         found.append(cuts)
-        first, at = last, text_end
     return found
 
 

@@ -5,8 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from fareloom.llm import chunks
-from fareloom.llm.chunks import Chunking, chunk_ends, gear_numbers, repeated_spans, rolling_gear, without_repeats
+from fareloom.llm.chunks import GEAR_BITS, Chunking, chunk_ends, gear_numbers, repeated_spans, rolling_gear, without_repeats
 from fareloom.llm.queries import op7_substring_dedup
 
 
@@ -16,19 +15,26 @@ def words(rng, n):
 
 def cut_up(raw, chunking):
     """One byte after the other."""
-    gear, value, start, found = gear_numbers().tolist(), 0, 0, []
+    gear, value, hashes = gear_numbers().tolist(), 0, []
     for i, byte in enumerate(raw):
         value = (2 * value + gear[byte]) % 2**16
-        if i + 1 - start > chunking.most:  # no end within the most size
+        goes_on = i + 1 < len(raw) and raw[i + 1] & 0xC0 == 0x80
+        hashes.append(0 if goes_on or i < GEAR_BITS - 1 else value)
+    start, found = 0, []
+    for i, value in enumerate(hashes):
+        before, after = hashes[max(i - chunking.reach, 0) : i], hashes[i + 1 : i + 1 + chunking.reach]
+        highest = value > max(before, default=0) and value >= max(after, default=0)
+        if not highest and i + 1 < len(raw):
+            continue
+        while i + 1 - start > chunking.most:  # no end within the most size
             start += chunking.most
             while raw[start] & 0xC0 == 0x80:
                 start -= 1
             found.append(start)
-        goes_on = i + 1 < len(raw) and raw[i + 1] & 0xC0 == 0x80
-        if i + 1 - start >= chunking.least and value >> 16 - chunking.zero_bits == 0 and not goes_on:
+        if i + 1 > start:
             start = i + 1
             found.append(start)
-    return [*found, len(raw)] if start < len(raw) else found
+    return found
 
 
 def brute(rows, chunking=Chunking()):
@@ -55,7 +61,7 @@ def spans(df):
     return sorted((r.doc_id, r.start, r.length, r.source_ids) for r in repeated_spans(df).collect())
 
 
-@pytest.mark.parametrize("chunking", [Chunking(), Chunking(16, 40, 2), Chunking(20, 21, 5)])
+@pytest.mark.parametrize("chunking", [Chunking(), Chunking(3, 40), Chunking(20, 21), Chunking(1, 4), Chunking(200)])
 def test_chunks_equal_a_walk_over_the_bytes(chunking):
     rng = random.Random(3)
     texts = [words(rng, rng.randint(0, 300)).encode() for _ in range(40)] + [b"", b"a" * 2000, "é".encode() * 999, "\U0001f600".encode() * 400]
@@ -63,6 +69,30 @@ def test_chunks_equal_a_walk_over_the_bytes(chunking):
     assert len(rolling_gear(np.zeros(0, np.uint8))) == 0
 
 
+def test_copies_have_the_same_ends_whatever_stands_around_them():
+    rng, chunking = random.Random(4), Chunking()
+    for _ in range(200):
+        passage = words(rng, rng.randint(20, 80)).encode()
+        inner = set()
+        for _ in range(3):
+            front = words(rng, rng.randint(0, 60)).encode()
+            ends = chunk_ends([front + passage + words(rng, rng.randint(0, 60)).encode()], chunking)[0]
+            span = range(GEAR_BITS + chunking.reach, len(passage) - chunking.reach - 1)
+            inner.add(tuple(end - len(front) for end in ends if end - len(front) in span))
+        assert len(inner) == 1
+
+
+@pytest.mark.parametrize("size", [200, 230, 260])
+def test_passages_of_some_fifty_short_words_are_found(spark, size):
+    rng = random.Random(size)
+    rows = []
+    for i in range(300):
+        passage = words(rng, 200).encode()[:size].decode(errors="ignore")
+        rows += [(2 * i + j, f"{words(rng, rng.randint(0, 40))} {passage} {words(rng, rng.randint(0, 40))}") for j in (0, 1)]
+    found = {r.doc_id // 2 for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(found) >= 0.95 * 300
+
+
 def test_spans_equal_plain_sets(spark, no_broadcast):
     rng = random.Random(8)
     passages = [words(rng, n) for n in (55, 60, 90, 12, 200)]
@@ -105,4 +135,3 @@ def test_query_against_plain_sets(spark, sf_dir):
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
     got = sorted((r.doc_id, r.start, r.length, r.source_ids) for r in op7_substring_dedup(spark, sf_dir).collect())
     assert got == brute(rows) and got
-    assert chunks.GEAR_BITS == 16
