@@ -401,3 +401,53 @@ def test_tables_for_reports(spark, tmp_path, target):
         """
     )
     assert rows(answer) == [("Allerton", 9.5)]
+
+
+def test_the_index_of_many_months_has_few_files(spark, tmp_path, target):
+    """Files per bucket and year, not per bucket and month; months are still told apart by the loads that have them."""
+    trips = [(i, f"{2018 + i % 2}-{1 + i % 12:02d}-05 10:00:00", 1.0 + i) for i in range(480)]
+    rows_ = yellow_rows(spark, *trips)
+    for year in (2018, 2019):
+        for month in range(1, 13):
+            one = rows_.where(F.date_format("tpep_pickup_datetime", "yyyy-MM") == f"{year}-{month:02d}")
+            one.coalesce(1).write.parquet(month_path(f"{tmp_path}/", "yellow", year, month))
+    name = _created(spark, target(), key_buckets=3)
+    assert loads.backfill(spark, f"{tmp_path}/", "yellow", (2018, 1), (2019, 12), name).inserted == 480
+    assert len(spark.table(keys_table(name)).inputFiles()) <= 2 * 3
+    assert loads.backfill(spark, f"{tmp_path}/", "yellow", (2018, 1), (2019, 12), name).inserted == 0
+    assert loads.load_month(spark, f"{tmp_path}/", "yellow", 2019, 2, name).inserted == 0
+    batch = spark.table(name).select("unique_id", "file_name", PICKUP_MONTH, YELLOW.pickup)
+    assert loads._stored_keys(spark, batch, ["pickup_month=2019-02"], name, YELLOW).count() > 0
+    assert loads._stored_keys(spark, batch, ["pickup_month=2020-02"], name, YELLOW) is None
+
+
+def test_a_repeated_load_writes_no_row(spark, prefix, target, monkeypatch):
+    name = target()
+    loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 4), name)
+    monkeypatch.setattr(loads, "_staged", broken)
+    for dedupe in (False, True):
+        report = loads.backfill(spark, prefix, "yellow", (2020, 1), (2020, 4), name, dedupe=dedupe)
+        assert (report.offered, report.inserted) == (11, 0)
+
+
+@pytest.mark.parametrize("known", [1, 3])
+def test_fewer_and_more_known_than_fresh(spark, target, known):
+    """Rows meet the smaller set of keys; copies of fresh rows and rows without a key all go in."""
+    name = _created(spark, target())
+    loads.merge_into(spark, _one_trip(spark, known), name, YELLOW)
+    batch = _one_trip(spark, 4)
+    keyless = _one_trip(spark, 1).withColumn("unique_id", F.lit(None).cast("string"))
+    batch = batch.unionAll(batch).unionAll(keyless).unionAll(keyless)
+    report = loads.merge_into(spark, batch, name, YELLOW)
+    assert (report.offered, report.inserted) == (10, 2 * (4 - known) + 2)
+    assert rows(spark.table(name).where("unique_id IS NOT NULL").groupBy("vendor_id").count()) == [
+        (i, 1 if i < known else 2) for i in range(4)
+    ]
+    again = loads.merge_into(spark, batch, name, YELLOW)
+    assert (again.offered, again.inserted) == (10, 2)
+
+
+def test_one_file_has_no_later_month(spark, prefix, target, monkeypatch):
+    """Strays of a single file are not compared with anything."""
+    monkeypatch.setattr(loads, "_later_copies", broken)
+    assert loads.load_month(spark, prefix, "yellow", 2020, 1, target()).inserted == 4
