@@ -13,10 +13,13 @@ from fareloom.operators.conform import conform
 from fareloom.operators.ordering import BLOCK, FILE, number_file_rows, with_row_ids
 from fareloom.plans.loads import create_target, merge_into
 from fareloom.schemas import COLOURS
-from fareloom.session import temporary
+from fareloom.session import materialise, temporary
 from fareloom.sinks.publish import LOAD_ID, abandon_load, begin_load, end_load, is_open, load_history, restore_loads
 from fareloom.sinks.tables import create_table
-from fareloom.sources.files import CSV_OPTIONS, typed_text
+from fareloom.sources.files import CSV_OPTIONS, spread_rows, typed_text
+
+# The month file that an arriving row lies in, beside the columns of its file.
+ARRIVED_AS = "_arrived_as"
 
 
 def _arrivals(spark: SparkSession, folder: str, schema: T.StructType, file_format: str, limit: int | None) -> DataFrame:
@@ -29,7 +32,13 @@ def _arrivals(spark: SparkSession, folder: str, schema: T.StructType, file_forma
         raise ValueError(f"no stream of {file_format} files here, only parquet and csv")
     # Columns go by place in a CSV stream; a file whose header says otherwise is an error.
     texts = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
-    rows = reader.schema(texts).options(**CSV_OPTIONS).option("enforceSchema", False).csv(folder)
+    return reader.schema(texts).options(**CSV_OPTIONS).option("enforceSchema", False).csv(folder)
+
+
+def _typed(rows: DataFrame, schema: T.StructType, file_format: str) -> DataFrame:
+    """Arrivals under their types; those of Parquet files have them."""
+    if file_format == "parquet":
+        return rows
     return typed_text(rows.withColumns({name: missing_to_null(F.col(f"`{name}`")) for name in schema.names}), schema)
 
 
@@ -56,10 +65,15 @@ def ingest_stream(
     fleet = COLOURS[colour]
     create_target(spark, target, fleet, location)
     arrivals = _arrivals(spark, folder, schema, file_format, files_per_batch)
-    rows = conform(arrivals, fleet, month_file_of(F.col("_metadata.file_path")))
+    rows = arrivals.withColumn(ARRIVED_AS, month_file_of(F.col("_metadata.file_path")))
 
     def merge_batch(batch: DataFrame, number: int) -> None:
-        merge_into(batch.sparkSession, batch, target, fleet, label=f"batch {number}")
+        with temporary(spark):
+            if file_format == "csv":
+                # A gzip file is one task. It expands the file once; what follows, types included, is spread evenly.
+                batch = materialise(spread_rows(batch), "arrivals")
+            typed = conform(_typed(batch, schema, file_format), fleet, F.col(ARRIVED_AS))
+            merge_into(batch.sparkSession, typed, target, fleet, label=f"batch {number}")
 
     return (
         rows.writeStream.foreachBatch(merge_batch)
@@ -92,7 +106,7 @@ def append_stream(
         create_table(spark, table, T.StructType(fields), [LOAD_ID], location, recover=False)
         restore_loads(spark, table)
     places = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
-    rows = _arrivals(spark, folder, schema, file_format, files_per_batch).select("*", *places)
+    rows = _typed(_arrivals(spark, folder, schema, file_format, files_per_batch).select("*", *places), schema, file_format)
 
     def append_batch(batch: DataFrame, number: int) -> None:
         session, label = batch.sparkSession, f"{checkpoint} batch {number}"

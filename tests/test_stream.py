@@ -142,3 +142,24 @@ def test_a_micro_batch_that_broke_off_gets_the_same_numbers(spark, numbered, mon
     # Committed but not published: the next start finds it in the log and adds nothing.
     assert go() == before + lines(b=4, c=3)
     assert go(d=2) == before + lines(b=4, c=3, d=2)
+
+
+def test_a_gzip_file_is_expanded_once(spark, tmp_path, monkeypatch):
+    """A merge looks at its batch several times; it is given spread rows, not the one task of a gzip file."""
+    folder, name = tmp_path / "csv", f"stream_{uuid.uuid4().hex}"
+    folder.mkdir()
+    schema = yellow_rows(spark).schema
+    line = "1,2020-01-01 10:00:00,2020-01-01 12:00:00,NaN,2.5,1.0,N/A,10,20,1,5.0"
+    with gzip.open(folder / "yellow_tripdata_2020-01.csv.gz", "wt") as file:
+        file.write(",".join(schema.names) + f"\n{line}\n")
+    merge, read = ingest.merge_into, []
+
+    def seen(session, batch, *given, **named):
+        read.extend(batch.inputFiles())
+        return merge(session, batch, *given, **named)
+
+    monkeypatch.setattr(ingest, "merge_into", seen)
+    ingest_stream(spark, str(folder), schema, "yellow", name, str(tmp_path / "checkpoint"), 1, None, "csv").awaitTermination()
+    assert read and not any(path.endswith(".gz") for path in read)
+    assert rows(spark.table(name).select("file_name", "vendor_id")) == [("yellow_tripdata_2020-01.csv.gz", 1)]
+    spark.sql(f"DROP TABLE {name}")
