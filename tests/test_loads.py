@@ -405,7 +405,7 @@ def test_tables_for_reports(spark, tmp_path, target):
 
 def test_the_index_of_many_months_has_few_files(spark, tmp_path, target):
     """Files per bucket and year, not per bucket and month; months are still told apart by the loads that have them."""
-    trips = [(i, f"{2018 + i % 2}-{1 + i % 12:02d}-05 10:00:00", 1.0 + i) for i in range(480)]
+    trips = [(i, f"{2018 + i % 2}-{1 + i // 2 % 12:02d}-05 10:00:00", 1.0 + i) for i in range(480)]
     rows_ = yellow_rows(spark, *trips)
     for year in (2018, 2019):
         for month in range(1, 13):
