@@ -593,7 +593,8 @@ def stream_ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("yellow_tripdata_1995-"), quarter, F.lit(".csv.gz"))
     arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
     target = _Table(spark, "yellow_stream")
-    write_csv_gz(raw.withColumn(FILE_NAME, name), arrivals, partition_by=[FILE_NAME])
+    # Copies of a trip go in together only if they come in one micro-batch, so a quarter must be one file.
+    write_csv_gz(raw.withColumn(FILE_NAME, name), arrivals, partition_by=[FILE_NAME], whole=True)
     for _ in range(2):
         ingest_stream(
             spark, arrivals, schema, "yellow", target.name, checkpoint, 1, target.location, "csv"

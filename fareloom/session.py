@@ -102,6 +102,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of the block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def shuffles_freed(spark: SparkSession):
+    """The shuffle files of every job inside go when the job ends.
+
+    Else they stay until the driver's garbage collector finds them, so that those of all jobs of a load add up on the disks.
+    """
+    return setting(spark, _FILE_CLEANUP, "true")
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -109,6 +134,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from fareloom.session import setting, shuffles_freed
+
 # Text form of a bulk-load file (fixed values).
 TAB, NULL_TEXT = "\t", "\\N"
 
@@ -30,12 +32,28 @@ def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    gathered(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
-
-
-def write_csv_gz(df: DataFrame, path: str, header: bool = True, partition_by: Sequence[str] = ()) -> None:
-    writer = gathered(df, partition_by).write.partitionBy(*partition_by).options(**_KEEP_VALUES)
-    writer.option("header", header).option("compression", "gzip").csv(path)
+    with shuffles_freed(df.sparkSession):
+        gathered(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+
+
+# Files that a task has open side by side; rows of further partition values are sorted first.
+_OPEN_FILES = 32
+# Tasks per core that the values of whole files are dealt to, so that two long ones seldom meet in one.
+_DEALT = 16
+
+
+def write_csv_gz(df: DataFrame, path: str, header: bool = True, partition_by: Sequence[str] = (), whole: bool = False) -> None:
+    """Gzip CSV files. ``whole``: all rows of a partition value in one file, however many they are."""
+    spark = df.sparkSession
+    rows = df.repartition(_DEALT * spark.sparkContext.defaultParallelism, *partition_by) if whole else gathered(df, partition_by)
+    writer = rows.write.partitionBy(*partition_by).options(**_KEEP_VALUES).option("header", header).option("compression", "gzip")
+    with shuffles_freed(spark):
+        if not whole:
+            writer.csv(path)
+            return
+        # A task with a long value need not sort, and spill, what it writes.
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(_OPEN_FILES)):
+            writer.csv(path)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:

@@ -20,7 +20,7 @@ from fareloom.functions.values import cast_to, missing_to_null
 from fareloom.operators.conform import cast_columns
 from fareloom.operators.ordering import placed
 from fareloom.schemas import RAW_GREEN_CASTS, RAW_YELLOW, ZONE_LOOKUP
-from fareloom.session import file_system, path_exists
+from fareloom.session import file_system, path_exists, setting
 
 T_ = TypeVar("T_")
 
@@ -116,6 +116,28 @@ def _plain(path: str) -> str:
     return "/" + re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", path).strip("/")
 
 
+def check_headers(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> None:
+    """An error unless the header of each CSV file names the columns of ``schema``, in their order.
+
+    One job, a task per file that stops at its first row. The check is that of Spark's reader.
+    """
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", False)
+    # No two files, or pieces of one, share a task.
+    with setting(spark, "spark.sql.files.openCostInBytes", str(1 << 50)):
+        reader.csv([path_of(spark, path) for path in paths]).limit(1).write.format("noop").mode("overwrite").save()
+
+
+def path_of(spark: SparkSession, found: str) -> str:
+    """The path that a file's metadata spell as a URI."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(found)).toString()
+
+
+def csv_lines(value: Column, schema: T.StructType) -> Column:
+    """A struct of text columns from a line of a CSV file, read as the file would be."""
+    names = ["`" + name.replace("`", "``") + "`" for name in schema.names]
+    return F.from_csv(value, ", ".join(f"{name} STRING" for name in names), {**CSV_OPTIONS, "header": "false"})
+
+
 def typed_text(text: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns under explicit types, found by name, in their own order.
 

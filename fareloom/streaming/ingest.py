@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from fareloom.functions.names import month_file_of
 from fareloom.functions.values import missing_to_null
@@ -13,26 +13,57 @@ from fareloom.operators.conform import conform
 from fareloom.operators.ordering import BLOCK, FILE, number_file_rows, with_row_ids
 from fareloom.plans.loads import create_target, merge_into
 from fareloom.schemas import COLOURS
-from fareloom.session import materialise, temporary
+from fareloom.session import materialise, scratch_path, temporary
 from fareloom.sinks.publish import LOAD_ID, abandon_load, begin_load, end_load, is_open, load_history, restore_loads
 from fareloom.sinks.tables import create_table
-from fareloom.sources.files import CSV_OPTIONS, spread_rows, typed_text
+from fareloom.sources.files import CSV_OPTIONS, check_headers, csv_lines, spread_rows, typed_text
 
 # The month file that an arriving row lies in, beside the columns of its file.
 ARRIVED_AS = "_arrived_as"
 
 
-def _arrivals(spark: SparkSession, folder: str, schema: T.StructType, file_format: str, limit: int | None) -> DataFrame:
+# The number of an arriving line, if its task has the beginning of the file, and its columns.
+_LINE, _ROW = "_line", "_row"
+
+
+def _new_files(spark: SparkSession, limit: int | None) -> DataStreamReader:
     reader = spark.readStream.option("recursiveFileLookup", True)
-    if limit:
-        reader = reader.option("maxFilesPerTrigger", limit)
+    return reader.option("maxFilesPerTrigger", limit) if limit else reader
+
+
+def _arrivals(spark: SparkSession, folder: str, schema: T.StructType, file_format: str, limit: int | None) -> DataFrame:
+    reader = _new_files(spark, limit)
     if file_format == "parquet":
         return reader.schema(schema).parquet(folder)
     if file_format != "csv":
         raise ValueError(f"no stream of {file_format} files here, only parquet and csv")
     # Columns go by place in a CSV stream; a file whose header says otherwise is an error.
-    texts = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
-    return reader.schema(texts).options(**CSV_OPTIONS).option("enforceSchema", False).csv(folder)
+    return reader.schema(_texts(schema)).options(**CSV_OPTIONS).option("enforceSchema", False).csv(folder)
+
+
+def _texts(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
+
+
+def _places() -> list[Column]:
+    return [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
+
+
+def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of a micro-batch of headed CSV files, as text columns, with the file of each.
+
+    A gzip file is one task, which does no more than expand it: lines are spread evenly before they are parsed. Columns
+    go by place; a file whose header says otherwise is an error. Lines without a letter are no rows, as for Spark's reader.
+    """
+    spark = lines.sparkSession
+    numbered = lines.withColumn(_LINE, F.when(F.col(BLOCK) == 0, F.monotonically_increasing_id())).drop(BLOCK)
+    spread = spread_rows(numbered.where(F.col("value").rlike("[^\\x00-\\x20]")))
+    text = materialise(spread.select(csv_lines(F.col("value"), schema).alias(_ROW), FILE, _LINE), "arrivals")
+    headers = materialise(text.where(F.col(_LINE).isNotNull()).groupBy(FILE).agg(F.min(_LINE).alias(_LINE)), "headers")
+    files = [row[FILE] for row in headers.select(FILE).collect()]
+    if files:
+        check_headers(spark, _texts(schema), files)
+    return text.join(headers.select(_LINE), _LINE, "left_anti").select(f"{_ROW}.*", FILE)
 
 
 def _typed(rows: DataFrame, schema: T.StructType, file_format: str) -> DataFrame:
@@ -64,16 +95,26 @@ def ingest_stream(
     """
     fleet = COLOURS[colour]
     create_target(spark, target, fleet, location)
-    arrivals = _arrivals(spark, folder, schema, file_format, files_per_batch)
-    rows = arrivals.withColumn(ARRIVED_AS, month_file_of(F.col("_metadata.file_path")))
+    if file_format == "csv":
+        rows = _new_files(spark, files_per_batch).text(folder).select("value", *_places())
+    else:
+        arrivals = _arrivals(spark, folder, schema, file_format, files_per_batch)
+        rows = arrivals.withColumn(ARRIVED_AS, month_file_of(F.col("_metadata.file_path")))
 
     def merge_batch(batch: DataFrame, number: int) -> None:
-        with temporary(spark):
-            if file_format == "csv":
-                # A gzip file is one task. It expands the file once; what follows, types included, is spread evenly.
-                batch = materialise(spread_rows(batch), "arrivals")
-            typed = conform(_typed(batch, schema, file_format), fleet, F.col(ARRIVED_AS))
-            merge_into(batch.sparkSession, typed, target, fleet, label=f"batch {number}")
+        session = batch.sparkSession
+        with temporary(session):
+            if file_format != "csv":
+                typed = conform(batch, fleet, F.col(ARRIVED_AS))
+            else:
+                # A merge looks at its batch several times: types and keys are made once.
+                place = scratch_path(session, "conformed")
+                with temporary(session):
+                    text = _parsed(batch, schema).withColumn(ARRIVED_AS, month_file_of(F.col(FILE))).drop(FILE)
+                    made = conform(_typed(text, schema, file_format), fleet, F.col(ARRIVED_AS))
+                    made.write.parquet(place)
+                typed = session.read.schema(made.schema).parquet(place)
+            merge_into(session, typed, target, fleet, label=f"batch {number}")
 
     return (
         rows.writeStream.foreachBatch(merge_batch)
@@ -105,8 +146,7 @@ def append_stream(
         fields = [T.StructField(index, T.LongType()), *schema.fields, T.StructField(LOAD_ID, T.StringType())]
         create_table(spark, table, T.StructType(fields), [LOAD_ID], location, recover=False)
         restore_loads(spark, table)
-    places = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
-    rows = _typed(_arrivals(spark, folder, schema, file_format, files_per_batch).select("*", *places), schema, file_format)
+    rows = _typed(_arrivals(spark, folder, schema, file_format, files_per_batch).select("*", *_places()), schema, file_format)
 
     def append_batch(batch: DataFrame, number: int) -> None:
         session, label = batch.sparkSession, f"{checkpoint} batch {number}"

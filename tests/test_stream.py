@@ -2,9 +2,11 @@ import gzip
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows, yellow_rows
 
-from fareloom.sources.files import month_path
+from fareloom.plans.registry import QUERIES
+from fareloom.sources.files import CSV_OPTIONS, month_path
 from fareloom.sinks.publish import load_history
 from fareloom.sinks import publish
 from fareloom.streaming import ingest
@@ -163,3 +165,44 @@ def test_a_gzip_file_is_expanded_once(spark, tmp_path, monkeypatch):
     assert read and not any(path.endswith(".gz") for path in read)
     assert rows(spark.table(name).select("file_name", "vendor_id")) == [("yellow_tripdata_2020-01.csv.gz", 1)]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_csv_lines_are_read_as_by_the_csv_reader(spark, tmp_path):
+    """Several files in one micro-batch, plain and gzip: quotes, blank lines, short and long lines, other spaces; one with a header only."""
+    folder, name = tmp_path / "csv", f"stream_{uuid.uuid4().hex}"
+    folder.mkdir()
+    schema = yellow_rows(spark).schema
+    head = ",".join(schema.names)
+    line = "{},2020-01-01 10:00:00,2020-01-01 12:00:00,NaN,2.5,1.0,{},10,20,1,5.0"
+    first = ["", head, line.format(1, '"a ""b"", c"'), "   ", line.format(2, " x "), "", line.format(3, "y") + ",more", "4,2020-01-01 10:00:00"]
+    (folder / "yellow_tripdata_2020-01.csv").write_text("\r\n".join(first))
+    with gzip.open(folder / "yellow_tripdata_2020-02.csv.gz", "wt") as file:
+        file.write(f"{head}\n{line.format(5, head.split(',')[0])}\n\t\n")
+    (folder / "yellow_tripdata_2020-03.csv").write_text(f"{head}\n")
+    texts = spark.createDataFrame([], ", ".join(f"{column} string" for column in schema.names)).schema
+    reader = spark.read.schema(texts).options(**CSV_OPTIONS).option("enforceSchema", False)
+    expected = rows(reader.csv(str(folder)).select("VendorID", "store_and_fwd_flag", "PULocationID"))
+    assert len(expected) == 5 and ("1", 'a "b", c', "10") in expected and ("4", None, None) in expected
+    ingest_stream(spark, str(folder), schema, "yellow", name, str(tmp_path / "checkpoint"), None, None, "csv").awaitTermination()
+    found = rows(spark.table(name).selectExpr("string(vendor_id)", "store_and_fwd_flag", "string(nullif(pu_location_id, 0))"))
+    assert found == expected
+    assert {r[0] for r in spark.table(name).select("file_name").collect()} == {"yellow_tripdata_2020-01.csv", "yellow_tripdata_2020-02.csv.gz"}
+    (folder / "yellow_tripdata_2020-04.csv").write_text(head.replace("VendorID", "Vendor") + "\n" + line.format(6, "z") + "\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        ingest_stream(spark, str(folder), schema, "yellow", name, str(tmp_path / "checkpoint"), None, None, "csv").awaitTermination()
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_quarter_that_a_rebalance_would_cut_is_one_file(spark, tmp_path, setting):
+    """All copies of a trip come in one micro-batch, and go in, however long their quarter is."""
+    tables = tmp_path / "tables"
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").write.parquet(f"{tables}/customer.parquet")
+    # Every trip three times, of orders and suppliers that lie in other tasks.
+    for table, keys in {"supplier": ["s_suppkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_suppkey"]}.items():
+        once = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
+        copies = once.crossJoin(spark.range(3)).withColumns({key: F.col(key) + 100_003 * F.col("id") for key in keys})
+        copies.drop("id").write.parquet(f"{tables}/{table}.parquet")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert QUERIES["stream_ingest_csv"](spark, str(tables)).count() == 3 * once.count()
