@@ -1,6 +1,7 @@
 import glob
 import os
 import random
+import time
 import uuid
 from datetime import datetime
 
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 
 from fareloom.operators.conform import conform
 from fareloom.plans import loads
+from fareloom.plans.registry import QUERIES
 from fareloom.schemas import COLOURS, PICKUP_MONTH
+from fareloom.session import _FILE_CLEANUP
 from fareloom.sinks import publish
 from fareloom.sinks.keys import keys_table, known_keys
 from fareloom.sinks.tables import table_location, truncate_table
@@ -451,3 +454,24 @@ def test_one_file_has_no_later_month(spark, prefix, target, monkeypatch):
     """Strays of a single file are not compared with anything."""
     monkeypatch.setattr(loads, "_later_copies", broken)
     assert loads.load_month(spark, prefix, "yellow", 2020, 1, target()).inserted == 4
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("query", ["backfill_wrong_files"])
+def test_no_shuffle_file_outlives_its_job(spark, sf_dir, setting, query):
+    """Shuffle files of a load's steps do not add up on the disk until some garbage collection."""
+    setting(_FILE_CLEANUP, "false")
+    before = _shuffle_files(spark)
+    QUERIES[query](spark, sf_dir)
+    for _ in range(100):
+        # The files are removed by another thread.
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(_FILE_CLEANUP) == "false"
