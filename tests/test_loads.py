@@ -11,7 +11,7 @@ from conftest import rows, yellow_rows
 from pyspark.sql import functions as F
 
 from fareloom.operators.conform import conform
-from fareloom.plans import loads
+from fareloom.plans import loads, registry
 from fareloom.plans.registry import QUERIES
 from fareloom.schemas import COLOURS, PICKUP_MONTH
 from fareloom.session import _FILE_CLEANUP
@@ -462,7 +462,7 @@ def _shuffle_files(spark):
     return {name for name in names if name.startswith("shuffle_")}
 
 
-@pytest.mark.parametrize("query", ["backfill_wrong_files"])
+@pytest.mark.parametrize("query", ["backfill_wrong_files", "backfill_one_per_key"])
 def test_no_shuffle_file_outlives_its_job(spark, sf_dir, setting, query):
     """Shuffle files of a load's steps do not add up on the disk until some garbage collection."""
     setting(_FILE_CLEANUP, "false")
@@ -475,3 +475,16 @@ def test_no_shuffle_file_outlives_its_job(spark, sf_dir, setting, query):
         time.sleep(0.1)
     assert not _shuffle_files(spark) - before
     assert spark.conf.get(_FILE_CLEANUP) == "false"
+
+
+def test_copies_of_one_per_key_are_made_after_one_join(spark, sf_dir, monkeypatch):
+    """The lines are read, and shuffled, once for the files that the load reads."""
+    plans = []
+
+    def planned(df, by):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    monkeypatch.setattr(registry, "gathered", planned)
+    QUERIES["backfill_one_per_key"](spark, sf_dir)
+    assert len(plans) == 1 and plans[0].count("l_shipdate") and plans[0].count("Union") == 0
